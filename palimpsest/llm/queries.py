@@ -6,11 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.leakage import find_leaks
+from palimpsest.llm.lookalike import same_look_pairs, same_look_parts, same_look_successors
 from palimpsest.llm.tokenize import encode_table
 from palimpsest.llm.truncation import find_truncated
+from palimpsest.operators.snapshots import consecutive_editions
 from palimpsest.runtime import table
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that look the same but differ in their characters."""
+    expressions = table(spark, sf_dir, "clause_document_expression")
+    pairs = consecutive_editions(
+        table(spark, sf_dir, "source_edition"), "edition_import_run_id", "source_edition_version_id", "chronology_order"
+    )
+    blocks = same_look_pairs(table(spark, sf_dir, "current_clause_block"), "source_block_id", "raw_text")
+    successive = same_look_successors(
+        expressions, pairs, record="expression_id", entity="clause_work_id", edition="source_edition_version_id", text="exact_text"
+    )
+    parts = same_look_parts(
+        table(spark, sf_dir, "clause_document_diff_hunk"), expressions,
+        part="hunk_id", part_text="old_exact_text", of="older_expression_id", whole="expression_id", whole_text="exact_text",
+    )
+    return blocks.unionByName(successive).unionByName(parts).distinct()
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     return encode_table(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -49,5 +68,5 @@ def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares.join(lengths, "source", "left").withColumn("share", F.col("truncated") / F.col("documents"))
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_sources": p10_sources}
+QUERIES = {"p3_found": p3_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_sources": p10_sources}
 SQL: dict[str, str] = {}
