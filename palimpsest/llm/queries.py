@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.leakage import find_leaks
 from palimpsest.llm.lookalike import same_look_pairs, same_look_parts, same_look_successors
+from palimpsest.llm.neardup import near_duplicates
 from palimpsest.llm.tokenize import encode_table
 from palimpsest.llm.truncation import find_truncated
 from palimpsest.operators.snapshots import consecutive_editions
@@ -30,6 +31,22 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.unionByName(successive).unionByName(parts).distinct()
 
 
+def _hunk_texts(spark: SparkSession, sf_dir: str, hunks: DataFrame) -> DataFrame:
+    """Add the work of each hunk's newer expression."""
+    works = table(spark, sf_dir, "clause_document_expression").select(F.col("expression_id").alias("newer_expression_id"), "clause_work_id").distinct()
+    return hunks.join(works, "newer_expression_id")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Works and hunks with nearly the same texts."""
+    works = near_duplicates(
+        table(spark, sf_dir, "clause_document_expression"), record="clause_work_id", owner="clause_work_id", text="exact_text"
+    )
+    hunks = table(spark, sf_dir, "clause_document_diff_hunk").select("hunk_id", "newer_expression_id", "new_exact_text")
+    hunks = near_duplicates(_hunk_texts(spark, sf_dir, hunks.where("new_exact_text is not null")), record="hunk_id", owner="clause_work_id", text="new_exact_text")
+    return works.select(F.lit("work").alias("record_kind"), "*").unionByName(hunks.select(F.lit("hunk").alias("record_kind"), "*"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     return encode_table(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -68,5 +85,5 @@ def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares.join(lengths, "source", "left").withColumn("share", F.col("truncated") / F.col("documents"))
 
 
-QUERIES = {"p3_found": p3_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_sources": p10_sources}
+QUERIES = {"p4_found": p4_found, "p3_found": p3_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_sources": p10_sources}
 SQL: dict[str, str] = {}
