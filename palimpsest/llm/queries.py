@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from palimpsest.llm.leakage import find_leaks
 from palimpsest.llm.lookalike import same_look_pairs, same_look_parts, same_look_successors
 from palimpsest.llm.neardup import near_duplicates
+from palimpsest.llm.spans import shared_share, shared_spans
 from palimpsest.llm.tokenize import encode_table
 from palimpsest.llm.truncation import find_truncated
 from palimpsest.operators.snapshots import consecutive_editions
@@ -47,6 +48,31 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return works.select(F.lit("work").alias("record_kind"), "*").unionByName(hunks.select(F.lit("hunk").alias("record_kind"), "*"))
 
 
+def _segment_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New texts of the hunks' segments, with the work of each hunk's newer expression."""
+    segments = table(spark, sf_dir, "clause_document_inline_diff_segment").select("hunk_id", "new_text").where("char_length(new_text) >= 60")
+    hunks = table(spark, sf_dir, "clause_document_diff_hunk").select("hunk_id", "newer_expression_id").distinct()
+    return segments.join(_hunk_texts(spark, sf_dir, hunks), "hunk_id")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Works and hunks that share long passages verbatim."""
+    works = shared_spans(
+        table(spark, sf_dir, "clause_document_expression"), record="clause_work_id", owner="clause_work_id", text="exact_text"
+    )
+    hunks = shared_spans(_segment_texts(spark, sf_dir), record="hunk_id", owner="clause_work_id", text="new_text")
+    return works.select(F.lit("work").alias("record_kind"), "*").unionByName(hunks.select(F.lit("hunk").alias("record_kind"), "*"))
+
+
+def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of each work and hunk stands verbatim in others."""
+    works = shared_share(
+        table(spark, sf_dir, "clause_document_expression"), record="clause_work_id", owner="clause_work_id", text="exact_text"
+    )
+    hunks = shared_share(_segment_texts(spark, sf_dir), record="hunk_id", owner="clause_work_id", text="new_text")
+    return works.select(F.lit("work").alias("record_kind"), "*").unionByName(hunks.select(F.lit("hunk").alias("record_kind"), "*"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     return encode_table(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -85,5 +111,5 @@ def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares.join(lengths, "source", "left").withColumn("share", F.col("truncated") / F.col("documents"))
 
 
-QUERIES = {"p4_found": p4_found, "p3_found": p3_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_sources": p10_sources}
+QUERIES = {"p5_found": p5_found, "p5_shares": p5_shares, "p4_found": p4_found, "p3_found": p3_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_sources": p10_sources}
 SQL: dict[str, str] = {}
