@@ -161,7 +161,7 @@ def alias_status(aliases: DataFrame, allowed_abbreviations: list[str]) -> DataFr
 
 def inverted_index(documents: DataFrame, key: str, text: str) -> DataFrame:
     """Postings of a text: ``term, key, term_count, document_length`` with words, numbers and single ideographs as terms."""
-    words = F.filter(F.transform(F.regexp_extract_all(F.col(text), F.lit(r"(?U)([A-Za-z]+|\d+|[㐀-鿿])"), F.lit(1)), F.lower), lambda w: w != "")
+    words = F.filter(F.transform(F.regexp_extract_all(F.col(text), F.lit(r"([A-Za-z]+|\p{Nd}+|[㐀-鿿])"), F.lit(1)), F.lower), lambda w: w != "")
     rows = documents.select(F.col(key), words.alias("__w")).withColumn("document_length", F.size("__w"))
     return rows.select(key, "document_length", F.explode("__w").alias("term")).groupBy("term", key, "document_length").agg(F.count("*").alias("term_count"))
 
