@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Neighbouring lengths on each side that a length is tested against.
-NEIGHBOURS = 20
+#: Neighbouring lengths on each side that a length is tested against, and the nearest ones that are left out (a
+#: limit in bytes that cuts no character apart stops up to three bytes short).
+NEIGHBOURS, NEAREST = 20, 3
 #: False discoveries among the significant lengths.
 FALSE_DISCOVERIES = 0.01
 #: Characters of the ending that the rules read; what they name is shorter.
@@ -26,7 +27,7 @@ MONTH = r"(?:January|February|March|April|May|June|July|August|September|October
 # Endings that are complete.
 SENTENCE = rf"(?:[。！？!?｡．]|[^\W\d_][）)\]”’\"']*\.|[%°]\.){CLOSERS}$"
 END_MARK = r"(?i)(?:[－—–\-=*【\[（(〔]\s*(?:本文完|全文完|全文終|完|終|止|以下空白|the end|end)\s*[－—–\-=*】\]）)〕])$"
-DATE_LINE = rf"^(?:(?:中華民國|民國)?\s*\d{{2,4}}\s*年\s*\d{{1,2}}\s*月\s*\d{{1,2}}\s*日|\d{{2,4}}[/.\-]\d{{1,2}}[/.\-]\d{{1,2}}|\d{{1,2}} {MONTH} \d{{4}}|{MONTH} \d{{1,2}}, \d{{4}})$"
+DATE_LINE = rf"^(?:(?:中華民國|民國)?\s*\d{{2,4}}\s*年\s*\d{{1,2}}\s*月\s*\d{{1,2}}\s*日|\d{{2,4}}[/\-]\d{{1,2}}[/\-]\d{{1,2}}|\d{{1,2}} {MONTH} \d{{4}}|{MONTH} \d{{1,2}}, \d{{4}})$"
 SIGNATURE = r"^(?:承辦|承辦人|承辦單位|主辦|經辦|聯絡|聯絡人|署名|簽署|Contact|Signed|Signed by|Prepared by|Regards)\s*[:：]\s*\S.{0,60}$"
 LIST_ENTRY = r"^\s*(?:\d{1,3}(?:\.\s|[)、])|[（(]?[一二三四五六七八九十]{1,3}[）)、]|[-*•●])\s*[^，；。,;]*\d[\d.,]*\s*[^\s\d，；。,;]{1,8}$"
 HEADING = r"(?:附表|目錄|一覽|一覽表|清單|名單|總表|索引|說明|規定|公告|要點|附錄)$|^(?:Index|List|Table|Contents|Annex|Appendix)\b.*|\bitems$"
@@ -60,8 +61,8 @@ def significant_lengths(rows: DataFrame) -> DataFrame:
     ``rows`` has ``source``, ``chars`` and ``bytes``. Result ``(source, unit,
     length, n, hazard, expected, p)``. The hazard of a length is the share of
     the texts of at least this length that have just this one; it is tested
-    against the mean hazard of the ``NEIGHBOURS`` lengths on either side by a
-    Chernoff bound of the Poisson tail. Benjamini-Hochberg keeps the false
+    against the mean hazard of the lengths that occur among the ``NEIGHBOURS``
+    on either side, at the same number at risk, by a Chernoff bound of the Poisson tail. Benjamini-Hochberg keeps the false
     discoveries under ``FALSE_DISCOVERIES``; its ranks come from counts over
     p-value bins, whose number doesn't grow with the data.
     """
@@ -69,9 +70,10 @@ def significant_lengths(rows: DataFrame) -> DataFrame:
     counts = rows.select("source", units.alias("u")).select("source", "u.*").groupBy("source", "unit", "length").agg(F.count("*").alias("n"))
     by = Window.partitionBy("source", "unit").orderBy("length")
     at_risk = F.sum("n").over(by.rowsBetween(0, Window.unboundedFollowing))
-    around = F.sum("n").over(by.rangeBetween(-NEIGHBOURS, NEIGHBOURS)) - F.col("n")
-    # Hazards of neighbours are taken against the same number at risk; lengths that nothing has count as zero.
-    tests = counts.select("source", "unit", "length", "n", (F.col("n") / at_risk).alias("hazard"), ((around + 0.5) / (2 * NEIGHBOURS)).alias("expected"))
+    ring = lambda what: F.coalesce(what.over(by.rangeBetween(-NEIGHBOURS, NEIGHBOURS)) - what.over(by.rangeBetween(-NEAREST, NEAREST)), F.lit(0))
+    # Only lengths that occur count as neighbours: texts of three-byte characters alone leave two of three lengths in bytes empty.
+    expected = (ring(F.sum("n")) + 0.5) / F.greatest(ring(F.count("*")), F.lit(1))
+    tests = counts.select("source", "unit", "length", "n", (F.col("n") / at_risk).alias("hazard"), expected.alias("expected"))
     tail = F.when(F.col("n") <= F.col("expected"), 0.0).otherwise(F.col("n") - F.col("expected") + F.col("n") * F.ln(F.col("expected") / F.col("n")))
     tests = tests.withColumn("log_p", F.least(tail, F.lit(0.0)))
     tests = tests.withColumn("bin", F.greatest(F.ceil(F.col("log_p") * 20), F.lit(-20000)))
