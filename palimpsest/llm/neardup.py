@@ -20,12 +20,12 @@ from palimpsest.llm.arrays import mix, rolling_hash, steps
 from palimpsest.runtime import materialize
 
 #: Independent sketches and the registers of each; several small sketches leave fewer buckets empty than a large one.
-SKETCHES, REGISTERS = 10, 10
-#: Registers in a band. A pair of similarity 0.75 shares no band of 20 once in 200 times, one of 0.8 once in 3000.
+SKETCHES, REGISTERS = 15, 10
+#: Registers in a band. A pair of similarity 0.75 shares no band of 30 once in 3000 times, one of 0.8 once in 150,000.
 BAND = 5
 #: Mantissa bits that a register keeps.
 MANTISSA = 10
-#: How far an estimate may lie under the threshold: six standard deviations of it.
+#: How far an estimate may lie under the threshold: over six standard deviations of it.
 MARGIN = 0.26
 
 
