@@ -94,3 +94,19 @@ def nested_ranges(df: DataFrame, keys: Sequence[str], order: str, depth: str) ->
         upto = F.least(*[F.col(f"__n{i}") for i in range(1, d + 1)]) if d > 1 else F.col("__n1")
         end = F.when(F.col(depth) == d, upto).otherwise(end)
     return rows.withColumn("range_end", end).drop(*[f"__n{d}" for d in range(1, deepest + 1)])
+
+
+def outline_parents(df: DataFrame, keys: Sequence[str], order: str, depth: str) -> DataFrame:
+    """Parent of every ordered node of an outline: the nearest one before it with a smaller depth, null at the top.
+
+    One window gives the last node of each depth (at most 16) before the
+    node; the latest of those with a smaller depth is the parent.
+    """
+    deepest = 16
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    lasts = [F.last(F.when(F.col(depth) == d, F.col(order)), ignorenulls=True).over(before).alias(f"__l{d}") for d in range(1, deepest + 1)]
+    parent = F.lit(None).cast(df.schema[order].dataType)
+    for d in range(2, deepest + 1):
+        above = F.greatest(*[F.col(f"__l{i}") for i in range(1, d)]) if d > 2 else F.col("__l1")
+        parent = F.when(F.col(depth) == d, above).otherwise(parent)
+    return df.select("*", *lasts).withColumn("parent_order", parent).drop(*[f"__l{d}" for d in range(1, deepest + 1)])

@@ -96,6 +96,19 @@ def resolve(matches: list[dict]) -> list[dict]:
     return sorted(best.values(), key=lambda m: (m["start"], m["end"], m["concept_id"], m["alias_id"]))
 
 
+def highlight(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Spans that a reader shows, as (start, end, priority): from left to right, of one start the longest, then the smallest priority; none overlap.
+
+    This is another policy than :func:`resolve`: the leftmost span wins, not
+    the longest.
+    """
+    shown: list[tuple[int, int, int]] = []
+    for span in sorted(spans, key=lambda s: (s[0], -s[1], s[2])):
+        if not shown or span[0] >= shown[-1][1]:
+            shown.append(span)
+    return shown
+
+
 def tag_texts(blocks: DataFrame, aliases: DataFrame, *, block: str, text: str) -> DataFrame:
     """Occurrences of dictionary terms in texts.
 
