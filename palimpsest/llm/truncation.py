@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.runtime import materialize
+
 #: Neighbouring lengths on each side that a length is tested against, and the nearest ones that are left out (a
 #: limit in bytes that cuts no character apart stops up to three bytes short).
 NEIGHBOURS, NEAREST = 20, 3
@@ -35,13 +37,14 @@ HEADING = r"(?:附表|目錄|一覽|一覽表|清單|名單|總表|索引|說明
 UNCLEAR = rf"^\s*(?:\d{{1,3}}(?:\.\s|[)、])|[-*•●])\s*[^，；。,;]*$|^(?:中華民國|民國)[\d年月 ]*$|^\d{{1,2}} [A-Z][a-z]*(?: \d{{0,3}})?$|^[^一-鿿]*\d\.$"
 
 
-def ending_state(text: Column) -> Column:
-    """``finished``, ``unclear`` or ``broken``: how a text ends; null for a null, empty or blank text."""
-    bare = F.call_function("rtrim", F.lit(BLANK), text)
-    tail = F.regexp_replace(F.right(bare, F.lit(ENDING)), F.lit(BEHIND), F.lit(""))
-    line = F.trim(F.substring_index(tail, "\n", -1))
-    single = ~F.contains(F.call_function("trim", F.lit(BLANK), text), F.lit("\n"))
-    is_heading = single & (F.char_length(line) <= 60) & ~F.rlike(line, F.lit("[，；。,;]")) & F.rlike(line, F.lit(HEADING))
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _state(text: Column, bare: Column, tail: Column, line: Column) -> Column:
+    single = ~F.contains(F.call_function("ltrim", F.lit(BLANK), bare), F.lit("\n"))
+    is_heading = (F.char_length(line) <= 60) & ~F.rlike(line, F.lit("[，；。,;]")) & F.rlike(line, F.lit(HEADING)) & single
     finished = F.rlike(tail, F.lit(SENTENCE)) | F.rlike(tail, F.lit(END_MARK))
     for rule in (DATE_LINE, SIGNATURE, LIST_ENTRY):
         finished = finished | F.rlike(line, F.lit(rule))
@@ -55,6 +58,16 @@ def ending_state(text: Column) -> Column:
     )
 
 
+def ending_state(text: Column) -> Column:
+    """``finished``, ``unclear`` or ``broken``: how a text ends; null for a null, empty or blank text."""
+    behind = lambda bare: F.regexp_replace(F.right(bare, F.lit(ENDING)), F.lit(BEHIND), F.lit(""))
+    last_line = lambda tail: F.trim(F.substring_index(tail, "\n", -1))
+    return _let(
+        F.call_function("rtrim", F.lit(BLANK), text),
+        lambda bare: _let(behind(bare), lambda tail: _let(last_line(tail), lambda line: _state(text, bare, tail, line))),
+    )
+
+
 def significant_lengths(rows: DataFrame) -> DataFrame:
     """Lengths at which a source stops far more often than at the lengths around.
 
@@ -103,6 +116,8 @@ def find_truncated(documents: DataFrame, *, key: str, text: str, source: str) ->
         F.octet_length(text).cast("long").alias("bytes"),
         ending_state(F.col(text)).alias("ending"),
     ).where("ending is not null")
+    # The texts are read once; what is left of a document are its lengths and its ending.
+    rows = materialize(rows, "endings")
     limits = significant_lengths(rows)
     # A few lengths per source; each side of the join is one row per length and source.
     one = limits.select("source", "unit", F.col("length"), F.lit(True).alias("hit"))
