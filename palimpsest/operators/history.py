@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palimpsest.operators.links import follow_links
+from palimpsest.operators.links import follow_links_counted
 from palimpsest.runtime import materialize
 
 #: Versions from one full checkpoint to the next; also the longest run of
@@ -36,15 +36,12 @@ def version_paths(versions: DataFrame, edges: DataFrame, version: str, older: st
         .where("v is not null")
         .distinct()
     )
-    nodes = materialize(ids.join(link, ids.v == link.n, "left").select("v", F.col("o").alias("up")), "versions")
-    placed = follow_links(nodes, "v", "up")
-    cyclic = placed.where("depth is null")
-    if cyclic.isEmpty():
-        whole = placed
-    else:
-        starts = cyclic.select("root").distinct().withColumnRenamed("root", "v").withColumn("cut", F.lit(True))
+    nodes = ids.join(link, ids.v == link.n, "left").select("v", F.col("o").alias("up"))
+    whole, on_cycles = follow_links_counted(nodes, "v", "up", parents_exist=True)
+    if on_cycles:
+        starts = whole.where("depth is null").select("root").distinct().withColumnRenamed("root", "v").withColumn("cut", F.lit(True))
         nodes = nodes.join(starts, "v", "left").select("v", F.when(F.col("cut").isNull(), F.col("up")).alias("up"))
-        whole = follow_links(nodes, "v", "up")
+        whole, _ = follow_links_counted(nodes, "v", "up", parents_exist=True)
     return whole.select(F.col("node").alias("version"), F.col("root").alias("path"), F.col("depth").alias("position"))
 
 

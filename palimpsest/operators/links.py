@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.runtime import materialize
-
-#: Doublings after which a path of 2**ROUNDS links would be complete; a pointer
-#: that is still moving then runs in a cycle.
-MAX_ROUNDS = 40
-
+from palimpsest.runtime import materialize_counted
 
 def follow_links(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """Root and depth of every node of a forest given by parent links.
@@ -21,11 +16,19 @@ def follow_links(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     with a null node are left out; of several parents of one node the smallest
     holds.
 
-    Method: pointer doubling. Each round joins the nodes whose pointer still
-    moves with the table of pointers, so a chain of n links takes log2(n)
-    rounds of one equi-join on unique keys, whatever the shape of the forest;
-    no chain is ever gathered in one task. Each round is written to the shared
-    folder.
+    Method: pointer jumping. Each round joins the nodes whose pointer still
+    moves with the table of pointers, twice, so a chain of n links takes
+    log3(n) rounds of equi-joins on unique keys, whatever the shape of the
+    forest; no chain is ever gathered in one task. Each round is written to
+    the shared folder.
+    """
+    return follow_links_counted(nodes, node, parent)[0]
+
+
+def follow_links_counted(nodes: DataFrame, node: str, parent: str, parents_exist: bool = False) -> tuple[DataFrame, int]:
+    """:func:`follow_links`, and how many nodes are on a cycle or lead into one.
+
+    With ``parents_exist`` every parent is known to be a node.
     """
     links = (
         nodes.select(F.col(node).alias("id"), F.col(parent).alias("up"))
@@ -33,45 +36,43 @@ def follow_links(nodes: DataFrame, node: str, parent: str) -> DataFrame:
         .groupBy("id")
         .agg(F.min("up").alias("up"))
     )
-    known = links.select(F.col("id").alias("up"), F.lit(True).alias("real"))
-    state = materialize(
-        links.join(known, "up", "left").select(
+    if parents_exist:
+        links = links.withColumn("real", F.col("up").isNotNull())
+    else:
+        known = links.select(F.col("id").alias("up"), F.lit(True).alias("real"))
+        links = links.join(known, "up", "left").withColumn("real", F.coalesce("real", F.lit(False)))
+    up = F.when(F.col("real"), F.col("up"))
+    counts = F.count("*"), F.coalesce(F.sum(F.when(F.col("done"), 0).otherwise(1)), F.lit(0))
+    state, (total, left) = materialize_counted(
+        links.select(
             "id",
-            F.when(F.col("real"), F.col("up")).otherwise(F.col("id")).alias("ptr"),
+            F.coalesce(up, "id").alias("ptr"),
             F.when(F.col("real"), 1).otherwise(0).cast("long").alias("steps"),
-            F.least("id", F.when(F.col("real"), F.col("up"))).alias("low"),
-            F.col("real").isNull().alias("done"),
+            F.least("id", up).alias("low"),
+            (~F.col("real")).alias("done"),
         ),
         "links",
+        *counts,
     )
-    moving = state.where("not done")
-    total = None
-    for round_no in range(MAX_ROUNDS):
-        left = moving.count()
-        if not left:
-            break
-        total = total if total is not None else state.count()
-        if 2**round_no > total:
-            break
-        ahead = state.select(
-            F.col("id").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("steps").alias("steps2"),
-            F.col("low").alias("low2"), F.col("done").alias("done2"),
-        )
-        moved = moving.join(ahead, "ptr").select(
-            "id",
-            F.col("ptr2").alias("ptr"),
-            (F.col("steps") + F.col("steps2")).alias("steps"),
-            F.least("low", "low2").alias("low"),
-            F.col("done2").alias("done"),
-        )
-        state = materialize(state.where("done").unionByName(moved), "links")
+    jump = 1
+    while left and jump <= total:
+        # Two joins with the same table triple the reach of a pointer.
+        ahead = state.select(*[F.col(c).alias(c + "_2") for c in state.columns])
+        moved = state.where("not done")
+        for _ in range(2):
+            moved = moved.join(ahead, F.col("ptr") == F.col("id_2")).select(
+                "id",
+                F.col("ptr_2").alias("ptr"),
+                F.when(F.col("done"), F.col("steps")).otherwise(F.col("steps") + F.col("steps_2")).alias("steps"),
+                F.least("low", "low_2").alias("low"),
+                F.col("done_2").alias("done"),
+            )
+        state, (_, left) = materialize_counted(state.where("done").unionByName(moved), "links", *counts)
+        jump *= 3
+    found = state.where("done").select("id", F.col("ptr").alias("root"), F.col("steps").alias("depth"))
+    if left:
+        # What still moves runs in a cycle: the pointer stands on it, and the lowest node seen from there is the cycle's.
         moving = state.where("not done")
-    # What still moves runs in a cycle: the pointer stands on it, and the lowest node seen from there is the cycle's.
-    on_cycle = state.where("not done").select(F.col("id").alias("ptr"), F.col("low").alias("cycle_root"))
-    cyclic = moving.join(on_cycle, "ptr").select("id", F.col("cycle_root").alias("root"), F.lit(None).cast("long").alias("depth"))
-    return (
-        state.where("done")
-        .select("id", F.col("ptr").alias("root"), F.col("steps").alias("depth"))
-        .unionByName(cyclic)
-        .withColumnRenamed("id", "node")
-    )
+        on_cycle = moving.select(F.col("id").alias("ptr"), F.col("low").alias("root"))
+        found = found.unionByName(moving.select("id", "ptr").join(on_cycle, "ptr").select("id", "root", F.lit(None).cast("long").alias("depth")))
+    return found.withColumnRenamed("id", "node"), left

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _OWN_DIR: dict[str, str] = {}
 _SHIPPED: set[str] = set()
@@ -60,6 +60,15 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, label: str, *metrics: Column) -> tuple[DataFrame, list]:
+    """:func:`materialize`, with aggregates of the rows that come out of the same write."""
+    observed = Observation(f"{label}-{uuid.uuid4().hex}")
+    names = [f"m{i}" for i in range(len(metrics))]
+    made = materialize(df.observe(observed, *[m.alias(n) for m, n in zip(metrics, names)]), label)
+    values = observed.get
+    return made, [values[n] for n in names]
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files behind a materialized DataFrame that is no longer read."""
     spark = df.sparkSession
