@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.runtime import materialize_counted
+from palimpsest.runtime import discard, materialize_counted
 
 def follow_links(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """Root and depth of every node of a forest given by parent links.
@@ -67,7 +67,9 @@ def follow_links_counted(nodes: DataFrame, node: str, parent: str, parents_exist
                 F.least("low", "low_2").alias("low"),
                 F.col("done_2").alias("done"),
             )
-        state, (_, left) = materialize_counted(state.where("done").unionByName(moved), "links", *counts)
+        before = state
+        state, (_, left) = materialize_counted(before.where("done").unionByName(moved), "links", *counts)
+        discard(before)
         jump *= 3
     found = state.where("done").select("id", F.col("ptr").alias("root"), F.col("steps").alias("depth"))
     if left:

@@ -115,11 +115,11 @@ def a19_counter_rows(spark, sf_dir):
     return rows.select(F.sha2(F.concat_ws("\u001f", "canonical_code", "source_lane"), 256).alias("key_hash"), "canonical_code", "source_lane", "n")
 
 
-@query("""SELECT CAST(n AS BIGINT) AS works_per_code, count(*) AS codes, string_agg(c, ',' ORDER BY c) AS code_list FROM (SELECT canonical_code AS c, count(DISTINCT clause_work_id) AS n FROM clause_document_expression GROUP BY 1) WHERE n > 1 GROUP BY 1""")
+@query("""SELECT CAST(n AS BIGINT) AS works_per_code, count(*) AS codes, min(c) AS first_code, max(c) AS last_code FROM (SELECT canonical_code AS c, count(DISTINCT clause_work_id) AS n FROM clause_document_expression GROUP BY 1) WHERE n > 1 GROUP BY 1""")
 def a16_collision_summary(spark, sf_dir):
     """Codes that stand for several works, by their number."""
     rows = table(spark, sf_dir, "clause_document_expression").groupBy("canonical_code").agg(F.count_distinct("clause_work_id").alias("works_per_code")).where("works_per_code > 1")
-    return rows.groupBy("works_per_code").agg(F.count("*").alias("codes"), F.array_join(F.array_sort(F.collect_list("canonical_code")), ",").alias("code_list"))
+    return rows.groupBy("works_per_code").agg(F.count("*").alias("codes"), F.min("canonical_code").alias("first_code"), F.max("canonical_code").alias("last_code"))
 
 
 @query("SELECT canonical_code, strftime(max(recorded_at), '%Y-%m-%d %H:%M:%S') AS last_recorded FROM clause_document_expression GROUP BY 1")

@@ -408,17 +408,17 @@ def g08_illegal_transitions(spark, sf_dir):
     return found.select("event_id", "from_state", "to_state")
 
 
-@query("SELECT user_id, n, n < ceil(before * 0.5) AND before >= 4 AS collapsed FROM (SELECT user_id, n, lag(n, 1, 0) OVER (ORDER BY user_id) AS before FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1))")
+@query("""WITH c AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2)
+SELECT event_type, CAST(day AS VARCHAR) AS day, n, n < ceil(before * 0.5) AND before >= 4 AS collapsed FROM (SELECT *, lag(n, 1, 0) OVER (PARTITION BY event_type ORDER BY day) AS before FROM c)""")
 def m01_collapse_guard(spark, sf_dir):
-    """Counts that fell under half of the one before."""
+    """Days on which a type of event fell under half of its day before."""
     from pyspark.sql import Window
 
     from palimpsest.streaming.feeds import collapsed_feed
 
-    # One row per user; the polls of one feed form one sequence.
-    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"))
-    rows = rows.withColumn("before", F.lag("n", 1, 0).over(Window.orderBy("user_id")))
-    return rows.select("user_id", "n", collapsed_feed(F.col("n"), F.col("before"), 0.5).alias("collapsed"))
+    rows = table(spark, sf_dir, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
+    rows = rows.withColumn("before", F.lag("n", 1, 0).over(Window.partitionBy("event_type").orderBy("day")))
+    return rows.select("event_type", F.col("day").cast("string").alias("day"), "n", collapsed_feed(F.col("n"), F.col("before"), 0.5).alias("collapsed"))
 
 
 @query("SELECT c_custkey, greatest(1, CAST(ceil(count(o_orderkey) / 10.0) AS BIGINT)) AS pages FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1")

@@ -7,11 +7,13 @@ import shutil
 import tempfile
 import uuid
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _OWN_DIR: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def ship(spark: SparkSession) -> None:
@@ -57,7 +59,9 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[made] = path
+    return made
 
 
 def materialize_counted(df: DataFrame, label: str, *metrics: Column) -> tuple[DataFrame, list]:
@@ -70,14 +74,11 @@ def materialize_counted(df: DataFrame, label: str, *metrics: Column) -> tuple[Da
 
 
 def discard(df: DataFrame) -> None:
-    """Delete the files behind a materialized DataFrame that is no longer read."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    base = shared_dir(spark)
-    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        if base.split("://")[-1].rstrip("/") in name:
-            path.getFileSystem(conf).delete(path, True)
+    """Delete the files behind a materialized DataFrame that nothing reads any more."""
+    if path := _WRITTEN.pop(df, None):
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

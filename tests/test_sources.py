@@ -162,3 +162,66 @@ def test_streamed_items_are_seen_once(spark, tmp_path):
     query = feeds.new_items(stream, "guid", "seen").writeStream.format("memory").queryName("items").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     query.awaitTermination(120)
     assert sorted(r.guid for r in spark.table("items").collect()) == ["a", "b", "c"]
+
+
+def compound(streams):
+    """A compound file with one small sector table: the streams lie in the mini stream."""
+    import struct
+
+    mini, table, entries = b"", [], []
+    for name, body in streams.items():
+        start, count = len(mini) // 64, max(1, -(-len(body) // 64))
+        mini += body.ljust(count * 64, b"\0")
+        table += [*range(start + 1, start + count), 0xFFFFFFFE]
+        entries.append((name, 2, start, len(body)))
+    sectors = -(-len(mini) // 512)
+    entries.insert(0, ("Root Entry", 5, 3, len(mini)))
+    directory = b""
+    for name, kind, start, size in entries:
+        raw = name.encode("utf-16-le") + b"\0\0"
+        directory += raw.ljust(64, b"\0") + struct.pack("<HBB", len(raw), kind, 1) + b"\xff" * 12 + b"\0" * 36 + struct.pack("<IQ", start, size)
+    directory = directory.ljust(512, b"\0")
+    fat = [0xFFFFFFFD, 0xFFFFFFFE, 0xFFFFFFFE, *range(4, 3 + sectors), 0xFFFFFFFE]
+    fat += [0xFFFFFFFF] * (128 - len(fat))
+    header = bytes.fromhex("D0CF11E0A1B11AE1") + b"\0" * 16 + struct.pack("<HHHHH", 0x3E, 3, 0xFFFE, 9, 6) + b"\0" * 6
+    header += struct.pack("<IIIIIIIII", 0, 1, 1, 0, 4096, 2, 1, 0xFFFFFFFE, 0) + struct.pack("<109I", 0, *[0xFFFFFFFF] * 108)
+    minifat = struct.pack("<128I", *table, *[0xFFFFFFFF] * (128 - len(table)))
+    return header + struct.pack("<128I", *fat) + directory[:512] + minifat + mini.ljust(sectors * 512, b"\0")
+
+
+def test_containers(spark):
+    from palimpsest.functions.text import media_type
+    from palimpsest.sources import containers
+
+    content = compound({"WordDocument": b"w" * 100, "Data": b"d" * 700})
+    file = containers.CompoundFile(content)
+    assert {e["name"]: file.read(e) for e in file.entries if e["kind"] == 2} == {"WordDocument": b"w" * 100, "Data": b"d" * 700}
+    package = io.BytesIO()
+    with zipfile.ZipFile(package, "w") as archive:
+        archive.writestr("mimetype", "application/vnd.oasis.opendocument.text")
+        archive.writestr("content.xml", "<x/>")
+    rows = [("a", content), ("b", package.getvalue()), ("c", b"%PDF-1.7"), ("d", office("x", "y"))]
+    df = spark.createDataFrame(rows, "path string, content binary")
+    got = containers.inspect_containers(df.where("path = 'a'"), containers.compound_streams).collect()
+    assert sorted((r.member, r.size, r.complete) for r in got) == [("Data", 700, True), ("WordDocument", 100, True)]
+    got = {(r.path, r.member) for r in containers.inspect_containers(df.where("path <> 'a'"), containers.package_members).collect()}
+    assert got == {("b", "mimetype"), ("b", "content.xml"), ("c", None), ("d", None)}
+    kinds = {r.path: r.m for r in df.select("path", media_type(F.col("content")).alias("m")).collect()}
+    assert kinds == {"a": "application/x-ole-storage", "b": "application/zip", "c": "application/pdf", "d": "application/zip"}
+    one = containers.deterministic_tar({"b": b"2", "a": b"1"})
+    assert one == containers.deterministic_tar({"a": b"1", "b": b"2"})
+
+
+def test_json_shapes(spark):
+    from palimpsest.functions import jsons
+
+    df = spark.createDataFrame([('{"a":[1,{"token":2}]}',), ("[]",), ("no",), (None,)], "j string")
+    j = F.col("j")
+    got = df.select(jsons.json_shape(j).alias("s"), jsons.has_key(j, "token").alias("k"), jsons.json_type(j, "$.a").alias("t")).collect()
+    assert [(tuple(r.s) if r.s else None, r.k, r.t) for r in got] == [((4, 5), True, "array"), ((1, 1), False, None), (None, None, None), (None, None, None)]
+
+
+def test_reader_highlight():
+    from palimpsest.operators.tagging import highlight
+
+    assert highlight([(0, 2, 1), (0, 4, 2), (3, 9, 0), (4, 5, 0), (4, 5, 1)]) == [(0, 4, 2), (4, 5, 0)]
