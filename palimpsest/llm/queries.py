@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from palimpsest.llm.leakage import find_leaks
 from palimpsest.llm.lookalike import same_look_pairs, same_look_parts, same_look_successors
 from palimpsest.llm.neardup import near_duplicates
+from palimpsest.llm.sql import SQL  # noqa: F401
 from palimpsest.llm.spans import shared_share, shared_spans
 from palimpsest.llm.tokenize import encode_table
 from palimpsest.llm.truncation import find_truncated
@@ -112,4 +113,4 @@ def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p5_found": p5_found, "p5_shares": p5_shares, "p4_found": p4_found, "p3_found": p3_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_sources": p10_sources}
-SQL: dict[str, str] = {}
+
