@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.functions.text import soft_wrapped
+
 
 def change_relation(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str = "relation") -> DataFrame:
     """Relation of each observation to the one before: ``first``, ``same`` or ``changed``; nulls compare as values."""
@@ -110,3 +112,22 @@ def outline_parents(df: DataFrame, keys: Sequence[str], order: str, depth: str)
         above = F.greatest(*[F.col(f"__l{i}") for i in range(1, d)]) if d > 2 else F.col("__l1")
         parent = F.when(F.col(depth) == d, above).otherwise(parent)
     return df.select("*", *lasts).withColumn("parent_order", parent).drop(*[f"__l{d}" for d in range(1, deepest + 1)])
+
+
+def logical_blocks(df: DataFrame, keys: Sequence[str], order: str, text: str) -> DataFrame:
+    """Physical lines folded into logical blocks: a line that continues the one before joins its block.
+
+    Result: keys, ``block_order`` from 0, ``first_line``, ``last_line`` and
+    ``block_text`` (lines joined without a separator). A line continues if
+    the one before isn't empty and has no closing punctuation, and it leads
+    with no outline marker; see :func:`palimpsest.functions.text.soft_wrapped`.
+    """
+    w = Window.partitionBy(*keys).orderBy("__o")
+    rows = df.select(*keys, F.col(order).alias("__o"), F.coalesce(F.col(text), F.lit("")).alias("__t"))
+    starts = ~F.coalesce(soft_wrapped(F.lag("__t").over(w), F.col("__t")), F.lit(False))
+    rows = rows.withColumn("__start", starts.cast("int"))
+    rows = rows.withColumn("block_order", (F.sum("__start").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1).cast("int"))
+    lines = F.array_sort(F.collect_list(F.struct("__o", "__t")))
+    return rows.groupBy(*keys, "block_order").agg(
+        F.min("__o").alias("first_line"), F.max("__o").alias("last_line"), F.array_join(F.transform(lines, lambda x: x["__t"]), "").alias("block_text")
+    )

@@ -101,3 +101,12 @@ def assembled_ranges(df: DataFrame, keys: Sequence[str], order: str, text: str,
 def wrong_schema(columns: Sequence[str], contract: Sequence[str]) -> dict[str, list[str]]:
     """Missing and unknown columns against a contract."""
     return {"missing": sorted(set(contract) - set(columns)), "unknown": sorted(set(columns) - set(contract))}
+
+
+def gate_report(violations: dict[str, DataFrame]) -> DataFrame:
+    """Violations of every gate, those without any included: ``gate, violations, passed``."""
+    made = None
+    for name, df in violations.items():
+        row = df.agg(F.count("*").alias("violations")).select(F.lit(name).alias("gate"), "violations", (F.col("violations") == 0).alias("passed"))
+        made = row if made is None else made.unionByName(row)
+    return made

@@ -49,3 +49,23 @@ def status_by_precedence(cases: Sequence[tuple[str, Column]], otherwise: str) ->
 def valid_at(start: Column, end: Column, at: Column) -> Column:
     """Half-open validity; a null end is open, a null start never valid."""
     return F.coalesce((start <= at) & (end.isNull() | (at < end)), F.lit(False))
+
+
+def as_of(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, values: Sequence[str]) -> DataFrame:
+    """Left rows with the ``values`` of the last right row of their key at or before their time.
+
+    Both tables have ``keys`` and ``time``. One union sorted per key gives the
+    last values; there is no join of times with times. Of several right rows
+    at one time the one with the greatest values counts. Nulls if there is none.
+    """
+    from pyspark.sql import Window
+
+    own = [c for c in left.columns]
+    tag = "__side"
+    right = right.groupBy(*keys, time).agg(F.max(F.struct(*values)).alias("__v"))
+    l = left.select(F.struct(*own).alias("__l"), *keys, F.col(time), F.lit(1).alias(tag))
+    r = right.select(*keys, time, F.col("__v"), F.lit(0).alias(tag))
+    both = l.unionByName(r, allowMissingColumns=True)
+    w = Window.partitionBy(*keys).orderBy(time, tag).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("__last", F.last("__v", ignorenulls=True).over(w)).where(F.col(tag) == 1)
+    return found.select("__l.*", *[F.col("__last")[v].alias(v) for v in values])

@@ -306,3 +306,49 @@ def k08_order_independence(spark, sf_dir):
     b = ids.row_sum_fingerprint(df.repartition("issuer").sortWithinPartitions(F.desc("event_id"))).select(F.col("fingerprint").alias("b"))
     # Single rows.
     return a.crossJoin(b).select((F.col("a") == F.col("b")).alias("equal"))
+
+
+@query("""WITH k AS (SELECT 'event keys' AS gate, count(*) AS n FROM (SELECT event_id FROM official_event GROUP BY 1 HAVING count(*) <> 1)
+UNION ALL SELECT 'hunk of segment', count(*) FROM (SELECT DISTINCT hunk_id, segment_order FROM clause_document_inline_diff_segment) WHERE hunk_id NOT IN (SELECT hunk_id FROM clause_document_diff_hunk)
+UNION ALL SELECT 'segment numbers', count(*) FROM (SELECT hunk_id FROM (SELECT DISTINCT hunk_id, segment_order FROM clause_document_inline_diff_segment) GROUP BY 1 HAVING NOT (min(segment_order) = 0 AND max(segment_order) = count(*) - 1))
+UNION ALL SELECT 'edition of expression', count(*) FROM clause_document_expression WHERE source_edition_version_id NOT IN (SELECT source_edition_version_id FROM source_edition))
+SELECT gate, n AS violations, n = 0 AS passed FROM k""")
+def k05_seal_report(spark, sf_dir):
+    """All gates of a run before it is sealed."""
+    segments = table(spark, sf_dir, "clause_document_inline_diff_segment").select("hunk_id", "segment_order").distinct()
+    return gates.gate_report(
+        {
+            "event keys": gates.duplicate_keys(table(spark, sf_dir, "official_event"), ["event_id"]),
+            "hunk of segment": gates.orphans(segments, table(spark, sf_dir, "clause_document_diff_hunk"), "hunk_id", "hunk_id"),
+            "segment numbers": gates.broken_sequences(segments, ["hunk_id"], "segment_order"),
+            "edition of expression": gates.orphans(
+                table(spark, sf_dir, "clause_document_expression").select("source_edition_version_id"), table(spark, sf_dir, "source_edition"),
+                "source_edition_version_id", "source_edition_version_id",
+            ),
+        }
+    )
+
+
+@query("""WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'), v AS (SELECT user_id, ts, max(event_id) AS seen_id FROM events WHERE event_type <> 'purchase' GROUP BY 1, 2)
+SELECT p.event_id, p.user_id, v.seen_id FROM p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts >= v.ts""")
+def g09_state_as_of(spark, sf_dir):
+    """For every purchase the user's last other event at its time."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    bought = events.where("event_type = 'purchase'").drop("event_type")
+    seen = events.where("event_type <> 'purchase'").select("user_id", "ts", F.col("event_id").alias("seen_id"))
+    return latest.as_of(bought, seen, ["user_id"], "ts", ["seen_id"]).select("event_id", "user_id", "seen_id")
+
+
+_MARK = r"^(?:[一二三四五六七八九十百]+、|[0-9]+(?:\.[0-9]+)*[.、]|[（(][0-9]+[)）]|[（(][一二三四五六七八九十]+[)）]|[A-Za-z][.)]|[Ⅰ-Ⅻⅰ-ⅻ][.、])"
+
+
+@query(rf"""WITH l AS (SELECT doc_id, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS o, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL),
+t AS (SELECT doc_id, o, a[o + 1] AS t FROM l), p AS (SELECT *, lag(t) OVER (PARTITION BY doc_id ORDER BY o) AS b FROM t),
+s AS (SELECT *, CASE WHEN coalesce(NOT regexp_matches(b, '[。；：:!?！？]\s*$') AND NOT regexp_matches(t, '{_MARK}') AND length(b) > 0, false) THEN 0 ELSE 1 END AS st FROM p),
+g AS (SELECT *, sum(st) OVER (PARTITION BY doc_id ORDER BY o) - 1 AS blk FROM s)
+SELECT doc_id, CAST(blk AS INT) AS block_order, CAST(min(o) AS INT) AS first_line, CAST(max(o) AS INT) AS last_line, sha256(string_agg(t, '' ORDER BY o)) AS text_sha256 FROM g GROUP BY 1, 2""")
+def f26_logical_blocks(spark, sf_dir):
+    """Lines of the documents folded into logical blocks."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t"))
+    made = chains.logical_blocks(lines, ["doc_id"], "line", "t")
+    return made.select("doc_id", "block_order", "first_line", "last_line", F.sha2("block_text", 256).alias("text_sha256"))

@@ -239,3 +239,28 @@ def test_label_and_strict_dates(spark):
     t = F.col("t")
     assert tuple(x(dates.label_date(t), "給付規定 105年1月版")) == ("2016-01", "month") and tuple(x(dates.label_date(t), "99年版")) == ("2010", "year") and x(dates.label_date(t), "x") is None
     assert [x(dates.strict_iso_date(t)["error"], v) for v in ("2020-02-30", "", None, "2020-02-29", "2020/02/01")] == ["invalid", "missing", "missing", None, "invalid"]
+
+
+def test_as_of_and_logical_blocks(spark):
+    left = spark.createDataFrame([("k", 5), ("k", 1), ("j", 9)], "k string, t int").withColumn("v", F.lit("own"))
+    right = spark.createDataFrame([("k", 2, "a"), ("k", 5, "b"), ("k", 5, "c"), ("k", 7, "d")], "k string, t int, w string")
+    assert rows(latest.as_of(left, right, ["k"], "t", ["w"])) == sorted([("k", 5, "own", "c"), ("k", 1, "own", None), ("j", 9, "own", None)], key=repr)
+    lines = [("d", 0, "1. 開頭"), ("d", 1, "接續。"), ("d", 2, "新段"), ("d", 3, "2. 下項"), ("d", 4, None), ("d", 5, "尾")]
+    made = chains.logical_blocks(spark.createDataFrame(lines, "d string, o int, t string"), ["d"], "o", "t")
+    assert [tuple(r) for r in made.orderBy("block_order").collect()] == [("d", 0, 0, 1, "1. 開頭接續。"), ("d", 1, 2, 2, "新段"), ("d", 2, 3, 4, "2. 下項"), ("d", 3, 5, 5, "尾")]
+
+
+def test_outline_parents(spark):
+    depths = [1, 2, 3, 3, 2, 1, 3]
+    df = spark.createDataFrame([("c", i, d) for i, d in enumerate(depths)], "c string, o int, d int")
+    got = {r.o: r.parent_order for r in chains.outline_parents(df, ["c"], "o", "d").collect()}
+    assert got == {i: next((j for j in range(i - 1, -1, -1) if depths[j] < d), None) for i, d in enumerate(depths)}
+
+
+def test_empty_tables(spark):
+    df = spark.createDataFrame([], "k string, o int, t string")
+    assert chains.text_states(df, ["k"], "o", F.col("t")).isEmpty() and latest.latest_rows(df, ["k"], ["o"]).isEmpty()
+    assert parity.grouped_reconcile(df, df, "k", "t", "t").isEmpty() and gates.overlapping_intervals(df, ["k"], "o", "o").isEmpty()
+    assert diff.unique_matches(df, df, ["k"], "o", "o", ["t"]).isEmpty() and grids.normalized_grid(df, ["k"], "o", "o", "o", "o", "t").isEmpty()
+    report = gates.gate_report({"keys": gates.duplicate_keys(df, ["k"])}).first()
+    assert (report.gate, report.violations, report.passed) == ("keys", 0, True)
