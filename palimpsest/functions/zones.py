@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import re
 import zoneinfo
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 from importlib import resources
 from pathlib import Path
 
@@ -81,8 +81,8 @@ class FixedOffset:
 def zone(text: str) -> ZoneTable | FixedOffset | None:
     """The zone that a text names: a region, an abbreviation or an offset; None if it names none."""
     text = text.strip().strip("[]()")
-    found = re.fullmatch(r"(?:UTC|GMT|UT)?\s*([+-−])(\d{1,2})(?::?(\d{2}))?(?::?\d{2})?", text.replace("−", "-"), re.IGNORECASE)
-    if found and found[1] in "+-":
+    found = re.fullmatch(r"(?:UTC|GMT|UT)?\s*([+-])(\d{1,2})(?::?(\d{2}))?(?::?\d{2})?", text.replace("−", "-"), re.IGNORECASE)
+    if found:
         minutes = int(found[2]) * 60 + int(found[3] or 0)
         return FixedOffset(-minutes if found[1] == "-" else minutes) if minutes <= 18 * 60 else None
     if text.upper() in ABBREVIATIONS:

@@ -9,17 +9,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from palimpsest.functions import timestamps as T
+from palimpsest.functions.dates import iso_seconds
 from palimpsest.functions.zones import tzdata_version
 
 
-def iso_seconds(seconds: Column) -> Column:
-    """``YYYY-MM-DDTHH:MM:SSZ`` of UTC epoch seconds, whatever the session's time zone."""
-    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int")).cast("string")
-    rest = F.pmod(seconds, F.lit(86400))
-    two = lambda c: F.lpad(F.floor(c).cast("string"), 2, "0")
-    return F.concat(day, F.lit("T"), two(rest / 3600), F.lit(":"), two(rest % 3600 / 60), F.lit(":"), two(rest % 60), F.lit("Z"))
-
-
 def utc_epoch(value: Column, clock_zone: Column | None = None, precision: Column | None = None) -> Column:
     """The first moment that a timestamp text means, as UTC epoch seconds.
 
