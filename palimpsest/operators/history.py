@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.operators.links import follow_links_counted
-from palimpsest.runtime import materialize
+from palimpsest.runtime import materialize, materialize_counted
 
 #: Versions from one full checkpoint to the next; also the longest run of
 #: patches that a reconstruction folds.
@@ -24,7 +24,8 @@ def version_paths(versions: DataFrame, edges: DataFrame, version: str, older: st
     path, ``position`` counts from 0. Versions that only the edges name are
     placed too. A version has one successor and one predecessor on its path;
     of several, the smallest id holds, and where two versions name the same
-    successor the path of the other one ends there. A cycle of edges is cut
+    successor the path of the other one ends there (see
+    :func:`follow_merges`). A cycle of edges is cut
     before its smallest version.
     """
     link = edges.select(F.col(older).alias("o"), F.col(newer).alias("n")).where("o is not null and n is not null and o <> n")
@@ -128,6 +129,40 @@ def validity(states: DataFrame, valid_from: str) -> DataFrame:
     )
 
 
+def follow_merges(rows: DataFrame, placed: DataFrame, edges: DataFrame, older: str, newer: str, valid_from: str) -> DataFrame:
+    """Close the last period of paths whose last version has its successor on another path.
+
+    That is so where several versions name one newer version. The period ends
+    with the first date at or after that version on the other path, or, if
+    there is none, beyond that path's own end. ``rows`` are of
+    :func:`validity`. The joins are on paths that end so; without any the
+    rows are returned as they are.
+    """
+    link = edges.select(F.col(older).alias("o"), F.col(newer).alias("n")).where("o is not null and n is not null and o <> n")
+    link = link.groupBy("o").agg(F.min("n").alias("n"))
+    a = placed.select(F.col("version").alias("o"), "path")
+    b = placed.select(F.col("version").alias("n"), F.col("path").alias("to_path"), F.col("position").alias("to_position"))
+    jumps, (left,) = materialize_counted(
+        link.join(a, "o").join(b, "n").where("path <> to_path").select("path", "to_path", "to_position"), "jumps", F.count("*")
+    )
+    dated = rows.select(F.col("path").alias("to_path"), "position", F.col(valid_from).alias("later"))
+    onward = jumps.select(F.col("path").alias("to_path"), F.col("to_path").alias("next_path"), F.col("to_position").alias("next_position"))
+    target, found = jumps, None
+    for _ in range(left):
+        hit = target.join(dated, "to_path").where("position >= to_position").groupBy("path").agg(F.min_by("later", "position").alias("later"))
+        hit = materialize(hit, "merges")
+        found = hit if found is None else found.unionByName(hit)
+        rest = target.join(hit, "path", "left_anti").join(onward, "to_path")
+        target, (left,) = materialize_counted(
+            rest.select("path", F.col("next_path").alias("to_path"), F.col("next_position").alias("to_position")), "jumps", F.count("*")
+        )
+        if not left:
+            break
+    if found is None:
+        return rows
+    return rows.join(found, "path", "left").withColumn("valid_to", F.coalesce("valid_to", "later")).drop("later")
+
+
 def version_history(
     versions: DataFrame,
     edges: DataFrame,
@@ -158,7 +193,7 @@ def version_history(
     ends = edges.select(F.col(older).cast("string").alias("o"), F.col(newer).cast("string").alias("n"))
     placed = version_paths(seen, ends, "v", "o", "n")
     store = materialize(store_history(seen, placed, "v", names), "history")
-    rows = validity(reconstruct(store, names), "valid_from")
+    rows = follow_merges(validity(reconstruct(store, names), "valid_from"), placed, ends, "o", "n", "valid_from")
     return rows.select(
         "version", "path", "position", "valid_from", "valid_to", *[F.col(n).alias(a) for a, n in zip(attributes, names[1:])]
     )

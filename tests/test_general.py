@@ -126,6 +126,19 @@ def test_version_history(spark):
     assert version_history(df.limit(0), ed.limit(0), **kw).collect() == []
 
 
+def test_versions_that_merge_or_run_in_circles(spark):
+    dates = {"a": "01", "b": "02", "d": "04", "e": "05", "x": "07", "y": "08", "g": "09"}
+    df = spark.createDataFrame([(v, dates.get(v)) for v in "abcdefghxyz"], "v string, f string")
+    # a and b become c, d; e becomes f, which joins b's line at c; g ends in h; x, y, z go round.
+    edges = spark.createDataFrame([("a", "c"), ("b", "c"), ("c", "d"), ("e", "f"), ("f", "b"), ("g", "h"), ("x", "y"), ("y", "z"), ("z", "x")], "o string, n string")
+    got = {r.version: (r.valid_from, r.valid_to) for r in version_history(df, edges, version="v", valid_from="f", older="o", newer="n").collect()}
+    assert got == {"a": ("01", "04"), "b": ("02", "04"), "d": ("04", None), "e": ("05", "02"), "g": ("09", None), "x": ("07", "08"), "y": ("08", None)}
+    far = spark.createDataFrame([("a", "c"), ("b", "c"), ("c", "k"), ("j", "k"), ("k", "m"), ("l", "m")], "o string, n string")
+    df = spark.createDataFrame([("b", "1"), ("l", "2"), ("m", "3"), ("j", "4")], "v string, f string")
+    got = {r.version: r.valid_to for r in version_history(df, far, version="v", valid_from="f", older="o", newer="n").collect()}
+    assert got == {"b": "3", "j": "3", "l": "3", "m": None}
+
+
 def test_long_history_is_split_into_checkpoints(spark):
     n = 100
     versions = spark.createDataFrame([(f"v{i:03}", f"2{i:03}-01-01" if i % 7 else None, "same") for i in range(n)], "v string, f string, a string")
