@@ -9,10 +9,12 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Callable, Iterator
+from itertools import groupby
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # XML name spaces of the formats.
 TEXT = "{urn:oasis:names:tc:opendocument:xmlns:text:1.0}"
@@ -21,8 +23,6 @@ OFFICE = "{urn:oasis:names:tc:opendocument:xmlns:office:1.0}"
 WORD = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 #: Bytes of one XML part; larger ones are refused.
 LARGEST_PART = 256 << 20
-#: A run of empty repeated rows or cells longer than this is padding to the sheet's end.
-PADDING = 1024
 
 
 def _part(content: bytes, name: str) -> ElementTree.Element:
@@ -81,35 +81,48 @@ def odt_blocks(content: bytes) -> list[dict]:
     return blocks
 
 
-def ods_cells(content: bytes) -> list[dict]:
-    """Typed cells of all sheets with repeated rows and columns expanded; the raw lexical value is kept, never coerced."""
+def ods_runs(content: bytes) -> list[dict]:
+    """Typed cells of all sheets as they are written, each with its first row and column and its repeats; cells without content are left out.
+
+    The raw lexical value is kept, never coerced.
+    """
     sheets = _part(content, "content.xml").iter(TABLE + "table")
     cells = []
     for sheet_index, sheet in enumerate(sheets):
         row_index = 0
         for row in sheet.iter(TABLE + "table-row"):
             repeat_rows = int(row.get(TABLE + "number-rows-repeated", "1"))
-            found, column = [], 0
+            column = 0
             for cell in row:
                 if cell.tag not in (TABLE + "table-cell", TABLE + "covered-table-cell"):
                     continue
                 repeat = int(cell.get(TABLE + "number-columns-repeated", "1"))
+                if repeat < 1 or repeat_rows < 1:
+                    raise ValueError("repeat below 1")
                 kind = cell.get(OFFICE + "value-type")
                 text = "\n".join(_odf_text(p) for p in cell.findall(TEXT + "p"))
                 if kind or text or cell.get(TABLE + "formula"):
                     raw = next((cell.get(OFFICE + a) for a in ("value", "date-value", "time-value", "boolean-value", "string-value") if cell.get(OFFICE + a) is not None), None)
-                    base = {
+                    cells.append({
                         "sheet": sheet.get(TABLE + "name"), "sheet_index": sheet_index, "covered": cell.tag.endswith("covered-table-cell"), "value_type": kind,
                         "raw_value": raw, "formula": cell.get(TABLE + "formula"), "rendered_text": text,
-                    }
-                    found.extend({**base, "column_index": column + k} for k in range(repeat))
+                        "row_index": row_index, "column_index": column, "row_repeat": repeat_rows, "column_repeat": repeat,
+                    })
                 column += repeat
-            if found:
-                cells.extend({**c, "row_index": row_index + k} for k in range(min(repeat_rows, PADDING)) for c in found)
             row_index += repeat_rows
     return cells
 
 
+def ods_cells(content: bytes) -> list[dict]:
+    """The cells of :func:`ods_runs` with all repeated rows and columns expanded, in the order of the sheets."""
+    cells = []
+    for _, row in groupby(ods_runs(content), lambda c: (c["sheet_index"], c["row_index"])):
+        runs = list(row)
+        bare = [({n: v for n, v in c.items() if n not in REPEATS}, c["column_index"], c["column_repeat"]) for c in runs]
+        cells.extend({**c, "row_index": c["row_index"] + r, "column_index": column + k} for r in range(runs[0]["row_repeat"]) for c, column, repeat in bare for k in range(repeat))
+    return cells
+
+
 def docx_blocks(content: bytes) -> list[dict]:
     """Paragraphs of a Word document in order, those in tables with their place."""
     body = _part(content, "word/document.xml").find(WORD + "body")
@@ -142,12 +155,17 @@ CELL_FIELDS = [
     ("sheet", pa.string()), ("sheet_index", pa.int32()), ("row_index", pa.int32()), ("column_index", pa.int32()), ("covered", pa.bool_()), ("value_type", pa.string()),
     ("raw_value", pa.string()), ("formula", pa.string()), ("rendered_text", pa.string()),
 ]
+REPEATS = ("row_repeat", "column_repeat")
 NAMES = {pa.int32(): "int", pa.string(): "string", pa.bool_(): "boolean"}
 
 
 def read_documents(files: DataFrame, parser: Callable[[bytes], list[dict]]) -> DataFrame:
-    """Parsed rows of ``(path, content)`` files; a file that can't be parsed gives one row with ``error``."""
-    fields = CELL_FIELDS if parser is ods_cells else BLOCK_FIELDS
+    """Parsed rows of ``(path, content)`` files; a file that can't be parsed gives one row with ``error``.
+
+    Of sheets the tasks give the cells as written, whose repeats Spark expands row by row.
+    """
+    fields = [*CELL_FIELDS, *((n, pa.int32()) for n in REPEATS)] if parser is ods_cells else BLOCK_FIELDS
+    parser = ods_runs if parser is ods_cells else parser
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,4 +180,9 @@ def read_documents(files: DataFrame, parser: Callable[[bytes], list[dict]]) -> D
                 yield pa.RecordBatch.from_arrays(columns, names=["path", "error", *[n for n, _ in fields]])
 
     schema = "path string, error string, " + ", ".join(f"{n} {NAMES[t]}" for n, t in fields)
-    return files.select("path", "content").mapInArrow(run, schema)
+    rows = files.select("path", "content").mapInArrow(run, schema)
+    if parser is ods_runs:
+        for at, repeat in zip(("row_index", "column_index"), REPEATS):
+            # A file with an error has no repeats and keeps its one row.
+            rows = rows.withColumn(at, F.explode_outer(F.sequence(F.col(at), F.col(at) + F.col(repeat) - 1))).drop(repeat)
+    return rows

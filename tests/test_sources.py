@@ -137,6 +137,20 @@ def test_office_documents(spark, tmp_path):
     assert len([r for r in got if r.error is None]) == 4 and [r.path.endswith("b.odt") for r in got if r.error] == [True]
 
 
+def test_long_repeats_of_cells_are_kept(spark, tmp_path):
+    row = '<table:table-row table:number-rows-repeated="{}"><table:table-cell/><table:table-cell table:number-columns-repeated="{}" office:value-type="string"><text:p>{}</text:p></table:table-cell></table:table-row>'
+    ods = f'<office:document-content {ODF}><office:body><office:spreadsheet><table:table table:name="S">{row.format(5000, 2, "a")}{row.format(1, 1, "b")}</table:table></office:spreadsheet></office:body></office:document-content>'
+    expected = [(r, c, "a") for r in range(5000) for c in (1, 2)] + [(5000, 1, "b")]
+    assert [(c["row_index"], c["column_index"], c["rendered_text"]) for c in documents.ods_cells(office("content.xml", ods))] == expected
+    (tmp_path / "a.ods").write_bytes(office("content.xml", ods))
+    (tmp_path / "b.ods").write_bytes(b"no zip")
+    got = documents.read_documents(tabular.blobs(spark, str(tmp_path), "*.ods"), documents.ods_cells)
+    assert got.columns == ["path", "error", *[n for n, _ in documents.CELL_FIELDS]]
+    rows = got.collect()
+    assert sorted((r.row_index, r.column_index, r.rendered_text) for r in rows if r.error is None) == expected
+    assert [(r.path.endswith("b.ods"), r.row_index) for r in rows if r.error] == [(True, None)]
+
+
 def test_streamed_transitions_equal_the_batch(spark, tmp_path):
     source, sink = tmp_path / "in", tmp_path / "out"
     source.mkdir()
