@@ -25,9 +25,11 @@ class Page(HTMLParser):
         self.text: list[str] = []
         self.links: list[dict] = []
         self.tables: list[list[list[str]]] = []
+        #: The links of each cell of ``tables``.
+        self.cell_links: list[list[list[list[dict]]]] = []
         self._silent = 0
-        self._open: list[list[list[str]]] = []
-        self._cells: list[list[str] | None] = []
+        self._open: list[list[list[tuple[list[str], list[dict]]]]] = []
+        self._cells: list[tuple[list[str], list[dict]] | None] = []
         self._anchor: dict | None = None
 
     def handle_starttag(self, tag, attrs):
@@ -44,10 +46,10 @@ class Page(HTMLParser):
         elif tag in ("td", "th") and self._open:
             if not self._open[-1]:
                 self._open[-1].append([])
-            self._cells[-1] = []
+            self._cells[-1] = ([], [])
             self._open[-1][-1].append(self._cells[-1])
         elif tag == "a":
-            self._anchor = {"href": dict(attrs).get("href"), "label": [], "title": dict(attrs).get("title")}
+            self._anchor = {"href": dict(attrs).get("href"), "label": [], "title": dict(attrs).get("title"), "cell": self._cells[-1] if self._cells else None}
 
     def handle_endtag(self, tag):
         if tag in SILENT and self._silent:
@@ -59,11 +61,15 @@ class Page(HTMLParser):
         elif tag == "table" and self._open:
             rows = self._open.pop()
             self._cells.pop()
-            self.tables.append([["".join(c).strip() if isinstance(c, list) else c for c in row] for row in rows])
+            self.tables.append([["".join(text).strip() for text, _ in row] for row in rows])
+            self.cell_links.append([[links for _, links in row] for row in rows])
         elif tag == "a" and self._anchor is not None:
             if self._anchor["href"]:
                 label = " ".join("".join(self._anchor["label"]).split())
-                self.links.append({"href": self._anchor["href"], "label": label or self._anchor["title"] or ""})
+                link = {"href": self._anchor["href"], "label": label or self._anchor["title"] or ""}
+                self.links.append(link)
+                if self._anchor["cell"] is not None:
+                    self._anchor["cell"][1].append(link)
             self._anchor = None
 
     def handle_data(self, data):
@@ -73,7 +79,7 @@ class Page(HTMLParser):
         if self._anchor is not None:
             self._anchor["label"].append(data)
         if self._cells and self._cells[-1] is not None:
-            self._cells[-1].append(data)
+            self._cells[-1][0].append(data)
 
 
 def parse_page(source: str) -> Page:
@@ -121,15 +127,21 @@ def attachment_links(source: str, base: str) -> list[dict]:
 
 
 def listing_rows(source: str, base: str) -> list[dict]:
-    """Rows of listing tables that hold a link: ``title, url, cells``."""
-    links = {link["label"]: urljoin(base, link["href"]) for link in parse_page(source).links}
+    """Rows of listing tables that hold a link: ``title, url, cells, links``.
+
+    ``links`` has every link of the row in order: ``column_index, url,
+    label``. Title and address are those of the first link that is its whole
+    cell, else of the first with a label, else of the first.
+    """
+    page = parse_page(source)
     out = []
-    for rows in parse_page(source).tables:
-        for row in rows:
-            hit = next((c for c in row if " ".join(c.split()) in links), None)
-            if hit is not None:
-                title = " ".join(hit.split())
-                out.append({"title": title, "url": links[title], "cells": row})
+    for rows, linked in zip(page.tables, page.cell_links):
+        for row, cells in zip(rows, linked):
+            links = [{"column_index": c, "url": urljoin(base, link["href"]), "label": link["label"]} for c, cell in enumerate(cells) for link in cell]
+            if links:
+                whole = (link for link in links if link["label"] and link["label"] == " ".join(row[link["column_index"]].split()))
+                main = next(whole, None) or next((link for link in links if link["label"]), links[0])
+                out.append({"title": main["label"], "url": main["url"], "cells": row, "links": links})
     return out
 
 

@@ -104,6 +104,16 @@ def test_html(spark):
     assert got[0].t == shown and len(got[0].p) == 2 and len(got[0].l) == 2 and tuple(got[1]) == (None, None, None)
 
 
+def test_listing_rows_keep_their_own_links():
+    row = "<tr><td>{0}</td><td><a href='d{0}.html'>修正給付規定</a></td><td><a href='{0}.pdf'>PDF</a> <a href='{0}.odt'>ODT</a></td></tr>"
+    page = "<a href='/home'>修正給付規定</a><table><tr><th>n</th><th>修正給付規定</th><th></th></tr>" + "".join(row.format(i) for i in range(20)) + "</table>"
+    got = markup.listing_rows(page, "https://ex.org/")
+    assert [(x["title"], x["url"], x["cells"]) for x in got] == [("修正給付規定", f"https://ex.org/d{i}.html", [str(i), "修正給付規定", "PDF ODT"]) for i in range(20)]
+    assert [(x["column_index"], x["url"], x["label"]) for x in got[7]["links"]] == [(1, "https://ex.org/d7.html", "修正給付規定"), (2, "https://ex.org/7.pdf", "PDF"), (2, "https://ex.org/7.odt", "ODT")]
+    (inner, outer) = markup.listing_rows("<table><tr><td><a href='o'>out</a><table><tr><td>see <a href='i'>in</a></td></tr></table></td></tr></table>", "https://ex.org/")
+    assert (inner["title"], inner["url"], outer["title"], outer["url"]) == ("in", "https://ex.org/i", "out", "https://ex.org/o")
+
+
 def test_rss(spark):
     item = "<item><guid>{0}</guid><title>t{0}</title><link>l</link><pubDate>d</pubDate></item>"
     feed = "<rss><channel>" + item.format(1) + item.format(2) + "</channel></rss>"
