@@ -73,20 +73,23 @@ def significant_lengths(rows: DataFrame) -> DataFrame:
 
     ``rows`` has ``source``, ``chars`` and ``bytes``. Result ``(source, unit,
     length, n, hazard, expected, p)``. The hazard of a length is the share of
-    the texts of at least this length that have just this one; it is tested
-    against the mean hazard of the lengths that occur among the ``NEIGHBOURS``
-    on either side, at the same number at risk, by a Chernoff bound of the Poisson tail. Benjamini-Hochberg keeps the false
-    discoveries under ``FALSE_DISCOVERIES``; its ranks come from counts over
-    p-value bins, whose number doesn't grow with the data.
+    the texts of at least this length that have just this one. ``expected`` is
+    the mean hazard of the lengths that occur among the ``NEIGHBOURS`` on
+    either side (each weighed by its number at risk) times the number at risk;
+    ``n`` is tested against it by a Chernoff bound of the Poisson tail.
+    Benjamini-Hochberg keeps the false discoveries under
+    ``FALSE_DISCOVERIES``; its ranks come from counts over p-value bins, whose
+    number doesn't grow with the data.
     """
     units = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("length"))))
     counts = rows.select("source", units.alias("u")).select("source", "u.*").groupBy("source", "unit", "length").agg(F.count("*").alias("n"))
     by = Window.partitionBy("source", "unit").orderBy("length")
-    at_risk = F.sum("n").over(by.rowsBetween(0, Window.unboundedFollowing))
+    counts = counts.withColumn("at_risk", F.sum("n").over(by.rowsBetween(0, Window.unboundedFollowing)))
     ring = lambda what: F.coalesce(what.over(by.rangeBetween(-NEIGHBOURS, NEIGHBOURS)) - what.over(by.rangeBetween(-NEAREST, NEAREST)), F.lit(0))
     # Only lengths that occur count as neighbours: texts of three-byte characters alone leave two of three lengths in bytes empty.
-    expected = (ring(F.sum("n")) + 0.5) / F.greatest(ring(F.count("*")), F.lit(1))
-    tests = counts.select("source", "unit", "length", "n", (F.col("n") / at_risk).alias("hazard"), expected.alias("expected"))
+    counts = counts.withColumn("stopped", ring(F.sum("n")) + 0.5).withColumn("passed", ring(F.sum("at_risk")))
+    expected = F.when(F.col("passed") > 0, F.col("stopped") / F.col("passed") * F.col("at_risk")).otherwise(F.col("stopped"))
+    tests = counts.select("source", "unit", "length", "n", (F.col("n") / F.col("at_risk")).alias("hazard"), expected.alias("expected"))
     tail = F.when(F.col("n") <= F.col("expected"), 0.0).otherwise(F.col("n") - F.col("expected") + F.col("n") * F.ln(F.col("expected") / F.col("n")))
     tests = tests.withColumn("log_p", F.least(tail, F.lit(0.0)))
     tests = tests.withColumn("bin", F.greatest(F.ceil(F.col("log_p") * 20), F.lit(-20000)))

@@ -280,3 +280,19 @@ def test_length_limits_are_found(spark):
     assert cut == {i for i, _, t in rows if not t.endswith("。")}
     empty, none = truncation.find_truncated(df.limit(0), key="doc_id", text="text", source="source")
     assert empty.collect() == [] and none.collect() == []
+
+
+def test_lengths_are_tested_by_their_hazard(spark):
+    # Half of those at risk stop at every length from 100 on: their numbers fall steeply, their hazards are equal.
+    # At 200 and more few are left: 40 of 60 stop at 205, where one in ten does around it.
+    steep = [("steep", 100 + 4 * k, 2048 >> k) for k in range(11)]
+    late = [("late", 190 + k, 1000 if k < 11 else 40 if k == 15 else 1) for k in range(31)]
+    rows = [(s, length) for s, length, n in steep + late for _ in range(n)]
+    df = spark.createDataFrame(rows, "source string, chars long").withColumn("bytes", F.col("chars"))
+    got = {(r.source, r.length): r for r in truncation.significant_lengths(df).where("unit = 'chars'").collect()}
+    assert ("late", 205) in got and not [k for k in got if k[0] == "steep"]
+    risk = lambda at: sum(1 for s, length in rows if s == "late" and length >= at)
+    near = [length for length in range(190, 221) if abs(length - 205) > truncation.NEAREST and abs(length - 205) <= truncation.NEIGHBOURS]
+    stopped = sum(1 for s, length in rows if s == "late" and length in near)
+    expected = (stopped + 0.5) / sum(risk(length) for length in near) * risk(205)
+    assert got["late", 205].expected == pytest.approx(expected) and got["late", 205].hazard == 40 / risk(205)
