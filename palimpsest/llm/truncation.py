@@ -19,6 +19,8 @@ NEIGHBOURS, NEAREST = 20, 3
 FALSE_DISCOVERIES = 0.01
 #: Characters of the ending that the rules read; what they name is shorter.
 ENDING = 400
+#: More characters than one piece behind a cut has: a text stripped to fewer of an ending is stripped further ahead of it.
+PIECE = 64
 
 # Blanks and characters without any mark, which may follow an ending.
 BLANK = " \t\r\n\u000b\f ­            ​‌‍‎‏  ‪‫‬‭‮  ⁠　﻿"
@@ -42,29 +44,55 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _state(text: Column, bare: Column, tail: Column, line: Column) -> Column:
+def _state(text: Column, bare: Column, tail: Column, line: Column, weak: str) -> Column:
     single = ~F.contains(F.call_function("ltrim", F.lit(BLANK), bare), F.lit("\n"))
     is_heading = (F.char_length(line) <= 60) & ~F.rlike(line, F.lit("[，；。,;]")) & F.rlike(line, F.lit(HEADING)) & single
     finished = F.rlike(tail, F.lit(SENTENCE)) | F.rlike(tail, F.lit(END_MARK))
-    for rule in (DATE_LINE, SIGNATURE, LIST_ENTRY):
+    for rule in (DATE_LINE, SIGNATURE):
         finished = finished | F.rlike(line, F.lit(rule))
     return (
         F.when(text.isNull() | (bare == ""), None)
-        .when(finished | is_heading, "finished")
         # Nothing but ornaments and markup is no sentence.
-        .when((tail == "") & (F.char_length(bare) < ENDING), "finished")
+        .when(finished | (tail == ""), "finished")
+        .when(F.rlike(line, F.lit(LIST_ENTRY)) | is_heading, weak)
         .when(F.rlike(line, F.lit(UNCLEAR)), "unclear")
         .otherwise("broken")
     )
 
 
-def ending_state(text: Column) -> Column:
-    """``finished``, ``unclear`` or ``broken``: how a text ends; null for a null, empty or blank text."""
-    behind = lambda bare: F.regexp_replace(F.right(bare, F.lit(ENDING)), F.lit(BEHIND), F.lit(""))
+def _stripped(bare: Column) -> Column:
+    """The last ``ENDING`` characters (at most) of a text, without all that stands behind its stop."""
+    strip = lambda part: F.regexp_replace(part, F.lit(BEHIND), F.lit(""))
+
+    def ahead(whole: Column) -> Column:
+        # Window after window from the end; a piece that a window's start cuts stays for the next one.
+        start = F.struct(F.char_length(whole).alias("kept"), F.lit(False).alias("done"))
+        before = lambda kept: F.greatest(kept - ENDING, F.lit(0))
+
+        def step(at: Column, _: Column) -> Column:
+            left = F.char_length(strip(F.substring(whole, before(at["kept"]) + 1, at["kept"] - before(at["kept"]))))
+            return F.when(at["done"], at).otherwise(
+                _let(left, lambda n: F.struct((before(at["kept"]) + n).alias("kept"), ((n >= PIECE) | (at["kept"] <= ENDING)).alias("done")))
+            )
+
+        rounds = F.sequence(F.lit(1), F.ceil(F.char_length(whole) / (ENDING - PIECE)).cast("int") + 1)
+        return _let(F.aggregate(rounds, start, step)["kept"], lambda kept: F.substring(whole, before(kept) + 1, kept - before(kept)))
+
+    # Dots are one piece however many they are.
+    long = lambda: _let(F.regexp_replace(bare, F.lit(r"\.{3,}"), F.lit("…")), ahead)
+    return _let(strip(F.right(bare, F.lit(ENDING))), lambda near: F.when((F.char_length(near) >= PIECE) | (F.char_length(bare) <= ENDING), near).otherwise(long()))
+
+
+def ending_state(text: Column, weak: str = "finished") -> Column:
+    """``finished``, ``unclear`` or ``broken``: how a text ends; null for a null, empty or blank text.
+
+    ``weak`` is the state of a list entry or a heading, whose rules also fit
+    some cuts inside them.
+    """
     last_line = lambda tail: F.trim(F.substring_index(tail, "\n", -1))
     return _let(
         F.call_function("rtrim", F.lit(BLANK), text),
-        lambda bare: _let(behind(bare), lambda tail: _let(last_line(tail), lambda line: _state(text, bare, tail, line))),
+        lambda bare: _let(_stripped(bare), lambda tail: _let(last_line(tail), lambda line: _state(text, bare, tail, line, weak))),
     )
 
 
@@ -106,9 +134,10 @@ def find_truncated(documents: DataFrame, *, key: str, text: str, source: str) ->
 
     The first result is ``(key, source, ending, at_limit, truncated)`` of
     every row with a text that isn't blank: ``ending`` as of
-    :func:`ending_state`, ``at_limit`` whether its length in characters or
+    :func:`ending_state` with list entries and headings ``unclear``, ``at_limit`` whether its length in characters or
     bytes is significant for its source. A text is truncated if its ending is
-    broken, or unclear at a significant length: cuts in mid-transfer have no
+    broken, or unclear at a length that is significant among the texts that
+    are neither list entries nor headings: cuts in mid-transfer have no
     length of their own, so a broken ending counts at any length. Null
     sources are a source of their own; repeated rows stay repeated.
     """
@@ -117,16 +146,18 @@ def find_truncated(documents: DataFrame, *, key: str, text: str, source: str) ->
         F.coalesce(F.col(source), F.lit("")).alias("source"),
         F.char_length(text).cast("long").alias("chars"),
         F.octet_length(text).cast("long").alias("bytes"),
-        ending_state(F.col(text)).alias("ending"),
+        ending_state(F.col(text), weak="weak").alias("ending"),
     ).where("ending is not null")
     # The texts are read once; what is left of a document are its lengths and its ending.
     rows = materialize(rows, "endings")
-    limits = significant_lengths(rows)
+    # Headings and list entries are of like lengths by themselves, which would make these significant.
+    limits = significant_lengths(rows.where("ending <> 'weak'"))
     # A few lengths per source; each side of the join is one row per length and source.
     one = limits.select("source", "unit", F.col("length"), F.lit(True).alias("hit"))
     by_chars = one.where("unit = 'chars'").select("source", F.col("length").alias("chars"), F.col("hit").alias("hit_chars"))
     by_bytes = one.where("unit = 'bytes'").select("source", F.col("length").alias("bytes"), F.col("hit").alias("hit_bytes"))
     marked = rows.join(by_chars, ["source", "chars"], "left").join(by_bytes, ["source", "bytes"], "left")
     at_limit = F.col("hit_chars").isNotNull() | F.col("hit_bytes").isNotNull()
-    truncated = (F.col("ending") == "broken") | ((F.col("ending") == "unclear") & at_limit)
-    return marked.select(F.col("__key").alias(key), "source", "ending", at_limit.alias("at_limit"), truncated.alias("truncated")), limits
+    truncated = (F.col("ending") == "broken") | (F.col("ending").isin("unclear", "weak") & at_limit)
+    ending = F.when(F.col("ending") == "weak", "unclear").otherwise(F.col("ending"))
+    return marked.select(F.col("__key").alias(key), "source", ending.alias("ending"), at_limit.alias("at_limit"), truncated.alias("truncated")), limits

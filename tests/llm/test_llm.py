@@ -282,6 +282,30 @@ def test_length_limits_are_found(spark):
     assert empty.collect() == [] and none.collect() == []
 
 
+def test_endings_behind_long_ornaments(spark):
+    body = "句子" * 300
+    behind = ["…" * 400, "<br>" * 3000, "&nbsp;" * 200, "." * 401, "★ <span class='x'>" * 60, "</p>\n" * 67 + "..." * 150]
+    rows = [(f"{body}。{b}", "finished") for b in behind] + [(f"{body}{b}", "broken") for b in behind] + [("★" * 399, "finished"), ("★" * 1500, "finished"), (f"短。{'★' * 900}", "finished")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "i int, t string").repartition(1)
+    got = {r.i: r.e for r in df.select("i", truncation.ending_state(F.col("t")).alias("e")).collect()}
+    assert [got[i] for i in range(len(rows))] == [e for _, e in rows]
+
+
+def test_lengths_decide_list_entries_and_headings(spark):
+    rng = random.Random(17)
+    # A source cuts at 255 and 40 characters, some inside a list entry or behind a word of headings.
+    # The others have whole entries and headings, of like lengths, and no limit.
+    ends = [words(rng, rng.randrange(10, 600)) + "。" for _ in range(600)]
+    cut = ["句" * 255] * 60 + ["句" * 40] * 60 + ["句" * 244 + "\n8. 膜衣錠 8 m", "某" * 36 + "給付規定"]
+    rows = [("cut", t) for t in ends + cut] + [("whole", t) for t in ends + ["句。\n8. 沛立瑞膜衣錠 99 mg"] * 60 + ["達莎可乳膏公告附表"] * 60]
+    assert {len(t) for t in cut} == {255, 40}
+    df = spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate(rows)], "doc_id long, source string, text string")
+    found, limits = truncation.find_truncated(df, key="doc_id", text="text", source="source")
+    got = {r.doc_id for r in found.where("truncated").collect()}
+    assert got == {i for i, (s, t) in enumerate(rows) if s == "cut" and t in cut}
+    assert {(r.source, r.length) for r in limits.where("unit = 'chars'").collect()} == {("cut", 40), ("cut", 255)}
+
+
 def test_lengths_are_tested_by_their_hazard(spark):
     # Half of those at risk stop at every length from 100 on: their numbers fall steeply, their hazards are equal.
     # At 200 and more few are left: 40 of 60 stop at 205, where one in ten does around it.
