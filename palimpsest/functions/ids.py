@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -65,22 +67,63 @@ def row_hash(df: DataFrame, columns: list[str] | None = None, newline: bool = Tr
     return F.sha2(F.concat(text, F.lit("\n")) if newline else text, 256)
 
 
+def _sorted_fingerprint(df: DataFrame, columns: list[str] | None, by: tuple[str, ...], newline: bool) -> DataFrame:
+    """SHA-256 over the sorted row hashes of each group, each closed by a newline or with newlines only between them.
+
+    A window sorts by group and hash, on disk where need be, and one pass
+    over its rows digests them: a group is one task's work, as SHA-256 reads
+    its bytes in order, but it is never held in memory.
+    """
+    keys = [f"__k{i}" for i in range(len(by))]
+    rows = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], row_hash(df, columns, newline).alias("__h"))
+    rows = rows.withColumn("__first", F.row_number().over(Window.partitionBy(*keys).orderBy("__h")) == 1)
+    made = rows.select(*keys, F.col("__h").alias("fingerprint"), F.lit(0).cast("bigint").alias("row_count"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, digest, count = None, None, 0
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*key, pa.array([digest.hexdigest()]), pa.array([count], pa.int64())], names=[*keys, "fingerprint", "row_count"])
+
+        for batch in batches:
+            hashes = batch.column("__h").to_pylist()
+            starts = [i for i, first in enumerate(batch.column("__first").to_pylist()) if first]
+            # The rows before the first start go on with the group of the batch before.
+            for at, end in zip([0, *starts], [*starts, len(hashes)]):
+                if at == end:
+                    continue
+                if batch.column("__first")[at].as_py():
+                    if key is not None:
+                        yield row()
+                    key, digest, count = [batch.column(k).slice(at, 1) for k in keys], hashlib.sha256(), 0
+                text = "\n".join(hashes[at:end])
+                digest.update((text + "\n" if newline else "\n" + text if count else text).encode())
+                count += end - at
+        if key is not None:
+            yield row()
+
+    found = rows.mapInArrow(run, made.schema)
+    if not by:
+        # A table without rows has a fingerprint, too.
+        nothing = F.lit(hashlib.sha256().hexdigest())
+        return found.agg(F.coalesce(F.first("fingerprint"), nothing).alias("fingerprint"), F.coalesce(F.first("row_count"), F.lit(0)).cast("bigint").alias("row_count"))
+    return found.select(*[F.col(k).alias(c) for c, k in zip(by, keys)], "fingerprint", "row_count")
+
+
 def row_set_fingerprint(df: DataFrame, columns: list[str] | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Fingerprint of a set of rows that their order doesn't change, per ``by`` group.
 
-    SHA-256 over the sorted row hashes, each closed by a newline. The hashes
-    of a group are gathered in one place; use it for sealed runs of bounded
-    size and :func:`row_sum_fingerprint` for tables of any size.
+    SHA-256 over the sorted row hashes, each closed by a newline. Its bytes
+    are digested in order, so a group takes one task, in constant memory; the
+    sum of :func:`row_sum_fingerprint` is for tables whose hashes should
+    combine map-side.
     """
-    rows = df.select(*by, row_hash(df, columns).alias("__h"))
-    text = F.array_join(F.transform(F.sort_array(F.collect_list("__h")), lambda h: F.concat(h, F.lit("\n"))), "")
-    return rows.groupBy(*by).agg(F.sha2(text, 256).alias("fingerprint"), F.count("*").alias("row_count"))
+    return _sorted_fingerprint(df, columns, by, True)
 
 
 def portable_fingerprint(df: DataFrame, columns: list[str] | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """As :func:`row_set_fingerprint`, with newlines only between the hashes and none in the rows."""
-    rows = df.select(*by, row_hash(df, columns, newline=False).alias("__h"))
-    return rows.groupBy(*by).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("__h")), "\n"), 256).alias("fingerprint"), F.count("*").alias("row_count"))
+    return _sorted_fingerprint(df, columns, by, False)
 
 
 def row_sum_fingerprint(df: DataFrame, columns: list[str] | None = None, by: tuple[str, ...] = ()) -> DataFrame:

@@ -95,6 +95,24 @@ def a21_portable_fingerprint(spark, sf_dir):
     return ids.portable_fingerprint(table(spark, sf_dir, "nation"), ["n_nationkey", "n_name", "n_regionkey"], ("n_regionkey",))
 
 
+_EXPRESSION = ["expression_id", "clause_work_id", "source_edition_version_id", "exact_text"]
+_EXPRESSION_ROW = """'{"clause_work_id":' || to_json(clause_work_id) || ',"exact_text":' || to_json(exact_text) || ',"expression_id":' || to_json(expression_id) || ',"source_edition_version_id":' || to_json(source_edition_version_id) || '}'"""
+
+
+@query(f"""WITH h AS (SELECT source_edition_version_id, sha256({_EXPRESSION_ROW} || chr(10)) AS h FROM clause_document_expression)
+SELECT source_edition_version_id, sha256(string_agg(h || chr(10), '' ORDER BY h)) AS fingerprint, count(*) AS row_count FROM h GROUP BY 1""")
+def a20_edition_fingerprints(spark, sf_dir):
+    """Order-independent fingerprints of the clause texts of each edition."""
+    return ids.row_set_fingerprint(table(spark, sf_dir, "clause_document_expression"), _EXPRESSION, ("source_edition_version_id",))
+
+
+@query(f"""WITH h AS (SELECT source_edition_version_id, sha256({_EXPRESSION_ROW}) AS h FROM clause_document_expression)
+SELECT source_edition_version_id, sha256(string_agg(h, chr(10) ORDER BY h)) AS fingerprint, count(*) AS row_count FROM h GROUP BY 1""")
+def a21_edition_fingerprints(spark, sf_dir):
+    """The portable variant of the fingerprints by edition."""
+    return ids.portable_fingerprint(table(spark, sf_dir, "clause_document_expression"), _EXPRESSION, ("source_edition_version_id",))
+
+
 @query()
 def a22_table_fingerprints(spark, sf_dir):
     """Fingerprints of whole tables that combine map-side."""

@@ -264,3 +264,28 @@ def test_empty_tables(spark):
     assert diff.unique_matches(df, df, ["k"], "o", "o", ["t"]).isEmpty() and grids.normalized_grid(df, ["k"], "o", "o", "o", "o", "t").isEmpty()
     report = gates.gate_report({"keys": gates.duplicate_keys(df, ["k"])}).first()
     assert (report.gate, report.violations, report.passed) == ("keys", 0, True)
+
+
+def test_fingerprints_of_groups_larger_than_a_batch(spark):
+    import hashlib
+
+    rows = [(None if i % 3 == 0 else "g" if i % 3 == 1 else f"own{i}", i) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, n int").repartition(3)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    groups: dict = {}
+    for k, n in rows:
+        groups.setdefault(k, []).append(f'{{"n":{n}}}')
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        one, two = ids.row_set_fingerprint(df, ["n"], ("k",)), ids.portable_fingerprint(df, ["n"], ("k",))
+        got, portable = ({r.k: (r.fingerprint, r.row_count) for r in d.collect()} for d in (one, two))
+        # Hashes of a group are never gathered in one value.
+        assert not [d for d in (one, two) if "collect_list" in d._jdf.queryExecution().optimizedPlan().toString()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == {k: (sha("".join(f"{h}\n" for h in sorted(sha(t + "\n") for t in texts))), len(texts)) for k, texts in groups.items()}
+    assert portable == {k: (sha("\n".join(sorted(map(sha, texts)))), len(texts)) for k, texts in groups.items()}
+    empty = ids.row_set_fingerprint(df.limit(0), ["n"]).collect()
+    assert [tuple(r) for r in empty] == [(sha(""), 0)] and ids.row_set_fingerprint(df.limit(0), ["n"], ("k",)).collect() == []
+    assert df.where("n = 5").select(ids.row_hash(df, ["n"], newline=False)).first()[0] == sha('{"n":5}')
