@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -81,8 +82,20 @@ def compound_streams(content: bytes) -> list[dict]:
     return [{"member": e["name"], "size": e["size"], "complete": len(file.read(e)) == e["size"]} for e in file.entries if e["kind"] == 2]
 
 
+def _readable(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> bool:
+    """Whether a member has its stated size and checksum."""
+    size = 0
+    try:
+        with archive.open(info) as member:
+            while chunk := member.read(1 << 20):
+                size += len(chunk)
+    except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError):
+        return False
+    return size == info.file_size
+
+
 def package_members(content: bytes) -> list[dict]:
-    """Members of an ODF package with their sizes; the type must come first and uncompressed, names must be safe and unique."""
+    """Members of an ODF package with their sizes, and whether each could be read in full; the type must come first and uncompressed, names must be safe and unique."""
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         infos = archive.infolist()
         first = infos[0] if infos else None
@@ -95,7 +108,7 @@ def package_members(content: bytes) -> list[dict]:
             raise ValueError("unsafe or repeated member names")
         if any(i.flag_bits & 1 for i in infos):
             raise ValueError("encrypted member")
-        return [{"member": i.filename, "size": i.file_size, "complete": archive.testzip() is None if i is first else True} for i in infos]
+        return [{"member": i.filename, "size": i.file_size, "complete": _readable(archive, i)} for i in infos]
 
 
 def inspect_containers(files: DataFrame, parser) -> DataFrame:

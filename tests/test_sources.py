@@ -236,6 +236,22 @@ def test_containers(spark):
     assert one == containers.deterministic_tar({"a": b"1", "b": b"2"})
 
 
+def test_each_member_is_complete_on_its_own():
+    from palimpsest.sources import containers
+
+    for method in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+        package = io.BytesIO()
+        with zipfile.ZipFile(package, "w") as archive:
+            archive.writestr("mimetype", "application/vnd.oasis.opendocument.text")
+            archive.writestr("content.xml", bytes(range(256)) * 20, method)
+            archive.writestr("styles.xml", "<y/>", method)
+            at = archive.getinfo("content.xml").header_offset + 30 + len("content.xml")
+        whole = package.getvalue()
+        broken = whole[: at + 50] + bytes(b ^ 255 for b in whole[at + 50 : at + 60]) + whole[at + 60 :]
+        assert [(m["member"], m["complete"]) for m in containers.package_members(whole)] == [("mimetype", True), ("content.xml", True), ("styles.xml", True)]
+        assert [(m["member"], m["complete"]) for m in containers.package_members(broken)] == [("mimetype", True), ("content.xml", False), ("styles.xml", True)]
+
+
 def test_json_shapes(spark):
     from palimpsest.functions import jsons
 
