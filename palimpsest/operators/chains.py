@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from palimpsest.functions.text import soft_wrapped
+from palimpsest.runtime import materialize
 
 
 def change_relation(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str = "relation") -> DataFrame:
@@ -79,39 +81,39 @@ def new_values(df: DataFrame, keys: Sequence[str], order: str, values: str, out:
     return df.withColumn(out, F.array_sort(F.array_except(values, F.coalesce(F.lag(values).over(w), F.array().cast(df.schema[values].dataType)))))
 
 
+def _by_depth(df: DataFrame, depth: str) -> tuple[DataFrame, list, Column]:
+    """The rows written once, the depths that occur in ascending order, and the place of a row's depth among them from 1."""
+    rows = materialize(df, "depths")
+    depths = sorted(r[0] for r in rows.select(depth).where(F.col(depth).isNotNull()).distinct().collect())
+    return rows, depths, F.array_position(F.array(*[F.lit(d) for d in depths]).cast(ArrayType(df.schema[depth].dataType)), F.col(depth)).cast("int")
+
+
 def nested_ranges(df: DataFrame, keys: Sequence[str], order: str, depth: str) -> DataFrame:
     """End of every heading's range: the next heading of the same or a smaller depth (exclusive), null for the last.
 
     Headings nest, so a parent's range holds its children's. For each depth
     the next smaller-or-equal heading is the nearest of the next ones at each
     depth up to it, which windows give without a join of headings with
-    headings; the number of windows is the number of depths, at most 16.
+    headings; the number of windows is the number of depths that occur.
     """
-    deepest = 16
+    rows, depths, place = _by_depth(df, depth)
     after = Window.partitionBy(*keys).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
-    nexts = [F.first(F.when(F.col(depth) == d, F.col(order)), ignorenulls=True).over(after).alias(f"__n{d}") for d in range(1, deepest + 1)]
-    rows = df.select("*", *nexts)
-    end = F.lit(None).cast(df.schema[order].dataType)
-    for d in range(deepest, 0, -1):
-        upto = F.least(*[F.col(f"__n{i}") for i in range(1, d + 1)]) if d > 1 else F.col("__n1")
-        end = F.when(F.col(depth) == d, upto).otherwise(end)
-    return rows.withColumn("range_end", end).drop(*[f"__n{d}" for d in range(1, deepest + 1)])
+    nexts = [F.first(F.when(F.col(depth) == d, F.col(order)), ignorenulls=True).over(after) for d in depths]
+    rows = rows.withColumn("__n", F.array(*nexts).cast(ArrayType(df.schema[order].dataType)))
+    return rows.withColumn("range_end", F.array_min(F.slice("__n", 1, place))).drop("__n")
 
 
 def outline_parents(df: DataFrame, keys: Sequence[str], order: str, depth: str) -> DataFrame:
     """Parent of every ordered node of an outline: the nearest one before it with a smaller depth, null at the top.
 
-    One window gives the last node of each depth (at most 16) before the
-    node; the latest of those with a smaller depth is the parent.
+    One window gives the last node of each depth that occurs before the node;
+    the latest of those with a smaller depth is the parent.
     """
-    deepest = 16
+    rows, depths, place = _by_depth(df, depth)
     before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    lasts = [F.last(F.when(F.col(depth) == d, F.col(order)), ignorenulls=True).over(before).alias(f"__l{d}") for d in range(1, deepest + 1)]
-    parent = F.lit(None).cast(df.schema[order].dataType)
-    for d in range(2, deepest + 1):
-        above = F.greatest(*[F.col(f"__l{i}") for i in range(1, d)]) if d > 2 else F.col("__l1")
-        parent = F.when(F.col(depth) == d, above).otherwise(parent)
-    return df.select("*", *lasts).withColumn("parent_order", parent).drop(*[f"__l{d}" for d in range(1, deepest + 1)])
+    lasts = [F.last(F.when(F.col(depth) == d, F.col(order)), ignorenulls=True).over(before) for d in depths]
+    rows = rows.withColumn("__l", F.array(*lasts).cast(ArrayType(df.schema[order].dataType)))
+    return rows.withColumn("parent_order", F.array_max(F.slice("__l", 1, place - 1))).drop("__l")
 
 
 def logical_blocks(df: DataFrame, keys: Sequence[str], order: str, text: str) -> DataFrame:

@@ -257,6 +257,17 @@ def test_outline_parents(spark):
     assert got == {i: next((j for j in range(i - 1, -1, -1) if depths[j] < d), None) for i, d in enumerate(depths)}
 
 
+def test_outlines_of_any_depth(spark):
+    depths = [*range(1, 41), 17, 30, 16, 40, 1, 18, 18, 17, None, 16]
+    df = spark.createDataFrame([("c", i, d) for i, d in enumerate(depths)], "c string, o int, d int")
+    ends = {r.o: r.range_end for r in chains.nested_ranges(df, ["c"], "o", "d").collect()}
+    parents = {r.o: r.parent_order for r in chains.outline_parents(df, ["c"], "o", "d").collect()}
+    near = lambda at, places, fits: next((j for j in places if depths[at] and depths[j] and fits(depths[j], depths[at])), None)
+    assert ends == {i: near(i, range(i + 1, len(depths)), lambda a, b: a <= b) for i in range(len(depths))}
+    assert parents == {i: near(i, range(i - 1, -1, -1), lambda a, b: a < b) for i in range(len(depths))}
+    assert chains.nested_ranges(df.limit(0), ["c"], "o", "d").collect() == chains.outline_parents(df.limit(0), ["c"], "o", "d").collect() == []
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], "k string, o int, t string")
     assert chains.text_states(df, ["k"], "o", F.col("t")).isEmpty() and latest.latest_rows(df, ["k"], ["o"]).isEmpty()
