@@ -12,8 +12,12 @@ from palimpsest.functions.numerals import NUMERAL_CHARS, chinese_number
 from palimpsest.functions.zones import zone
 
 DEFAULT_ZONE = "Asia/Taipei"
-#: Longer values are no timestamps.
-LONGEST = 64
+#: Characters of the first length class; each further one is twice as long.
+SHORT = 64
+#: Code points that are read at once; longer values are read alone.
+POINTS = 1 << 22
+#: Digits that a 64-bit number surely holds.
+DIGITS = 18
 NONE = np.iinfo(np.int64).min
 
 # Months by the first three letters of their English names.
@@ -40,18 +44,18 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return fold, kind[fold]
 
 
-def shape_masks(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Folded code points (n x LONGEST), lengths and mask strings of the values.
+def shape_masks(values: np.ndarray, width: int = SHORT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Folded code points (n x width), lengths and mask strings of values of at most ``width`` characters.
 
     The values are copied into one code-point array, of which the tables give
     the folded character and its class.
     """
-    fixed = np.asarray(values, dtype=f"<U{LONGEST}")
-    points = np.ascontiguousarray(fixed).view(np.uint32).reshape(len(fixed), LONGEST)
+    fixed = np.asarray(values, dtype=f"<U{width}")
+    points = np.ascontiguousarray(fixed).view(np.uint32).reshape(len(fixed), width)
     fold, kind = _tables()
     points = np.where(points < 0x10000, points, 0xFFFD)
     folded, masks = fold[points], kind[points].astype(np.uint32)
-    masks = np.ascontiguousarray(masks).view(f"<U{LONGEST}").ravel()
+    masks = np.ascontiguousarray(masks).view(f"<U{width}").ravel()
     return folded, np.char.str_len(masks), masks
 
 
@@ -85,9 +89,9 @@ class Reader:
         # Each run is one character of the collapsed mask, two letters (AM, PM) being their own; what stands
         # around the date (titles, brackets, editions) holds neither digits nor letters.
         collapsed = "".join("a" if kind == _A and end - at == 2 else kind for kind, at, end in runs)
-        bare = re.sub(r"^[^9AaC]+|[^9AaC年月日時分秒\]]+$", lambda m: "\0" * len(m[0]), collapsed)
-        start = len(bare) - len(bare.lstrip("\0"))
-        bare = bare.strip("\0")
+        first = re.search("[9AaC]", collapsed)
+        start = first.start() if first else len(collapsed)
+        bare = collapsed[start : max(collapsed.rfind(c) for c in "9AaC年月日時分秒]") + 1]
         found = _GRAMMAR.fullmatch(bare) or _GRAMMAR.fullmatch(bare.rstrip("]"))
         if found:
             for name, text in found.groupdict().items():
@@ -117,6 +121,9 @@ def _each(texts: np.ndarray, read) -> np.ndarray:
 def _number(points: np.ndarray, span: tuple[int, int], numerals: bool = True) -> np.ndarray:
     digits = points[:, span[0] : span[1]].astype(np.int64) - 48
     if ((digits >= 0) & (digits <= 9)).all():
+        if digits.shape[1] > DIGITS:
+            lead = (digits[:, :-DIGITS] > 0).any(axis=1)
+            return np.where(lead, 10**DIGITS, _number(points, (span[1] - DIGITS, span[1])))
         return digits @ (10 ** np.arange(span[1] - span[0] - 1, -1, -1, dtype=np.int64))
     return _each(_text(points, span), chinese_number)
 
@@ -233,24 +240,38 @@ def _read_group(points: np.ndarray, r: Reader, clock_zone: np.ndarray, precision
 def utc_seconds(values: pd.Series, zones: pd.Series | None = None, precisions: pd.Series | None = None) -> np.ndarray:
     """UTC seconds of every value, NONE where it means no moment.
 
-    The values are split by their shape mask; each distinct mask is mapped to
-    its reader once, which then converts all its values at once.
+    The values, without the blanks around them, are split by length class
+    and shape mask; each distinct mask is mapped to its reader once, which
+    then converts all its values at once.
     """
     size = len(values)
     result = np.full(size, NONE)
-    texts = values.where(values.notna(), "").to_numpy(dtype=object)
-    usable = np.flatnonzero([0 < len(t) <= LONGEST and "\0" not in t for t in texts])
-    if not len(usable):
-        return result
-    zones = (zones if zones is not None else pd.Series([None] * size)).to_numpy(dtype=object)[usable]
-    precisions = (precisions if precisions is not None else pd.Series([None] * size)).to_numpy(dtype=object)[usable]
-    points, _, masks = shape_masks(texts[usable])
+    texts = np.array([t.strip() for t in values.where(values.notna(), "")], dtype=object)
+    lengths = np.array([0 if "\0" in t else len(t) for t in texts], dtype=np.int64)
+    zones = (zones if zones is not None else pd.Series([None] * size)).to_numpy(dtype=object)
+    precisions = (precisions if precisions is not None else pd.Series([None] * size)).to_numpy(dtype=object)
+    low, width = 0, SHORT
+    while low < lengths.max(initial=0):
+        usable = np.flatnonzero((lengths > low) & (lengths <= width))
+        step = max(1, POINTS // width)
+        for at in (usable[i : i + step] for i in range(0, len(usable), step)):
+            result[at] = _read_class(texts[at], zones[at], precisions[at], int(lengths[at].max()) if width > SHORT else SHORT)
+        low, width = width, width * 2
+    return result
+
+
+def _read_class(texts: np.ndarray, zones: np.ndarray, precisions: np.ndarray, width: int) -> np.ndarray:
+    """UTC seconds of values of one length class."""
+    result = np.full(len(texts), NONE)
+    points, _, masks = shape_masks(texts, width)
     codes, distinct = pd.factorize(masks)
     order = np.argsort(codes, kind="stable")
     bounds = np.searchsorted(codes[order], np.arange(len(distinct) + 1))
+    # Long masks aren't kept for later batches.
+    read = reader if width <= SHORT else Reader
     for i, mask in enumerate(distinct):
         at = order[bounds[i] : bounds[i + 1]]
-        result[usable[at]] = _read_group(points[at], reader(mask), zones[at], precisions[at])
+        result[at] = _read_group(points[at], read(mask), zones[at], precisions[at])
     return result
 
 

@@ -18,8 +18,8 @@ def utc_epoch(value: Column, clock_zone: Column | None = None, precision: Column
 
     A zone in the text wins, else ``clock_zone``, else Asia/Taipei. A clock
     reading that occurs twice is the first, one that is skipped moves on by
-    the skip; fractions are dropped. Null for null, empty and overlong values
-    and for those without a real calendar date, a valid clock reading or a
+    the skip; fractions are dropped. Null for null and empty values and for
+    those without a real calendar date, a valid clock reading or a
     known zone in the text. An unknown ``clock_zone`` counts as none.
 
     Method: shape masks, each mapped to a parser once, and zone transition

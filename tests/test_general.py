@@ -196,3 +196,15 @@ def test_intervals_against_brute_force(spark):
     got = [tuple(r) for r in merge_intervals(df, "kind", "s", "t", bucket_width=100).collect()]
     assert len(got) == len(set(got)) and set(got) == merged(rows)
     assert merge_intervals(df.limit(0), "kind", "s", "t").collect() == []
+
+
+def test_timestamps_in_long_values(spark):
+    day = "2024-06-30T16:00:00Z"
+    texts = [
+        " " * 70 + "113/7/1" + "\u3000" * 70, "\n" * 200 + "2024-07-01" + " " * 5000, "（" + "給付規定修正" * 30 + "）113/7/1", "113年7月1日" + "版本" * 40, "規定" * 100_000 + "2024/07/01" + "，" * 100_000,
+        "0" * 70 + "113/7/1", "1" + "0" * 64 + "113/7/1", "1" + " " * 100_000 + "1", "規" * 100, " " * 100, "113/7/1", None,
+    ]
+    want = [day] * 6 + [None] * 4 + [day, None]
+    assert read(texts) == want
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    assert [r.u for r in df.select("i", utc_start(F.col("t")).alias("u")).orderBy("i").collect()] == want
