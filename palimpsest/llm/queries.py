@@ -106,10 +106,12 @@ def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each source's share of cut documents, and the lengths at which it cuts."""
     rows, limits = find_truncated(table(spark, sf_dir, "documents"), key="doc_id", text="text", source="source")
     shares = rows.groupBy("source").agg(
-        F.count("*").alias("documents"), F.count_if("truncated").alias("truncated"), F.count_if(F.col("truncated") & F.col("at_limit")).alias("truncated_at_limit")
-    )
-    lengths = limits.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("unit", "length", "n"))).alias("limits"))
-    return shares.join(lengths, "source", "left").withColumn("share", F.col("truncated") / F.col("documents"))
+        F.count("*").alias("documents"), F.count_if(F.col("cut_by") == "limit").alias("cut_by_limit"),
+        F.count_if(F.col("cut_by") == "transfer").alias("cut_in_transfer"), (F.count_if("truncated") / F.count("*")).alias("share"),
+    )
+    # A source has few significant lengths: of n texts at most 1/n of them can be.
+    each = F.transform(F.sort_array(F.collect_list(F.struct("unit", "length", "n"))), lambda x: F.concat_ws(":", x["unit"], x["length"], x["n"]))
+    return shares.join(limits.groupBy("source").agg(F.concat_ws(",", each).alias("limits")), "source", "left")
 
 
 QUERIES = {"p5_found": p5_found, "p5_shares": p5_shares, "p4_found": p4_found, "p3_found": p3_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_sources": p10_sources}

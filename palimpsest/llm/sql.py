@@ -6,8 +6,6 @@ do; it is only meant for tables of some thousand rows.
 
 from __future__ import annotations
 
-from palimpsest.llm import truncation as T
-
 _OWNERS = "own AS (SELECT DISTINCT expression_id AS x, clause_work_id AS o FROM clause_document_expression)"
 
 P4_FOUND = f"""
@@ -45,31 +43,51 @@ SELECT DISTINCT d.i AS doc_id, q.i AS item_id FROM g d JOIN g q ON d.g = q.g AND
 """
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("'", "''") + "'"
-
-
-_FINISHED = " OR ".join(
-    [f"regexp_matches(tail, {_text(rule)})" for rule in (T.SENTENCE, T.END_MARK)]
-    + [f"regexp_matches(line, {_text(rule)})" for rule in (T.DATE_LINE, T.SIGNATURE, T.LIST_ENTRY)]
-)
-_RING = lambda what: (
-    f"coalesce({what} OVER (PARTITION BY source, unit ORDER BY length RANGE BETWEEN {T.NEIGHBOURS} PRECEDING AND {T.NEIGHBOURS} FOLLOWING)"
-    f" - {what} OVER (PARTITION BY source, unit ORDER BY length RANGE BETWEEN {T.NEAREST} PRECEDING AND {T.NEAREST} FOLLOWING), 0)"
+# The rules of endings, written for this SQL alone.
+_ENDINGS = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS source, length(text) AS chars, strlen(text) AS bytes, text, rtrim(text, {blank}) AS bare FROM documents WHERE text IS NOT NULL),
+s AS (SELECT *, regexp_replace(bare, '(?:</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>]*)?/?>|</?(?:[A-Za-z][A-Za-z0-9]*(?:\s+[A-Za-z-]*|\s[^<>]*=[^<>]*)?)?$|&#?[A-Za-z0-9]{{0,8}};?|[…⋯]|\.{{3,}}|[（(\[【<]|[\x{{FFFD}}\p{{So}}\p{{Cf}}]|[\s\x{{3000}}])+$', '') AS stop FROM d WHERE bare <> ''),
+l AS (SELECT *, trim(string_split(stop, chr(10))[-1], {blank}) AS line FROM s),
+h AS (SELECT *, CASE
+    WHEN stop = '' OR regexp_matches(stop, '(?:[。！？!?｡．]|\pL[）)\]”’"'']*\.|[%°]\.)[」』”’"''）)】》\]]*$') THEN 'finished'
+    WHEN regexp_matches(line, '(?:^|[。！？!?｡．][」』”’"''）)】》\]]*\s*|\pL[）)\]”’"'']*\.[」』”’"''）)】》\]]*\s*|[%°]\.\s*)[－—–\-=*【\[（(〔]\s*\pL[\pL ]*[－—–\-=*】\]）)〕]$') THEN 'finished'
+    WHEN regexp_matches(line, '^((中華民國|民國)?\s*\d{{2,4}}\s*年\s*\d{{1,2}}\s*月\s*\d{{1,2}}\s*日|\d{{2,4}}[/\-]\d{{1,2}}[/\-]\d{{1,2}}|\d{{1,2}} {month} \d{{4}}|{month} \d{{1,2}}, \d{{4}})([ T]\d{{1,2}}:\d{{2}}(:\d{{2}})?)?$') THEN 'finished'
+    WHEN regexp_matches(line, '[|;{{}}]$|^\S*://\S*$') THEN 'other'
+    WHEN regexp_matches(line, '[。！？!?｡]|\pL\.\s') OR length(regexp_replace(line, '[^，；、,;]', '', 'g')) > 1 THEN 'sentence'
+    WHEN regexp_matches(line, '[，；、,;]') THEN 'clause'
+    WHEN regexp_matches(line, '^[^\s:：]+( [^\s:：]+){{0,2}}\s?[:：]\s*[\pL\pN]') THEN 'label'
+    WHEN regexp_matches(line, '^(\d{{1,3}}(\.\s|[)、])|[（(]?[一二三四五六七八九十]{{1,3}}[）)、]|[-*•●]\s)') THEN 'entry'
+    WHEN NOT contains(ltrim(stop, {blank}), chr(10)) THEN 'title' ELSE 'line' END AS shape,
+  left(regexp_replace(left(line, 24), '\d+', '0', 'g'), 3) AS opener FROM l),
+o AS (SELECT left(regexp_replace(left(x, 24), '\d+', '0', 'g'), 3) AS opener, regexp_matches(x, '(?:[。！？!?｡．]|\pL[）)\]”’"'']*\.|[%°]\.)[」』”’"''）)】》\]]*$') AS f
+  FROM (SELECT trim(unnest(string_split(text, chr(10))), {blank}) AS x FROM d WHERE bare <> '') WHERE x <> ''),
+y AS (SELECT prefix, sum(n) AS n, sum(f) AS f FROM (SELECT unnest(list_distinct([left(opener, 1), left(opener, 2), opener])) AS prefix, n, f FROM (SELECT opener, count(*) AS n, count(*) FILTER (WHERE f) AS f FROM o GROUP BY 1)) GROUP BY 1 HAVING sum(n) > 10),
+q AS (SELECT h.doc_id, h.source, chars, bytes, shape, coalesce(y3.f / (y3.n - 1), y2.f / (y2.n - 1), y1.f / (y1.n - 1)) AS share
+  FROM h LEFT JOIN y y1 ON y1.prefix = left(opener, 1) LEFT JOIN y y2 ON y2.prefix = left(opener, 2) LEFT JOIN y y3 ON y3.prefix = opener),
+e AS (SELECT doc_id, source, chars, bytes, shape = 'entry' OR coalesce(shape = 'title' AND chars < (SELECT quantile_cont(chars, 0.01) FROM h WHERE shape = 'finished'), false) AS alike,
+  CASE WHEN shape = 'finished' THEN 'finished' WHEN shape = 'sentence' THEN 'broken' WHEN shape = 'label' AND share <= 0.1 THEN 'finished'
+  WHEN shape IN ('clause', 'label', 'entry', 'line') AND share >= 0.9 THEN 'broken' ELSE 'open' END AS ending FROM q),
+c AS (SELECT source, unit, length, count(*) AS n FROM (
+  SELECT source, 'chars' AS unit, chars AS length FROM e WHERE ending = 'finished' OR NOT alike UNION ALL SELECT source, 'bytes', bytes FROM e WHERE ending = 'finished' OR NOT alike) GROUP BY 1, 2, 3),
+k AS (SELECT *, sum(n) OVER (PARTITION BY source, unit ORDER BY length DESC) AS risk FROM c),
+x AS (SELECT *, coalesce(sum(n) OVER far - sum(n) OVER near, 0) + 0.5 AS stopped, coalesce(sum(risk) OVER far - sum(risk) OVER near, 0) AS passed FROM k
+  WINDOW far AS (PARTITION BY source, unit ORDER BY length RANGE BETWEEN 20 PRECEDING AND 20 FOLLOWING), near AS (PARTITION BY source, unit ORDER BY length RANGE BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+z AS (SELECT *, CASE WHEN passed > 0 THEN stopped / passed * risk ELSE stopped END AS ex FROM x),
+b AS (SELECT *, greatest(ceil(CASE WHEN n <= ex THEN 0 ELSE least(n - ex + n * ln(ex / n), 0) END * 20), -20000) AS bin FROM z),
+r AS (SELECT bin, sum(count(*)) OVER (ORDER BY bin) AS rank, sum(count(*)) OVER () AS total FROM b GROUP BY 1),
+g AS (SELECT source, unit, length, n FROM b WHERE bin <= (SELECT max(bin) FROM r WHERE bin / 20 <= ln(0.01 * rank / total))),
+f AS (SELECT *, EXISTS (SELECT 1 FROM g WHERE g.source = e.source AND ((unit = 'chars' AND length = chars) OR (unit = 'bytes' AND length = bytes))) AS at_limit FROM e)
+""".format(
+    blank="chr(32) || chr(9) || chr(13) || chr(10) || chr(11) || chr(12) || chr(133) || chr(160) || chr(173) || chr(5760) || '"
+    + "".join(map(chr, [*range(0x2000, 0x2010), 0x2028, 0x2029, *range(0x202A, 0x2030), 0x205F, 0x2060, 0x3000, 0xFEFF]))
+    + "'",
+    month="(January|February|March|April|May|June|July|August|September|October|November|December)",
 )
 
-P10_FOUND = f"""
-WITH d AS (SELECT doc_id, coalesce(source, '') AS source, length(text) AS chars, strlen(text) AS bytes, rtrim(text, {_text(T.BLANK)}) AS bare FROM documents WHERE text IS NOT NULL),
-t AS (SELECT *, regexp_replace(right(bare, {T.ENDING}), {_text(T.BEHIND)}, '') AS tail, NOT contains(ltrim(bare, {_text(T.BLANK)}), chr(10)) AS single FROM d WHERE bare <> ''),
-l AS (SELECT *, trim(string_split(tail, chr(10))[-1]) AS line FROM t),
-e AS (SELECT doc_id, source, chars, bytes, CASE WHEN {_FINISHED} OR (single AND length(line) <= 60 AND NOT regexp_matches(line, '[，；。,;]') AND regexp_matches(line, {_text(T.HEADING)})) THEN 'finished'
-  WHEN tail = '' AND length(bare) < {T.ENDING} THEN 'finished' WHEN regexp_matches(line, {_text(T.UNCLEAR)}) THEN 'unclear' ELSE 'broken' END AS ending FROM l),
-c AS (SELECT source, unit, length, count(*) AS n FROM (SELECT source, 'chars' AS unit, chars AS length FROM e UNION ALL SELECT source, 'bytes', bytes FROM e) GROUP BY 1, 2, 3),
-x AS (SELECT *, ({_RING("sum(n)")} + 0.5) / greatest({_RING("count(*)")}, 1) AS ex FROM c),
-b AS (SELECT *, greatest(ceil(CASE WHEN n <= ex THEN 0 ELSE least(n - ex + n * ln(ex / n), 0) END * 20), -20000) AS bin FROM x),
-r AS (SELECT bin, sum(count(*)) OVER (ORDER BY bin) AS rank, sum(count(*)) OVER () AS total FROM b GROUP BY 1),
-s AS (SELECT source, unit, length FROM b WHERE bin <= (SELECT max(bin) FROM r WHERE bin / 20 <= ln({T.FALSE_DISCOVERIES} * rank / total)))
-SELECT DISTINCT doc_id FROM e WHERE ending = 'broken' OR (ending = 'unclear' AND EXISTS (SELECT 1 FROM s WHERE s.source = e.source AND ((unit = 'chars' AND length = chars) OR (unit = 'bytes' AND length = bytes))))
-"""
+P10_FOUND = _ENDINGS + "SELECT DISTINCT doc_id FROM f WHERE ending = 'broken' OR (ending = 'open' AND at_limit)"
+
+P10_SOURCES = _ENDINGS + """, m AS (SELECT source, string_agg(unit || ':' || length || ':' || n, ',' ORDER BY unit, length) AS limits FROM g GROUP BY 1)
+SELECT source, count(*) AS documents, count(*) FILTER (WHERE ending <> 'finished' AND at_limit) AS cut_by_limit, count(*) FILTER (WHERE ending = 'broken' AND NOT at_limit) AS cut_in_transfer,
+  count(*) FILTER (WHERE ending = 'broken' OR (ending = 'open' AND at_limit)) / count(*) AS share, any_value(m.limits) AS limits FROM f LEFT JOIN m USING (source) GROUP BY 1"""
 
-SQL = {"p4_found": P4_FOUND, "p5_found": P5_FOUND, "p9_found": P9_FOUND, "p10_found": P10_FOUND}
+SQL = {"p4_found": P4_FOUND, "p5_found": P5_FOUND, "p9_found": P9_FOUND, "p10_found": P10_FOUND, "p10_sources": P10_SOURCES}

@@ -250,21 +250,35 @@ def test_leaks_in_several_blocks(spark, monkeypatch):
 
 ENDINGS = [
     ("完整的句子。", "finished"), ("完整的句子。 \n", "finished"), ("句子！", "finished"), ("A sentence.", "finished"), ("句子（93/2/4）。", "finished"), ("句子。（完）", "finished"),
-    ("句子。\n－完－", "finished"), ("A sentence. (end)", "finished"), ("句子。\n承辦：整形外科", "finished"), ("Text.\nContact: review desk 60", "finished"),
-    ("句子。\n中華民國112年8月27日", "finished"), ("Text.\n22 December 2025", "finished"), ("句子。\n8. 沛立瑞膜衣錠 99 mg", "finished"), ("達莎可乳膏公告附表", "finished"),
-    ("Index of brabarodron items", "finished"), ("句子。」", "finished"), ("句子。…", "finished"),
-    ("逾76天；服凡倫克每35週複查轉胺酶，", "broken"), ("申請cenodiglip…", "broken"), ("含Gagamide varipar<br", "broken"), ("伏諾循療程中體表&nb", "broken"), ("必要時減半（", "broken"),
-    ("不得與�", "broken"), ("無效（92/6/", "broken"), ("not combined with Tilegan vedacep", "broken"), ("句子。\n經放射腫瘤科診斷為家族性心臟", "broken"), ("轉由復健科處理。\n\n12.13.2", "broken"),
-    ("句子。\n3.8.16所列kaca 8 mg/k", "broken"), ("句子。\n3. 沛立瑞膜", "unclear"), ("", None), (None, None), (" \n　​", None),
+    ("句子。\n－完－", "finished"), ("A sentence. (end)", "finished"), ("句子。\n承辦：整形外科", "label"), ("Text.\nContact: review desk 60", "label"),
+    ("句子。\n中華民國112年8月27日", "finished"), ("Text.\n22 December 2025", "finished"), ("句子。\n8. 沛立瑞膜衣錠 99 mg", "entry"), ("達莎可乳膏公告附表", "title"),
+    ("Index of brabarodron items", "title"), ("句子。」", "finished"), ("句子。…", "finished"), ("Text.\n2024-01-05 10:00", "finished"),
+    ("逾76天；服凡倫克每35週複查轉胺酶，", "sentence"), ("申請cenodiglip…", "title"), ("含Gagamide varipar<br", "title"), ("服用，伏諾循療程中，體表&nb", "sentence"), ("必要時減半（", "title"),
+    ("不得與\ufffd", "title"), ("無效（92/6/", "title"), ("it grew, not combined with Tilegan, vedacep", "sentence"), ("句子。\n經放射腫瘤科診斷為家族性心臟", "line"), ("轉由復健科處理。\n\n12.13.2", "line"),
+    ("句子。\n3.8.16所列kaca 8 mg/k", "line"), ("句子。再次申請時", "sentence"), ("It ended. Then the", "sentence"), ("會議紀錄總結報告", "title"), ("Quarterly Performance Report", "title"), ("第一章 緒論", "title"),
+    ("Chapter 3", "title"), ("SELECT a, b FROM t;", "other"), ("https://example.com/path", "other"), ("| a | b, c, d |", "other"), ("See you tomorrow :)", "title"), ("句。\n（三）附表", "entry"), ("Best wishes,\nAnna", "line"), ("謝謝大家", "title"),
+    ("", None), (None, None), (" \n　\u200b", None),
 ]
 
 
 def test_endings(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(ENDINGS)], "i int, t string").repartition(1)
-    got = {r.i: r.e for r in df.select("i", truncation.ending_state(F.col("t")).alias("e")).collect()}
+    got = {r.i: r.e for r in df.select("i", truncation.ending_shape(F.col("t"))["shape"].alias("e")).collect()}
     assert [(ENDINGS[i][0], got[i]) for i in sorted(got)] == ENDINGS
 
 
+def test_complete_endings_are_not_flagged(spark):
+    rng = random.Random(19)
+    ends = ["會議紀錄總結報告", "Quarterly Performance Report", "第一章 緒論", "Chapter 3", "SELECT * FROM t;", "See you tomorrow :)", "Best wishes,\nAnna", "2024-01-05 10:00", "https://example.com/path", "| a | b, c, d |", "謝謝大家"]
+    texts = ["主治醫師" + words(rng, rng.randrange(20, 300)) + "。" for _ in range(300)] + ends + ["段落。\n" + e for e in ends]
+    left = ["主治醫師" + words(rng, 9), "主治醫師" + words(rng, 30), "句子。主治", "段落。\n主治醫師" + words(rng, 3)]
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts + left)], "doc_id long, text string, source string")
+    found, _ = truncation.find_truncated(df, key="doc_id", text="text", source="source")
+    got = {r.doc_id: r.cut_by for r in found.where("truncated").collect()}
+    # A single bare line may be a title; behind other lines it is the start of a sentence, as lines that begin like it show.
+    assert got == {len(texts) + 2: "transfer", len(texts) + 3: "transfer"}
+
+
 def test_length_limits_are_found(spark):
     rng = random.Random(13)
     rows = []
@@ -278,16 +292,29 @@ def test_length_limits_are_found(spark):
     assert ("limited", "chars", 255) in got and all(s == "limited" for s, _, _ in got)
     cut = {r.doc_id for r in found.where("truncated").collect()}
     assert cut == {i for i, _, t in rows if not t.endswith("。")}
+    assert {r.cut_by for r in found.where("truncated").collect()} == {"limit"}
     empty, none = truncation.find_truncated(df.limit(0), key="doc_id", text="text", source="source")
     assert empty.collect() == [] and none.collect() == []
 
 
+def test_the_lengths_decide(spark, monkeypatch):
+    # Bare lines and titles of 40 characters say nothing by themselves: without the length test none is found.
+    rng = random.Random(23)
+    texts = [words(rng, rng.randrange(10, 300)) + "。" for _ in range(400)]
+    cut = [words(rng, 40) for _ in range(30)] + ["段落。\n甲乙" + words(rng, 34) for _ in range(30)]
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts + cut)], "doc_id long, text string, source string")
+    flagged = lambda: {r.doc_id for r in truncation.find_truncated(df, key="doc_id", text="text", source="source")[0].where("truncated").collect()}
+    assert flagged() == set(range(400, 460))
+    monkeypatch.setattr(truncation, "FALSE_DISCOVERIES", 1e-300)
+    assert flagged() == set()
+
+
 def test_endings_behind_long_ornaments(spark):
-    body = "句子" * 300
-    behind = ["…" * 400, "<br>" * 3000, "&nbsp;" * 200, "." * 401, "★ <span class='x'>" * 60, "</p>\n" * 67 + "..." * 150]
-    rows = [(f"{body}。{b}", "finished") for b in behind] + [(f"{body}{b}", "broken") for b in behind] + [("★" * 399, "finished"), ("★" * 1500, "finished"), (f"短。{'★' * 900}", "finished")]
+    body = "句子，不得，" * 100
+    behind = ["…" * 400, "<br>" * 3000, "&nbsp;" * 200, "." * 401, "★ <span class='x'>" * 60, "</p>\n" * 67 + "..." * 150, f"<span class='{'x' * 500}'>", "<a href='" + "y" * 90]
+    rows = [(f"{body}。{b}", "finished") for b in behind] + [(f"{body}{b}", "sentence") for b in behind] + [("★" * 399, "finished"), ("★" * 1500, "finished"), (f"短。{'★' * 900}", "finished")]
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "i int, t string").repartition(1)
-    got = {r.i: r.e for r in df.select("i", truncation.ending_state(F.col("t")).alias("e")).collect()}
+    got = {r.i: r.e for r in df.select("i", truncation.ending_shape(F.col("t"))["shape"].alias("e")).collect()}
     assert [got[i] for i in range(len(rows))] == [e for _, e in rows]
 
 
