@@ -2,9 +2,10 @@
 
 Each text has several sketches; a register of a sketch holds the leading-zero
 count of the smallest hash in its bucket and the mantissa bits that follow.
-Bands of these compressed registers find candidates, a collision-corrected
-estimate from the registers discards the clearly dissimilar ones, and the
-exact similarity of the strings decides.
+The registers of a text are made and stored once. Bands of them find
+candidates, a collision-corrected estimate from the stored registers discards
+the clearly dissimilar ones, and the exact similarity of the strings, which
+are only read now, decides.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ SKETCHES, REGISTERS = 15, 10
 BAND = 5
 #: Mantissa bits that a register keeps.
 MANTISSA = 10
+#: Texts of one band that meet all others of it in one task; a band with more is split over as many tasks as needed.
+TOGETHER = 512
 #: How far an estimate may lie under the threshold: over six standard deviations of it.
 MARGIN = 0.26
 
@@ -83,15 +86,6 @@ def registers(points: np.ndarray, bounds: np.ndarray, width: int) -> np.ndarray:
     return np.ascontiguousarray(made.reshape(REGISTERS * SKETCHES, count).T)
 
 
-def band_keys(of: np.ndarray) -> np.ndarray:
-    """64-bit keys of the bands of registers, (texts, bands)."""
-    bands = of.reshape(len(of), -1, BAND).astype(np.uint64)
-    keys = np.broadcast_to(np.arange(bands.shape[1], dtype=np.uint64) + np.uint64(1), bands.shape[:2])
-    for k in range(BAND):
-        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, k])
-    return keys
-
-
 def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Jaccard estimates from registers, corrected for registers that agree by chance.
 
@@ -119,6 +113,50 @@ def _all_registers(texts: pa.Array, width: int) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros((0, SKETCHES * REGISTERS), dtype=np.uint16)
 
 
+def _sketched(texts: DataFrame, width: int) -> DataFrame:
+    """``(id, owner, sketch)``: the registers of every text, as bytes."""
+    kind = dict(texts.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = _all_registers(batch.column(2), width)
+            size = made.shape[1] * made.itemsize
+            offsets = pa.py_buffer(np.arange(len(made) + 1, dtype=np.int32) * np.int32(size))
+            sketch = pa.Array.from_buffers(pa.binary(), len(made), [None, offsets, pa.py_buffer(made.tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sketch], names=["id", "owner", "sketch"])
+
+    return texts.select("id", "owner", "text").mapInArrow(run, f"id {kind['id']}, owner {kind['owner']}, sketch binary")
+
+
+def _matrix(sketches: pa.Array) -> np.ndarray:
+    """Sketches that were stored as bytes, (texts, registers)."""
+    body = sketches.buffers()[2]
+    start, width = sketches.offset, SKETCHES * REGISTERS
+    offsets = np.frombuffer(sketches.buffers()[1], dtype=np.int32)[start : start + len(sketches) + 1]
+    return np.frombuffer(body, dtype=np.uint16)[offsets[0] // 2 : offsets[-1] // 2].reshape(len(sketches), width)
+
+
+def _candidates(sketches: DataFrame) -> DataFrame:
+    """``(id_a, id_b)``: texts of different owners that share a band, each pair once.
+
+    Bands that only one owner has are dropped by counts, before any rows meet.
+    """
+    size = BAND * 2
+    bands = [F.xxhash64(F.lit(k), F.substring("sketch", k * size + 1, size)) for k in range(SKETCHES * REGISTERS // BAND)]
+    banded = sketches.select(F.explode(F.array(*bands)).alias("band"), "id", "owner")
+    counts = banded.groupBy("band").agg(
+        F.count("*").alias("n"), F.count("owner").alias("owned"), F.min("owner").alias("lo"), F.max("owner").alias("hi")
+    )
+    shared = materialize(counts.where("n > 1 and (owned < n or lo <> hi)").select("band", F.ceil(F.col("n") / TOGETHER).cast("int").alias("parts")), "bands")
+    # Each text of a band meets all others of it; one side is split, the other one copied to the parts.
+    met = materialize(banded.join(shared, "band"), "banded")
+    a = met.withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int")).alias("a")
+    b = met.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("b")
+    apart = F.col("a.owner").isNull() | F.col("b.owner").isNull() | (F.col("a.owner") != F.col("b.owner"))
+    same = (F.col("a.band") == F.col("b.band")) & (F.col("a.part") == F.col("b.part"))
+    return a.join(b, same & (F.col("a.id") < F.col("b.id")) & apart).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
+
+
 def near_duplicate_texts(texts: DataFrame, *, threshold: float, width: int) -> DataFrame:
     """Pairs of different texts of at least ``threshold`` similarity.
 
@@ -127,41 +165,31 @@ def near_duplicate_texts(texts: DataFrame, *, threshold: float, width: int) -> D
     owner aren't looked for. Result ``(id_a, id_b, similarity)``, each pair
     once.
     """
-    rows = texts.select("id", "owner", "text")
+    kind = dict(texts.dtypes)["id"]
+    sketches = materialize(_sketched(texts, width), "sketches")
+    sketch = sketches.select("id", "sketch")
+    both = _candidates(sketches).join(sketch.withColumnsRenamed({"id": "id_a", "sketch": "a"}), "id_a")
+    both = both.join(sketch.withColumnsRenamed({"id": "id_b", "sketch": "b"}), "id_b").select("id_a", "id_b", "a", "b")
 
-    def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, points, bounds in steps(batch.column(2)):
-                keys = band_keys(registers(points, bounds, width))
-                here = pa.array(np.repeat(np.arange(start, start + len(keys)), keys.shape[1]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel().view(np.int64)), batch.column(0).take(here), batch.column(1).take(here)], names=["band", "id", "owner"]
-                )
-
-    kind = dict(rows.dtypes)
-    banded = rows.mapInArrow(bands, f"band bigint, id {kind['id']}, owner {kind['owner']}")
-    a, b = banded.alias("a"), banded.alias("b")
-    apart = F.col("a.owner").isNull() | F.col("b.owner").isNull() | (F.col("a.owner") != F.col("b.owner"))
-    candidates = (
-        a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.id") < F.col("b.id")) & apart)
-        .select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
-        .distinct()
-    )
-    text = rows.select("id", "text")
-    both = candidates.join(text.withColumnsRenamed({"id": "id_a", "text": "text_a"}), "id_a")
-    both = both.join(text.withColumnsRenamed({"id": "id_b", "text": "text_b"}), "id_b").select("id_a", "id_b", "text_a", "text_b")
+            if batch.num_rows:
+                likely = estimate(_matrix(batch.column(2)), _matrix(batch.column(3))) >= threshold - MARGIN
+                yield batch.select(["id_a", "id_b"]).filter(pa.array(likely))
+
+    likely = materialize(both.mapInArrow(compare, f"id_a {kind}, id_b {kind}"), "likely")
+    needed = likely.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
+    text = texts.select("id", "text").join(needed, "id", "left_semi")
+    read = likely.join(text.withColumnsRenamed({"id": "id_a", "text": "text_a"}), "id_a")
+    read = read.join(text.withColumnsRenamed({"id": "id_b", "text": "text_b"}), "id_b").select("id_a", "id_b", "text_a", "text_b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            likely = estimate(_all_registers(batch.column(2), width), _all_registers(batch.column(3), width)) >= threshold - MARGIN
-            kept = batch.take(pa.array(np.flatnonzero(likely)))
-            exact = [similarity(x, y, width) for x, y in zip(kept.column(2).to_pylist(), kept.column(3).to_pylist())]
-            made = pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), pa.array(exact, pa.float64())], names=["id_a", "id_b", "similarity"])
-            yield made.filter(pa.array(np.array(exact) >= threshold, pa.bool_()))
-
-    return both.mapInArrow(verify, f"id_a {kind['id']}, id_b {kind['id']}, similarity double")
+            exact = np.array([similarity(x, y, width) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())], dtype=np.float64)
+            made = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(exact)], names=["id_a", "id_b", "similarity"])
+            yield made.filter(pa.array(exact >= threshold))
+
+    return read.mapInArrow(verify, f"id_a {kind}, id_b {kind}, similarity double")
 
 
 def near_duplicates(records: DataFrame, *, record: str, owner: str, text: str, threshold: float = 0.75, width: int = 5) -> DataFrame:
