@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.llm.arrays import mix, rolling_hash, steps
-from palimpsest.runtime import materialize
+from palimpsest.runtime import materialize, materialize_counted
 
 #: Independent sketches and the registers of each; several small sketches leave fewer buckets empty than a large one.
 SKETCHES, REGISTERS = 15, 10
@@ -26,10 +26,10 @@ SKETCHES, REGISTERS = 15, 10
 BAND = 5
 #: Mantissa bits that a register keeps.
 MANTISSA = 10
-#: Texts of one band that meet all others of it in one task; a band with more is split over as many tasks as needed.
-TOGETHER = 512
-#: How far an estimate may lie under the threshold: over six standard deviations of it.
-MARGIN = 0.26
+#: One text of so many is looked at to find the hot bands, and the texts of a hot band that a task holds of it.
+LOOK, TOGETHER = 64, 4096
+#: How far an estimate may lie under the threshold: over five standard deviations of it.
+MARGIN = 0.2
 
 
 def _register(smallest: np.ndarray) -> np.ndarray:
@@ -61,11 +61,13 @@ def registers(points: np.ndarray, bounds: np.ndarray, width: int) -> np.ndarray:
             own[has] = mix(own[has] + points[bounds[:-1][short[has]] + k].astype(np.uint64) + np.uint64(k + 1))
         hashes, owners = np.concatenate([hashes, own]), np.concatenate([owners, short])
     made = np.empty((REGISTERS, SKETCHES, count), dtype=np.uint16)
+    first = owners * REGISTERS
     for s in range(SKETCHES):
         z = mix(hashes + np.uint64((s + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
-        bucket = (z >> np.uint64(32)) * np.uint64(REGISTERS) >> np.uint64(32)
+        slot = ((z >> np.uint64(32)) * np.uint64(REGISTERS) >> np.uint64(32)).astype(np.int64)
+        slot += first
         smallest = np.full(count * REGISTERS, 0xFFFFFFFF, dtype=np.uint32)
-        np.minimum.at(smallest, owners * REGISTERS + bucket.astype(np.int64), (z & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+        np.minimum.at(smallest, slot, z.astype(np.uint32))
         smallest = smallest.reshape(count, REGISTERS)
         filled = smallest < 0xFFFFFFFF
         out = smallest.copy()
@@ -114,18 +116,18 @@ def _all_registers(texts: pa.Array, width: int) -> np.ndarray:
 
 
 def _sketched(texts: DataFrame, width: int) -> DataFrame:
-    """``(id, owner, sketch)``: the registers of every text, as bytes."""
+    """``(id, scope, owner, sketch)``: the registers of every text, as bytes."""
     kind = dict(texts.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = _all_registers(batch.column(2), width)
+            made = _all_registers(batch.column(3), width)
             size = made.shape[1] * made.itemsize
             offsets = pa.py_buffer(np.arange(len(made) + 1, dtype=np.int32) * np.int32(size))
             sketch = pa.Array.from_buffers(pa.binary(), len(made), [None, offsets, pa.py_buffer(made.tobytes())])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sketch], names=["id", "owner", "sketch"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], sketch], names=["id", "scope", "owner", "sketch"])
 
-    return texts.select("id", "owner", "text").mapInArrow(run, f"id {kind['id']}, owner {kind['owner']}, sketch binary")
+    return texts.select("id", "scope", "owner", "text").mapInArrow(run, f"id {kind['id']}, scope string, owner {kind['owner']}, sketch binary")
 
 
 def _matrix(sketches: pa.Array) -> np.ndarray:
@@ -137,39 +139,44 @@ def _matrix(sketches: pa.Array) -> np.ndarray:
 
 
 def _candidates(sketches: DataFrame) -> DataFrame:
-    """``(id_a, id_b)``: texts of different owners that share a band, each pair once.
+    """``(short_a, short_b)``: texts of one scope and different owners that share a band, each pair once.
 
-    Bands that only one owner has are dropped by counts, before any rows meet.
+    Of a hot band one side is split over several tasks and the other one
+    copied to them. Which bands are hot is seen in one of ``LOOK`` texts by
+    their ids; that decides where pairs are made, not which.
     """
     size = BAND * 2
-    bands = [F.xxhash64(F.lit(k), F.substring("sketch", k * size + 1, size)) for k in range(SKETCHES * REGISTERS // BAND)]
-    banded = sketches.select(F.explode(F.array(*bands)).alias("band"), "id", "owner")
-    counts = banded.groupBy("band").agg(
-        F.count("*").alias("n"), F.count("owner").alias("owned"), F.min("owner").alias("lo"), F.max("owner").alias("hi")
-    )
-    shared = materialize(counts.where("n > 1 and (owned < n or lo <> hi)").select("band", F.ceil(F.col("n") / TOGETHER).cast("int").alias("parts")), "bands")
-    # Each text of a band meets all others of it; one side is split, the other one copied to the parts.
-    met = materialize(banded.join(shared, "band"), "banded")
-    a = met.withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int")).alias("a")
-    b = met.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("b")
+    bands = [F.xxhash64("scope", F.lit(k), F.substring("sketch", k * size + 1, size)) for k in range(SKETCHES * REGISTERS // BAND)]
+    banded = lambda of: of.select(F.explode(F.array(*bands)).alias("band"), "short", "owner")
+    seen = banded(sketches.where(F.pmod("short", F.lit(LOOK)) == 0)).groupBy("band").agg((F.count("*") * LOOK / TOGETHER).cast("int").alias("more"))
+    hot, (some,) = materialize_counted(seen.where("more > 0"), "hot", F.count("*"))
+    a = b = banded(sketches)
+    if some:
+        met = a.join(hot, "band", "left").withColumn("more", F.coalesce("more", F.lit(0)))
+        part = lambda of: F.when(F.col("more") == 0, F.col("band")).otherwise(F.xxhash64("band", of))
+        a = met.withColumn("band", part(F.pmod("short", F.col("more") + 1).cast("int")))
+        b = met.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("more")))).withColumn("band", part(F.col("part")))
+    a, b = a.alias("a"), b.alias("b")
     apart = F.col("a.owner").isNull() | F.col("b.owner").isNull() | (F.col("a.owner") != F.col("b.owner"))
-    same = (F.col("a.band") == F.col("b.band")) & (F.col("a.part") == F.col("b.part"))
-    return a.join(b, same & (F.col("a.id") < F.col("b.id")) & apart).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
+    met = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.short") < F.col("b.short")) & apart)
+    return met.select(F.col("a.short").alias("short_a"), F.col("b.short").alias("short_b")).distinct()
 
 
 def near_duplicate_texts(texts: DataFrame, *, threshold: float, width: int) -> DataFrame:
     """Pairs of different texts of at least ``threshold`` similarity.
 
-    ``texts`` is ``(id, text, owner)``, one row per distinct text, ``owner``
-    a number if all its records have the same owner, else null; pairs of one
-    owner aren't looked for. Result ``(id_a, id_b, similarity)``, each pair
+    ``texts`` is ``(id, scope, text, owner)``, one row per scope and distinct
+    text, ``owner`` a number if all its records have the same owner, else
+    null; pairs of one owner or of two scopes aren't looked for. Result ``(id_a, id_b, similarity)``, each pair
     once.
     """
     kind = dict(texts.dtypes)["id"]
     sketches = materialize(_sketched(texts, width), "sketches")
-    sketch = sketches.select("id", "sketch")
-    both = _candidates(sketches).join(sketch.withColumnsRenamed({"id": "id_a", "sketch": "a"}), "id_a")
-    both = both.join(sketch.withColumnsRenamed({"id": "id_b", "sketch": "b"}), "id_b").select("id_a", "id_b", "a", "b")
+    # A short id stands for a text while bands meet; the texts behind equal short ids come apart in the comparison.
+    sketches = sketches.withColumn("short", F.xxhash64("id"))
+    sketch = sketches.select("short", "id", "sketch")
+    both = _candidates(sketches).join(sketch.withColumnsRenamed({"short": "short_a", "id": "id_a", "sketch": "a"}), "short_a")
+    both = both.join(sketch.withColumnsRenamed({"short": "short_b", "id": "id_b", "sketch": "b"}), "short_b").select("id_a", "id_b", "a", "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,34 +199,42 @@ def near_duplicate_texts(texts: DataFrame, *, threshold: float, width: int) -> D
     return read.mapInArrow(verify, f"id_a {kind}, id_b {kind}, similarity double")
 
 
-def near_duplicates(records: DataFrame, *, record: str, owner: str, text: str, threshold: float = 0.75, width: int = 5) -> DataFrame:
+def _texts(records: DataFrame, record: str, owner: str, text: str, scope: str | None) -> tuple[DataFrame, DataFrame]:
+    """Memberships ``(id, scope, record, owner)`` and distinct texts ``(id, scope, text, owner)``."""
+    kind = F.lit("") if scope is None else F.col(scope)
+    rows = records.select(kind.alias("scope"), F.col(record).alias("record"), F.col(owner).alias("owner"), F.col(text).alias("text"))
+    rows = rows.where("scope is not null and record is not null and owner is not null and text is not null")
+    keyed = rows.withColumn("id", F.unhex(F.md5(F.concat_ws("\n", "scope", "text"))))
+    mark = F.xxhash64("owner")
+    texts = (
+        keyed.groupBy("id")
+        .agg(F.first("scope").alias("scope"), F.first("text").alias("text"), F.min(mark).alias("lo"), F.max(mark).alias("hi"))
+        .select("id", "scope", "text", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("owner"))
+    )
+    return materialize(keyed.select("id", "scope", "record", "owner").distinct(), "members"), materialize(texts, "texts")
+
+
+def near_duplicates(records: DataFrame, *, record: str, owner: str, text: str, scope: str | None = None, threshold: float = 0.75, width: int = 5) -> DataFrame:
     """Pairs of records of different owners of which some texts are near-duplicates.
 
-    Result ``(record_a, record_b)`` with ``record_a < record_b``, distinct.
-    Two texts are near-duplicates if the Jaccard similarity of their different
-    substrings of ``width`` code points is at least ``threshold``; equal texts
-    are. A record may have many texts and a text many records. Null records,
-    owners and texts are in no pair; two empty texts are equal.
+    Result ``(record_a, record_b)`` with ``record_a < record_b``, distinct,
+    behind ``scope`` if one is named: then only records of one scope are
+    compared. Two texts are near-duplicates if the Jaccard similarity of
+    their different substrings of ``width`` code points is at least
+    ``threshold``; equal texts are. A record may have many texts and a text
+    many records. Null scopes, records, owners and texts are in no pair; two
+    empty texts are equal.
 
     Texts are made distinct first, so copies cost one row however many there
     are; only pairs of different texts are searched, and the pairs of records
     are made at the end from the texts' memberships.
     """
-    rows = records.select(F.col(record).alias("record"), F.col(owner).alias("owner"), F.col(text).alias("text")).where(
-        "record is not null and owner is not null and text is not null"
-    )
-    keyed = rows.withColumn("id", F.unhex(F.md5("text")))
-    members = materialize(keyed.select("id", "record", "owner").distinct(), "members")
-    mark = F.xxhash64("owner")
-    texts = (
-        keyed.groupBy("id")
-        .agg(F.first("text").alias("text"), F.min(mark).alias("lo"), F.max(mark).alias("hi"))
-        .select("id", "text", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("owner"))
-    )
-    similar = near_duplicate_texts(materialize(texts, "texts"), threshold=threshold, width=width).select("id_a", "id_b")
+    members, texts = _texts(records, record, owner, text, scope)
+    similar = near_duplicate_texts(texts, threshold=threshold, width=width).select("id_a", "id_b")
     shared = members.groupBy("id").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).where("lo <> hi")
     pairs = similar.unionByName(shared.select(F.col("id").alias("id_a"), F.col("id").alias("id_b")))
-    a = members.select(F.col("id").alias("id_a"), F.col("record").alias("ra"), F.col("owner").alias("oa"))
+    a = members.select(F.col("id").alias("id_a"), "scope", F.col("record").alias("ra"), F.col("owner").alias("oa"))
     b = members.select(F.col("id").alias("id_b"), F.col("record").alias("rb"), F.col("owner").alias("ob"))
     found = pairs.join(a, "id_a").join(b, "id_b").where("oa <> ob and ra <> rb")
-    return found.select(F.least("ra", "rb").alias("record_a"), F.greatest("ra", "rb").alias("record_b")).distinct()
+    made = found.select("scope", F.least("ra", "rb").alias("record_a"), F.greatest("ra", "rb").alias("record_b")).distinct()
+    return made.drop("scope") if scope is None else made.withColumnRenamed("scope", scope)

@@ -41,12 +41,13 @@ def _hunk_texts(spark: SparkSession, sf_dir: str, hunks: DataFrame) -> DataFrame
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Works and hunks with nearly the same texts."""
-    works = near_duplicates(
-        table(spark, sf_dir, "clause_document_expression"), record="clause_work_id", owner="clause_work_id", text="exact_text"
+    works = table(spark, sf_dir, "clause_document_expression").select(
+        F.lit("work").alias("record_kind"), F.col("clause_work_id").alias("record"), "clause_work_id", F.col("exact_text").alias("text")
     )
-    hunks = table(spark, sf_dir, "clause_document_diff_hunk").select("hunk_id", "newer_expression_id", "new_exact_text")
-    hunks = near_duplicates(_hunk_texts(spark, sf_dir, hunks.where("new_exact_text is not null")), record="hunk_id", owner="clause_work_id", text="new_exact_text")
-    return works.select(F.lit("work").alias("record_kind"), "*").unionByName(hunks.select(F.lit("hunk").alias("record_kind"), "*"))
+    hunks = table(spark, sf_dir, "clause_document_diff_hunk").where("new_exact_text is not null")
+    hunks = _hunk_texts(spark, sf_dir, hunks.select("hunk_id", "newer_expression_id", "new_exact_text"))
+    hunks = hunks.select(F.lit("hunk").alias("record_kind"), F.col("hunk_id").alias("record"), "clause_work_id", F.col("new_exact_text").alias("text"))
+    return near_duplicates(works.unionByName(hunks), scope="record_kind", record="record", owner="clause_work_id", text="text")
 
 
 def _segment_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
