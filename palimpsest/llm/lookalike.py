@@ -15,18 +15,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.runtime import materialize
+
 # Letters of other scripts with the shape of a Latin letter.
 HOMOGLYPHS = {
     # Greek
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T",
-    "Υ": "Y", "Χ": "X", "ο": "o", "ϲ": "c", "ϳ": "j", "Ϲ": "C", "Ϳ": "J",
+    "Υ": "Y", "Χ": "X", "α": "a", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "υ": "u", "ϲ": "c", "ϳ": "j", "Ϲ": "C", "Ϳ": "J",
     # Cyrillic
     "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C",
-    "Т": "T", "У": "Y", "Х": "X", "Ү": "Y", "Ԛ": "Q", "Ԝ": "W", "Ԍ": "G", "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y",
-    "х": "x", "ѕ": "s", "і": "i", "ј": "j", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "ӏ": "l", "Ӏ": "I", "ү": "y",
-    # Armenian and Cherokee
-    "Ո": "U", "Տ": "S", "օ": "o", "ո": "n", "ս": "u", "հ": "h", "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮋ": "H",
-    "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
+    "Т": "T", "У": "Y", "Х": "X", "Ь": "b", "Ѵ": "V", "Ү": "Y", "Ԛ": "Q", "Ԝ": "W", "Ԍ": "G", "а": "a", "е": "e", "о": "o", "р": "p", "с": "c",
+    "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "ѡ": "w", "ѵ": "v", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "ӏ": "l", "Ӏ": "I", "ү": "y",
+    # Armenian
+    "Լ": "L", "Ո": "U", "Ս": "U", "Տ": "S", "Օ": "O", "զ": "q", "հ": "h", "ո": "n", "ս": "u", "ց": "g", "օ": "o",
+    # Cherokee
+    "Ꭰ": "D", "Ꭱ": "R", "Ꭲ": "T", "Ꭵ": "i", "Ꭺ": "A", "Ꭻ": "J", "Ꭼ": "E", "Ꮃ": "W", "Ꮇ": "M", "Ꮋ": "H", "Ꮍ": "Y", "Ꮐ": "G", "Ꮒ": "h",
+    "Ꮓ": "Z", "Ꮟ": "b", "Ꮢ": "R", "Ꮥ": "S", "Ꮩ": "V", "Ꮪ": "S", "Ꮮ": "L", "Ꮯ": "C", "Ꮲ": "P", "Ꮶ": "K", "Ꮷ": "d", "Ᏻ": "G", "Ᏼ": "B",
+    # Coptic
+    "Ⲃ": "B", "Ⲏ": "H", "Ⲓ": "I", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲟ": "O", "ⲟ": "o", "Ⲣ": "P", "ⲣ": "p", "Ⲥ": "C", "ⲥ": "c", "Ⲧ": "T", "Ⲩ": "Y", "Ⲭ": "X",
+    # Lisu
+    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N", "ꓡ": "L",
+    "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O", "ꓴ": "U",
     # Latin letters of other use
     "ı": "i", "ɡ": "g", "ɑ": "a",
 }
@@ -46,6 +55,9 @@ def _expansion(char: str) -> str:
         return ""
     if "가" <= char <= "힣":
         return unicodedata.normalize("NFD", char)
+    # Letters of syllables that stand by themselves don't join on the page.
+    if "\u3131" <= char <= "\u318e":
+        return char
     kind, *points = unicodedata.decomposition(char).split() or [""]
     if not points and not kind:
         return " " if unicodedata.category(char) == "Zs" else HOMOGLYPHS.get(char, char)
@@ -104,14 +116,13 @@ def _expand(points: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _order_marks(points: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sort runs of marks by combining class, all runs at once."""
-    classes = tables()[4]
-    of = classes[points]
-    while len(swap := np.flatnonzero((of[1:] > 0) & (of[:-1] > of[1:]) & (rows[1:] == rows[:-1]))):
-        # Of overlapping swaps only every other one can be made at once.
-        swap = swap[np.insert(np.diff(swap) > 1, 0, True)]
-        for values in (points, of):
-            values[swap], values[swap + 1] = values[swap + 1], values[swap].copy()
+    """Sort every run of marks by combining class, all runs in one stable sort."""
+    of = tables()[4][points]
+    marks = np.flatnonzero(of)
+    if len(marks) < 2 or not ((of[1:] > 0) & (of[:-1] > of[1:]) & (rows[1:] == rows[:-1])).any():
+        return points
+    run = np.cumsum(np.concatenate([[1], (np.diff(marks) > 1) | (rows[marks[1:]] != rows[marks[:-1]])]))
+    points[marks] = points[marks][np.lexsort((of[marks], run))]
     return points
 
 
@@ -132,6 +143,33 @@ def _compose(points: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarr
         points, rows = points[keep], rows[keep]
 
 
+# First code points of the parts of Hangul syllables and of the syllables, and how many of each part there are.
+LEAD, VOWEL, TAIL, SYLLABLE = 0x1100, 0x1161, 0x11A7, 0xAC00
+LEADS, VOWELS, TAILS = 19, 21, 28
+
+
+def _join_syllables(points: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Join the parts of Hangul syllables by their arithmetic: first lead and vowel, then the tail."""
+    if not ((points >= LEAD) & (points < TAIL + TAILS)).any():
+        return points, rows
+    for tail in (False, True):
+        a, b = points[:-1].astype(np.int64), points[1:].astype(np.int64)
+        together = rows[1:] == rows[:-1]
+        if tail:
+            open_syllable = (a >= SYLLABLE) & (a < SYLLABLE + LEADS * VOWELS * TAILS) & ((a - SYLLABLE) % TAILS == 0)
+            hit = together & open_syllable & (b > TAIL) & (b < TAIL + TAILS)
+            made = a + b - TAIL
+        else:
+            hit = together & (a >= LEAD) & (a < LEAD + LEADS) & (b >= VOWEL) & (b < VOWEL + VOWELS)
+            made = SYLLABLE + ((a - LEAD) * VOWELS + b - VOWEL) * TAILS
+        at = np.flatnonzero(hit)
+        points[at] = made[at]
+        keep = np.ones(len(points), dtype=bool)
+        keep[at + 1] = False
+        points, rows = points[keep], rows[keep]
+    return points, rows
+
+
 def consistent(texts: pa.Array) -> pa.Array:
     """The consistent form of every text of a column; null for null."""
     texts = texts.cast(pa.large_string())
@@ -146,7 +184,7 @@ def consistent(texts: pa.Array) -> pa.Array:
     first = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets - offsets[0]]
     rows = np.repeat(np.arange(count, dtype=np.int32), np.diff(first))
     points, rows = _expand(points, rows)
-    points, rows = _compose(_order_marks(points, rows), rows)
+    points, rows = _join_syllables(*_compose(_order_marks(points, rows), rows))
     width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
     ends = np.concatenate([[0], np.cumsum(np.bincount(rows, weights=width, minlength=count))]).astype(np.int64)
     body = points.tobytes().decode("utf-32-le").encode("utf-8")
@@ -171,6 +209,13 @@ def _hashes(column: Column, name: str) -> list[Column]:
     return [F.xxhash64(column).alias(name + "1"), F.xxhash64(F.lit(1), column).alias(name + "2")]
 
 
+def _formed(rows: DataFrame) -> DataFrame:
+    """``rows`` with a text ``t``, which hashes of its form and of itself replace; the forms are made once."""
+    keys = [c for c in rows.columns if c != "t"]
+    formed = rows.withColumn("f", consistent_form(F.col("t"))).select(*keys, *_hashes(F.col("f"), "f"), *_hashes(F.col("t"), "t"))
+    return materialize(formed.distinct(), "forms")
+
+
 def same_look_pairs(records: DataFrame, record: str, text: str) -> DataFrame:
     """Pairs of records with different strings of one consistent form.
 
@@ -180,13 +225,7 @@ def same_look_pairs(records: DataFrame, record: str, text: str) -> DataFrame:
     copies, of whatever size, are dropped before; what is left has the size of
     the result.
     """
-    rows = (
-        records.select(F.col(record).alias("id"), F.col(text).alias("t"))
-        .where("id is not null and t is not null")
-        .withColumn("f", consistent_form(F.col("t")))
-        .select("id", *_hashes(F.col("f"), "f"), *_hashes(F.col("t"), "t"))
-        .distinct()
-    )
+    rows = _formed(records.select(F.col(record).alias("id"), F.col(text).alias("t")).where("id is not null and t is not null"))
     mixed = rows.groupBy("f1", "f2").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).where("lo <> hi").select("f1", "f2")
     some = rows.join(mixed, ["f1", "f2"], "left_semi")
     a, b = some.alias("a"), some.alias("b")
@@ -205,13 +244,8 @@ def same_look_successors(records: DataFrame, pairs: DataFrame, *, record: str, e
     ``pairs`` has the neighbouring editions as ``(older, newer)``. Result as
     of :func:`same_look_pairs`.
     """
-    rows = (
-        records.select(F.col(record).alias("id"), F.col(entity).alias("w"), F.col(edition).alias("e"), F.col(text).alias("t"))
-        .where("id is not null and w is not null and e is not null and t is not null")
-        .withColumn("f", consistent_form(F.col("t")))
-        .select("id", "w", "e", *_hashes(F.col("f"), "f"), *_hashes(F.col("t"), "t"))
-        .distinct()
-    )
+    rows = records.select(F.col(record).alias("id"), F.col(entity).alias("w"), F.col(edition).alias("e"), F.col(text).alias("t"))
+    rows = _formed(rows.where("id is not null and w is not null and e is not null and t is not null"))
     mixed = rows.groupBy("w", "f1", "f2").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).where("lo <> hi").select("w", "f1", "f2")
     some = rows.join(mixed, ["w", "f1", "f2"], "left_semi")
     older = some.join(pairs.select(F.col("older").alias("e"), F.col("newer").alias("next")), "e").drop("e")
@@ -224,11 +258,13 @@ def same_look_parts(parts: DataFrame, wholes: DataFrame, *, part: str, part_text
     """Parts that aren't verbatim in their whole but look the same as a part of it.
 
     ``of`` names a part's whole. Result as of :func:`same_look_pairs`. Parts
-    without a text, whole or any visible character are in no pair.
+    without a text, whole or any visible character are in no pair. Forms are
+    only made of the parts that aren't verbatim, and of their wholes.
     """
     a = parts.select(F.col(part).alias("id"), F.col(of).alias("whole_id"), F.col(part_text).alias("p")).where("id is not null and p is not null").distinct()
     b = wholes.select(F.col(whole).alias("whole_id"), F.col(whole_text).alias("t")).where("t is not null")
-    candidates = a.join(b, "whole_id").where("not contains(t, p)")
-    formed = candidates.withColumn("pf", consistent_form(F.col("p"))).withColumn("tf", consistent_form(F.col("t")))
+    # Written before the forms are made: the planner would else form every whole ahead of the join.
+    candidates = materialize(a.join(b, "whole_id").where("not contains(t, p)"), "parts")
+    formed = candidates.select("id", "whole_id", consistent_form(F.col("p")).alias("pf"), consistent_form(F.col("t")).alias("tf"))
     found = formed.where("pf <> '' and contains(tf, pf)")
     return found.select(F.least("id", "whole_id").alias("record_a"), F.greatest("id", "whole_id").alias("record_b")).distinct()

@@ -2,6 +2,8 @@
 
 import random
 import string
+import time
+import unicodedata
 from collections import defaultdict
 
 import numpy as np
@@ -66,6 +68,22 @@ def test_texts_that_look_different(a, b):
     assert x != y
 
 
+def test_look_alike_letters_and_syllables():
+    a, b = "ανρυκιѵѴЬᏒꓐꓓⲟ", "avpukivVbRBDo"
+    assert lookalike.consistent(pa.array(list(a))).to_pylist() == list(b)
+    whole = ["각", "가", "한글", "ㅎㅏㄴ"]
+    parts = ["\u1100\u1161\u11a8", "\u1100\u1161", "한\u1100\u1173\u11af", "ㅎㅏㄴ"]
+    assert lookalike.consistent(pa.array(parts)).to_pylist() == whole == lookalike.consistent(pa.array(whole)).to_pylist()
+
+
+def test_marks_are_ordered_in_linear_time():
+    text = "a" + "\u0301\u0323" * 20000 + "b\u0323\u0301"
+    began = time.perf_counter()
+    one, two = lookalike.consistent(pa.array([text, "a\u0323" + "\u0301\u0323" * 3])).to_pylist()
+    assert time.perf_counter() - began < 5
+    assert unicodedata.normalize("NFC", one) == one == unicodedata.normalize("NFC", text)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.text(max_size=30)), max_size=6))
 def test_consistent_form_of_columns(texts):
