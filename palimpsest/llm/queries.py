@@ -80,10 +80,10 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_table(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _leaks(spark: SparkSession, sf_dir: str, short: bool = False) -> DataFrame:
     return find_leaks(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "heldout_item"),
-        doc_key="doc_id", doc_text="text", item_key="item_id", item_text="text",
+        doc_key="doc_id", doc_text="text", item_key="item_id", item_text="text", short=short,
     )
 
 
@@ -93,8 +93,8 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How far each held-out item leaked: documents, and the most of it that one document has."""
-    return _leaks(spark, sf_dir).groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"), F.max("covered").alias("most_covered"))
+    """How far each held-out item leaked, short ones as wholes: documents, and the most of it that one document has."""
+    return _leaks(spark, sf_dir, short=True).groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"), F.max("covered").alias("most_covered"))
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import random
 import string
+import subprocess
+import sys
 import time
 import unicodedata
 from collections import defaultdict
@@ -264,6 +266,44 @@ def test_leaks_in_several_blocks(spark, monkeypatch):
     assert sorted(r.i for r in leakage.find_leaks(docs, items, doc_key="d", doc_text="t", item_key="i", item_text="t").collect()) == [1, 2]
 
 
+def test_short_items_leak_as_wholes(spark):
+    items = spark.createDataFrame([(1, "Forty-Two apples"), (2, "a b"), (3, "…")], "i int, t string")
+    docs = spark.createDataFrame([("d", "they ate FORTY two, ａpples!"), ("e", "forty-two pears"), ("f", "cab")], "d string, t string")
+    kw = dict(doc_key="d", doc_text="t", item_key="i", item_text="t")
+    got = {(r.d, r.i, r.covered) for r in leakage.find_leaks(docs, items, short=True, **kw).collect()}
+    assert got == {("d", 1, 17), ("f", 2, 2)}
+    assert leakage.find_leaks(docs, items, **kw).collect() == []
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="ab", max_size=24), min_size=1, max_size=4), st.text(alphabet="ab", max_size=40), st.integers(1, 9))
+def test_passages_of_any_length_against_brute_force(items, text, length):
+    found = leakage.Items(list(enumerate(items)), length, False).scan(text)
+    want = {}
+    for number, item in enumerate(items):
+        covered = {p for i in range(len(text) - length + 1) if text[i : i + length] in item for p in range(i, i + length)}
+        if covered:
+            want[number] = covered
+    assert {n: {p for a, b in spans for p in range(a, b)} for n, spans in found.items()} == want
+
+
+def test_automaton_of_many_items_is_small():
+    # Two million characters of items in one worker: memory is measured in a process of its own.
+    code = """
+import random, resource, sys
+from palimpsest.llm import leakage
+rng = random.Random(3)
+letters = [chr(0x4E00 + i) for i in range(3000)]
+items = [(i, "".join(rng.choices(letters, k=1000))) for i in range(2000)]
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+own = leakage.Items(items, 30, False)
+assert list(own.scan("x" * 50 + items[7][1][13:60] + "y" * 50)) == [7]
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) * 1024 / 2_000_000)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert float(out.stdout) < 150
+
+
 # p10
 
 ENDINGS = [
