@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.llm.arrays import mix, rolling_hash, steps
+from palimpsest.llm.members import distinct_texts
 from palimpsest.runtime import materialize, materialize_counted
 
 #: Independent sketches and the registers of each; several small sketches leave fewer buckets empty than a large one.
@@ -199,21 +200,6 @@ def near_duplicate_texts(texts: DataFrame, *, threshold: float, width: int) -> D
     return read.mapInArrow(verify, f"id_a {kind}, id_b {kind}, similarity double")
 
 
-def _texts(records: DataFrame, record: str, owner: str, text: str, scope: str | None) -> tuple[DataFrame, DataFrame]:
-    """Memberships ``(id, scope, record, owner)`` and distinct texts ``(id, scope, text, owner)``."""
-    kind = F.lit("") if scope is None else F.col(scope)
-    rows = records.select(kind.alias("scope"), F.col(record).alias("record"), F.col(owner).alias("owner"), F.col(text).alias("text"))
-    rows = rows.where("scope is not null and record is not null and owner is not null and text is not null")
-    keyed = rows.withColumn("id", F.unhex(F.md5(F.concat_ws("\n", "scope", "text"))))
-    mark = F.xxhash64("owner")
-    texts = (
-        keyed.groupBy("id")
-        .agg(F.first("scope").alias("scope"), F.first("text").alias("text"), F.min(mark).alias("lo"), F.max(mark).alias("hi"))
-        .select("id", "scope", "text", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("owner"))
-    )
-    return materialize(keyed.select("id", "scope", "record", "owner").distinct(), "members"), materialize(texts, "texts")
-
-
 def near_duplicates(records: DataFrame, *, record: str, owner: str, text: str, scope: str | None = None, threshold: float = 0.75, width: int = 5) -> DataFrame:
     """Pairs of records of different owners of which some texts are near-duplicates.
 
@@ -229,7 +215,7 @@ def near_duplicates(records: DataFrame, *, record: str, owner: str, text: str, s
     are; only pairs of different texts are searched, and the pairs of records
     are made at the end from the texts' memberships.
     """
-    members, texts = _texts(records, record, owner, text, scope)
+    members, texts = distinct_texts(records, record=record, owner=owner, text=text, scope=scope)
     similar = near_duplicate_texts(texts, threshold=threshold, width=width).select("id_a", "id_b")
     shared = members.groupBy("id").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).where("lo <> hi")
     pairs = similar.unionByName(shared.select(F.col("id").alias("id_a"), F.col("id").alias("id_b")))

@@ -50,29 +50,25 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(works.unionByName(hunks), scope="record_kind", record="record", owner="clause_work_id", text="text")
 
 
-def _segment_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New texts of the hunks' segments, with the work of each hunk's newer expression."""
+def _passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of works, and new texts of the hunks' segments with the work of each hunk's newer expression."""
+    works = table(spark, sf_dir, "clause_document_expression").select(
+        F.lit("work").alias("record_kind"), F.col("clause_work_id").alias("record"), "clause_work_id", F.col("exact_text").alias("text")
+    )
     segments = table(spark, sf_dir, "clause_document_inline_diff_segment").select("hunk_id", "new_text").where("char_length(new_text) >= 60")
-    hunks = table(spark, sf_dir, "clause_document_diff_hunk").select("hunk_id", "newer_expression_id").distinct()
-    return segments.join(_hunk_texts(spark, sf_dir, hunks), "hunk_id")
+    hunks = _hunk_texts(spark, sf_dir, table(spark, sf_dir, "clause_document_diff_hunk").select("hunk_id", "newer_expression_id").distinct())
+    hunks = segments.join(hunks, "hunk_id").select(F.lit("hunk").alias("record_kind"), F.col("hunk_id").alias("record"), "clause_work_id", F.col("new_text").alias("text"))
+    return works.unionByName(hunks)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Works and hunks that share long passages verbatim."""
-    works = shared_spans(
-        table(spark, sf_dir, "clause_document_expression"), record="clause_work_id", owner="clause_work_id", text="exact_text"
-    )
-    hunks = shared_spans(_segment_texts(spark, sf_dir), record="hunk_id", owner="clause_work_id", text="new_text")
-    return works.select(F.lit("work").alias("record_kind"), "*").unionByName(hunks.select(F.lit("hunk").alias("record_kind"), "*"))
+    return shared_spans(_passages(spark, sf_dir), scope="record_kind", record="record", owner="clause_work_id", text="text")
 
 
 def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of each work and hunk stands verbatim in others."""
-    works = shared_share(
-        table(spark, sf_dir, "clause_document_expression"), record="clause_work_id", owner="clause_work_id", text="exact_text"
-    )
-    hunks = shared_share(_segment_texts(spark, sf_dir), record="hunk_id", owner="clause_work_id", text="new_text")
-    return works.select(F.lit("work").alias("record_kind"), "*").unionByName(hunks.select(F.lit("hunk").alias("record_kind"), "*"))
+    return shared_share(_passages(spark, sf_dir), scope="record_kind", record="record", owner="clause_work_id", text="text")
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

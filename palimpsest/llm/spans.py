@@ -2,11 +2,13 @@
 
 The edges are the k-mers of ``span`` code points of every text. Each belongs
 to the anchor that it holds: the token of ``ANCHOR`` code points with the
-smallest hash in it. Consecutive edges of one anchor form a path. An anchor
-all of whose occurrences have the same path doesn't branch there, so the path
-is compacted into one node; at an anchor that branches every edge stays a
-node. Joins on the anchors find repeated paths, and the source coordinates of
-what is left lead back to the texts, where the nodes are hashed anew in full.
+smallest hash in it; anchors that one owner alone has are dropped with their
+edges. What is left is the graph: an edge follows another one if it does so in
+some text. Runs in which each edge has one successor and that one predecessor,
+wherever they stand, are compacted into one node by joins on the edges; where
+all occurrences of an anchor have the same edges, these are one from the
+start. The source coordinates of every compacted node then lead back to the
+texts, and only spans whose texts are equal count as shared.
 """
 
 from __future__ import annotations
@@ -15,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.llm.arrays import mix, rolling_hash, steps
+from palimpsest.llm.members import distinct_texts
 from palimpsest.runtime import materialize
 
 #: Code points of an anchor token. Shorter ones make fewer paths, longer ones repeat less often by chance.
@@ -70,54 +73,50 @@ def path_hash(first: np.ndarray, last: np.ndarray, steps_between: np.ndarray) ->
     return mix(mix(first + np.uint64(1)) ^ last + steps_between.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _second(points: np.ndarray) -> np.ndarray:
-    """Other code points for an independent hash of the same text."""
-    return (mix(points.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(7)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+def _long(values: np.ndarray) -> pa.Array:
+    return pa.array(values.view(np.int64))
 
 
 def _occurrences(texts: DataFrame, span: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, points, bounds in steps(batch.column(2)):
+            seeds = np.asarray(batch.column(2)).view(np.uint64)
+            for start, points, bounds in steps(batch.column(3)):
                 of, anchor, path, first, last = paths(points, bounds, span)
-                at = pa.array(of + start)
+                at = of + start
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(at), batch.column(1).take(at), pa.array(anchor.view(np.int64)), pa.array(path.view(np.int64)),
+                        batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), _long(mix(anchor ^ seeds[at])), _long(path),
                         pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)),
                     ],
-                    names=["id", "owner", "anchor", "path", "first", "last"],
+                    names=["short", "owner", "anchor", "path", "first", "last"],
                 )
 
-    return texts.select("id", "owner", "text").mapInArrow(run, "id binary, owner bigint, anchor bigint, path bigint, first int, last int")
+    rows = texts.select("short", "owner", F.xxhash64("scope"), "text")
+    return rows.mapInArrow(run, "short bigint, owner bigint, anchor bigint, path bigint, first int, last int")
 
 
-def repeated_nodes(texts: DataFrame, span: int) -> DataFrame:
-    """Nodes of the compacted graph at anchors that texts of different owners have.
-
-    ``texts`` is ``(id, owner, text)``, one row per distinct text; ``owner`` is
-    a number, of its own for a text that several owners have. Result ``(id,
-    n1, n2, first, last)``: 128 bits for the node, and the offsets of its first
-    and last edge in the text.
-    """
-    found = _occurrences(texts, span)
+def _edges(texts: DataFrame, span: int) -> DataFrame:
+    """``(short, owner, n, first, last)`` of every text with shared anchors: its edges, or paths of such, as arrays in order."""
+    found = materialize(_occurrences(texts, span), "occurrences")
     anchors = (
         found.groupBy("anchor")
         .agg(F.min("owner").alias("lo"), F.max("owner").alias("hi"), F.min("path").alias("p"), F.max("path").alias("q"))
         .where("lo <> hi")
         .select("anchor", (F.col("p") != F.col("q")).alias("branches"))
     )
-    places = found.select("id", "anchor", "first", "last").join(anchors, "anchor")
+    places = found.select("short", "anchor", "first", "last").join(materialize(anchors, "anchors"), "anchor")
     # A text has no more paths than code points.
-    wanted = places.groupBy("id").agg(F.collect_list(F.struct("first", "last", "branches")).alias("places"))
-    rows = texts.select("id", "text").join(wanted, "id").select("id", "text", "places")
+    wanted = places.groupBy("short").agg(F.array_sort(F.collect_list(F.struct("first", "last", "branches"))).alias("places"))
+    rows = texts.select("short", "owner", F.xxhash64("scope").alias("seed"), "text").join(wanted, "short").select("short", "owner", "seed", "text", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(2)
+            lists = batch.column(4)
             values, offsets = lists.flatten(), np.asarray(lists.offsets) - lists.offsets[0].as_py()
             lo, hi, branches = (np.asarray(values.field(i)) for i in range(3))
-            for start, points, bounds in steps(batch.column(1)):
+            seeds = np.asarray(batch.column(2)).view(np.uint64)
+            for start, points, bounds in steps(batch.column(3)):
                 count = len(bounds) - 1
                 inside = slice(offsets[start], offsets[start + count])
                 of = np.repeat(np.arange(count), np.diff(offsets[start : start + count + 1]))
@@ -128,83 +127,128 @@ def repeated_nodes(texts: DataFrame, span: int) -> DataFrame:
                 step = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
                 first, last = a[which] + step, np.where(split[which], a[which] + step, b[which])
                 row = of[which]
-                nodes = []
-                for form in (points, _second(points)):
-                    edges = rolling_hash(form, span)
-                    nodes.append(path_hash(edges[first + bounds[row]], edges[last + bounds[row]], last - first))
+                edges = rolling_hash(points, span)
+                nodes = mix(path_hash(edges[first + bounds[row]], edges[last + bounds[row]], last - first) ^ seeds[start + row])
+                ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=count))]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(row + start)), pa.array(nodes[0].view(np.int64)), pa.array(nodes[1].view(np.int64)),
-                        pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)),
+                        batch.column(0).slice(start, count), batch.column(1).slice(start, count), pa.ListArray.from_arrays(ends, _long(nodes)),
+                        pa.ListArray.from_arrays(ends, pa.array(first.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(last.astype(np.int32))),
                     ],
-                    names=["id", "n1", "n2", "first", "last"],
+                    names=["short", "owner", "n", "first", "last"],
                 )
 
-    return rows.mapInArrow(run, "id binary, n1 bigint, n2 bigint, first int, last int")
+    return rows.mapInArrow(run, "short bigint, owner bigint, n array<bigint>, first array<int>, last array<int>")
 
 
-def _distinct_texts(records: DataFrame, record: str, owner: str, text: str, span: int) -> tuple[DataFrame, DataFrame]:
-    """Memberships ``(id, record, owner)`` and distinct texts ``(id, owner, text)`` of at least ``span`` code points."""
-    keyed = (
-        records.select(F.col(record).alias("record"), F.col(owner).alias("owner"), F.col(text).alias("text"))
-        .where(f"record is not null and owner is not null and char_length(text) >= {span}")
-        .withColumn("id", F.unhex(F.md5("text")))
-    )
-    members = materialize(keyed.select("id", "record", "owner").distinct(), "members")
-    mark = F.xxhash64("owner")
-    texts = (
-        keyed.groupBy("id")
-        .agg(F.first("text").alias("text"), F.min(mark).alias("lo"), F.max(mark).alias("hi"))
-        .select("id", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.xxhash64("id")).alias("owner"), "text")
-    )
-    return members, materialize(texts, "texts")
+def compacted(edges: DataFrame) -> DataFrame:
+    """Nodes of the compacted graph that several owners have: ``(short, node, first, last)``, one row per occurrence.
+
+    ``edges`` is of :func:`_edges`. An edge is joined to the one before it if
+    it follows that one, and nothing else, wherever either stands. Both ends
+    of the graph at a text's ends or at dropped anchors count as edges of
+    their own, so a run of edges is either there as a whole or not at all,
+    and its first edge names it.
+    """
+    def around(x, i):
+        before = F.when((i > 0) & (F.get("last", i - 1) + 1 == F.get("first", i)), F.get("n", i - 1))
+        behind = F.when(F.get("first", i + 1) == F.get("last", i) + 1, F.get("n", i + 1))
+        return F.struct(x.alias("n"), before.alias("before"), behind.alias("behind"))
+
+    place = F.explode(F.transform("n", around))
+    only = lambda side: (F.count(side) == F.count("*")) & (F.min(side) == F.max(side))
+    of = edges.select("owner", place.alias("x")).select("owner", "x.*").groupBy("n")
+    known = of.agg(F.min("owner").alias("lo"), F.max("owner").alias("hi"), only("before").alias("one_before"), only("behind").alias("one_behind"))
+    known = known.where("lo <> hi").select("n", "one_before", "one_behind")
+    at = F.explode(F.arrays_zip("n", "first", "last"))
+    rows = edges.select("short", at.alias("x")).select("short", "x.n", "x.first", "x.last").join(known, "n")
+    order = Window.partitionBy("short").orderBy("first")
+    follows = F.col("one_before") & F.lag("one_behind").over(order) & (F.lag("last").over(order) + 1 == F.col("first"))
+    runs = rows.withColumn("starts", F.when(follows, 0).otherwise(1)).withColumn("run", F.sum("starts").over(order))
+    return runs.groupBy("short", "run").agg(F.min_by("n", "first").alias("node"), F.min("first").alias("first"), F.max("last").alias("last")).drop("run")
+
+
+def shared_nodes(texts: DataFrame, span: int) -> DataFrame:
+    """Spans of the texts that others have: ``(id, owner, node, passage, first, end)``, half-open code-point offsets.
+
+    ``texts`` is ``(id, scope, text, owner)``, one row per scope and distinct
+    text; ``owner`` is a number, of its own for a text that several owners
+    have. ``passage`` is read from the text at the coordinates of the node's
+    occurrence, so two rows are of one span only if node and passage agree.
+    """
+    texts = texts.withColumn("short", F.xxhash64("id"))
+    edges = materialize(_edges(texts, span), "edges")
+    places = compacted(edges).groupBy("short").agg(F.collect_list(F.struct("node", "first", (F.col("last") + span).alias("end"))).alias("places"))
+    rows = texts.select("short", "id", "owner", "text").join(places, "short").select("id", "owner", "text", "places")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(3)
+            values = lists.flatten()
+            nodes, first, end = (values.field(i) for i in range(3))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
+            own = batch.column(2).to_pylist()
+            passages = [own[i][a:b] for i, a, b in zip(row.tolist(), first.to_pylist(), end.to_pylist())]
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), nodes, pa.array(passages, pa.string()), first, end], names=["id", "owner", "node", "passage", "first", "end"]
+            )
+
+    return rows.mapInArrow(run, "id binary, owner bigint, node bigint, passage string, first int, end int")
+
+
+def _graph(records: DataFrame, record: str, owner: str, text: str, scope: str | None, span: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    members, texts = distinct_texts(records, record=record, owner=owner, text=text, scope=scope, shortest=span)
+    texts = texts.withColumn("owner", F.coalesce("owner", F.xxhash64("id")))
+    return members, texts, materialize(shared_nodes(texts, span), "nodes")
 
 
-def shared_spans(records: DataFrame, *, record: str, owner: str, text: str, span: int = 60) -> DataFrame:
+def shared_spans(records: DataFrame, *, record: str, owner: str, text: str, scope: str | None = None, span: int = 60) -> DataFrame:
     """Pairs of records of different owners that share ``span`` or more consecutive code points.
 
-    Result ``(record_a, record_b)`` with ``record_a < record_b``, distinct.
-    Some text of the one and some text of the other must share them. Null
-    records, owners and texts, and texts shorter than ``span``, are in no
-    pair.
+    Result ``(record_a, record_b)`` with ``record_a < record_b``, distinct,
+    behind ``scope`` if one is named: then only records of one scope are
+    compared. Some text of the one and some text of the other must share
+    them. Null scopes, records, owners and texts, and texts shorter than
+    ``span``, are in no pair.
 
-    Nodes in the same set of texts are one class of paths, found by counts
-    and sums that don't depend on order; one node of each class is enough to
-    name its pairs, so a long shared span makes its pairs once. The pairs
+    Spans in the same set of texts are one class, found by counts and sums
+    that don't depend on order; one span of each class is enough to name its
+    pairs, so texts that share many spans make their pairs once. The pairs
     themselves are the result and are only made at the end.
     """
-    members, texts = _distinct_texts(records, record, owner, text, span)
-    nodes = materialize(repeated_nodes(texts, span).select("n1", "n2", "id").distinct(), "nodes")
+    members, _, nodes = _graph(records, record, owner, text, scope, span)
+    # A text may have a span twice.
+    held = nodes.select("node", "passage", "id").distinct()
     mark = F.xxhash64("id")
-    sets = nodes.groupBy("n1", "n2").agg(
+    sets = held.groupBy("node", "passage").agg(
         F.count("*").alias("n"), F.sum(mark.cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("x")
     )
-    classes = sets.where("n > 1").groupBy("n", "s", "x").agg(F.min_by(F.struct("n1", "n2"), F.struct("n1", "n2")).alias("node")).select("node.*")
-    texts_of = nodes.join(classes, ["n1", "n2"], "left_semi")
+    classes = sets.where("n > 1").groupBy("n", "s", "x").agg(F.min(F.struct("node", "passage")).alias("k")).select("k.*")
+    texts_of = held.join(classes, ["node", "passage"], "left_semi").select(F.xxhash64("node", "passage").alias("span"), "node", "id")
     whole = members.groupBy("id").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).where("lo <> hi")
-    # A text of several owners is a node by itself.
-    alone = whole.select(F.xxhash64("id").alias("n1"), F.xxhash64(F.lit(2), "id").alias("n2"), "id")
-    of = texts_of.unionByName(alone).join(members, "id").select("n1", "n2", "record", "owner").distinct()
+    # A text of several owners is a span by itself.
+    alone = whole.select(F.xxhash64("id").alias("span"), F.xxhash64(F.lit(2), "id").alias("node"), "id")
+    of = texts_of.unionByName(alone).join(members, "id").select("span", "node", "scope", "record", "owner").distinct()
     a, b = of.alias("a"), of.alias("b")
-    same = (F.col("a.n1") == F.col("b.n1")) & (F.col("a.n2") == F.col("b.n2"))
+    same = (F.col("a.span") == F.col("b.span")) & (F.col("a.node") == F.col("b.node"))
     pairs = a.join(b, same & (F.col("a.record") < F.col("b.record")) & (F.col("a.owner") != F.col("b.owner")))
-    return pairs.select(F.col("a.record").alias("record_a"), F.col("b.record").alias("record_b")).distinct()
+    made = pairs.select(F.col("a.scope").alias("scope"), F.col("a.record").alias("record_a"), F.col("b.record").alias("record_b")).distinct()
+    return made.drop("scope") if scope is None else made.withColumnRenamed("scope", scope)
 
 
-def shared_share(records: DataFrame, *, record: str, owner: str, text: str, span: int = 60) -> DataFrame:
+def shared_share(records: DataFrame, *, record: str, owner: str, text: str, scope: str | None = None, span: int = 60) -> DataFrame:
     """How much of every record's texts stands in a record of another owner.
 
-    Result ``(record, texts, characters, shared)`` over the record's distinct
-    texts of at least ``span`` code points; ``shared`` counts the code points
-    that lie in a span of at least ``span`` that some text of another owner has.
+    Result ``(record, texts, characters, shared)``, behind ``scope`` if one is
+    named, over the record's distinct texts of at least ``span`` code points;
+    ``shared`` counts the code points that lie in a span of at least ``span``
+    that some text of another owner (and the same scope) has.
     """
-    members, texts = _distinct_texts(records, record, owner, text, span)
-    nodes = materialize(repeated_nodes(texts, span), "nodes")
-    mark = texts.select("id", "owner")
+    members, texts, nodes = _graph(records, record, owner, text, scope, span)
     several = members.groupBy("id").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).where("lo <> hi").select("id")
-    owned = nodes.join(mark, "id")
-    shared = owned.groupBy("n1", "n2").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).where("lo <> hi").select("n1", "n2")
-    spans = owned.join(shared, ["n1", "n2"], "left_semi").select("id", "first", (F.col("last") + span).alias("end"))
+    shared = nodes.groupBy("node", "passage").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).where("lo <> hi").select("node", "passage")
+    spans = nodes.join(shared, ["node", "passage"], "left_semi").select("id", "first", "end")
     lengths = texts.select("id", F.char_length("text").alias("characters"))
     spans = spans.unionByName(lengths.join(several, "id", "left_semi").select("id", F.lit(0).alias("first"), F.col("characters").alias("end")))
     # Spans of one text, in order: what each adds beyond the furthest end so far.
@@ -214,7 +258,8 @@ def shared_share(records: DataFrame, *, record: str, owner: str, text: str, span
         (acc["sum"] + F.greatest(F.lit(0), x["end"] - F.greatest(x["first"], acc["upto"]))).alias("sum"), F.greatest(acc["upto"], x["end"]).alias("upto")
     )
     covered = merged.select("id", F.aggregate("spans", none, add, lambda acc: acc["sum"]).alias("shared"))
-    of = members.select("id", "record").distinct().join(lengths, "id").join(covered, "id", "left")
-    return of.groupBy("record").agg(
+    of = members.select("id", "scope", "record").distinct().join(lengths, "id").join(covered, "id", "left")
+    made = of.groupBy("scope", "record").agg(
         F.count("*").alias("texts"), F.sum("characters").alias("characters"), F.coalesce(F.sum("shared"), F.lit(0)).alias("shared")
     )
+    return made.drop("scope") if scope is None else made.withColumnRenamed("scope", scope)
