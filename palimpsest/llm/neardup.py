@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.arrays import mix, rolling_hash, steps
 from palimpsest.llm.members import distinct_texts
-from palimpsest.runtime import materialize, materialize_counted
+from palimpsest.runtime import discard, materialize, materialize_counted
 
 #: Independent sketches and the registers of each; several small sketches leave fewer buckets empty than a large one.
 SKETCHES, REGISTERS = 15, 10
@@ -172,9 +172,9 @@ def near_duplicate_texts(texts: DataFrame, *, threshold: float, width: int) -> D
     once.
     """
     kind = dict(texts.dtypes)["id"]
-    sketches = materialize(_sketched(texts, width), "sketches")
+    written = materialize(_sketched(texts, width), "sketches")
     # A short id stands for a text while bands meet; the texts behind equal short ids come apart in the comparison.
-    sketches = sketches.withColumn("short", F.xxhash64("id"))
+    sketches = written.withColumn("short", F.xxhash64("id"))
     sketch = sketches.select("short", "id", "sketch")
     both = _candidates(sketches).join(sketch.withColumnsRenamed({"short": "short_a", "id": "id_a", "sketch": "a"}), "short_a")
     both = both.join(sketch.withColumnsRenamed({"short": "short_b", "id": "id_b", "sketch": "b"}), "short_b").select("id_a", "id_b", "a", "b")
@@ -186,6 +186,7 @@ def near_duplicate_texts(texts: DataFrame, *, threshold: float, width: int) -> D
                 yield batch.select(["id_a", "id_b"]).filter(pa.array(likely))
 
     likely = materialize(both.mapInArrow(compare, f"id_a {kind}, id_b {kind}"), "likely")
+    discard(written)
     needed = likely.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
     text = texts.select("id", "text").join(needed, "id", "left_semi")
     read = likely.join(text.withColumnsRenamed({"id": "id_a", "text": "text_a"}), "id_a")

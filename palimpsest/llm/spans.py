@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.arrays import mix, rolling_hash, steps
 from palimpsest.llm.members import distinct_texts
-from palimpsest.runtime import materialize
+from palimpsest.runtime import discard, materialize
 
 #: Code points of an anchor token. Shorter ones make fewer paths, longer ones repeat less often by chance.
 ANCHOR = 24
@@ -96,9 +96,11 @@ def _occurrences(texts: DataFrame, span: int) -> DataFrame:
     return rows.mapInArrow(run, "short bigint, owner bigint, anchor bigint, path bigint, first int, last int")
 
 
-def _edges(texts: DataFrame, span: int) -> DataFrame:
-    """``(short, owner, n, first, last)`` of every text with shared anchors: its edges, or paths of such, as arrays in order."""
-    found = materialize(_occurrences(texts, span), "occurrences")
+def _edges(texts: DataFrame, found: DataFrame, span: int) -> DataFrame:
+    """``(short, owner, n, before, behind, first, last)`` of every text with shared anchors.
+
+    Arrays hold its edges, or paths of such, in order, and their neighbours.
+    """
     anchors = (
         found.groupBy("anchor")
         .agg(F.min("owner").alias("lo"), F.max("owner").alias("hi"), F.min("path").alias("p"), F.max("path").alias("q"))
@@ -129,16 +131,18 @@ def _edges(texts: DataFrame, span: int) -> DataFrame:
                 row = of[which]
                 edges = rolling_hash(points, span)
                 nodes = mix(path_hash(edges[first + bounds[row]], edges[last + bounds[row]], last - first) ^ seeds[start + row])
+                # The edge before and behind each one in its text, 0 where there is none.
+                linked = (row[1:] == row[:-1]) & (first[1:] == last[:-1] + 1)
+                before, behind = np.zeros_like(nodes), np.zeros_like(nodes)
+                before[1:][linked], behind[:-1][linked] = nodes[:-1][linked], nodes[1:][linked]
                 ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=count))]).astype(np.int32))
+                lists = [_long(nodes), _long(before), _long(behind), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(start, count), batch.column(1).slice(start, count), pa.ListArray.from_arrays(ends, _long(nodes)),
-                        pa.ListArray.from_arrays(ends, pa.array(first.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(last.astype(np.int32))),
-                    ],
-                    names=["short", "owner", "n", "first", "last"],
-                )
+                    [batch.column(0).slice(start, count), batch.column(1).slice(start, count), *[pa.ListArray.from_arrays(ends, x) for x in lists]],
+                    names=["short", "owner", "n", "before", "behind", "first", "last"],
+                )
 
-    return rows.mapInArrow(run, "short bigint, owner bigint, n array<bigint>, first array<int>, last array<int>")
+    return rows.mapInArrow(run, "short bigint, owner bigint, n array<bigint>, before array<bigint>, behind array<bigint>, first array<int>, last array<int>")
 
 
 def compacted(edges: DataFrame) -> DataFrame:
@@ -150,18 +154,11 @@ def compacted(edges: DataFrame) -> DataFrame:
     their own, so a run of edges is either there as a whole or not at all,
     and its first edge names it.
     """
-    def around(x, i):
-        before = F.when((i > 0) & (F.get("last", i - 1) + 1 == F.get("first", i)), F.get("n", i - 1))
-        behind = F.when(F.get("first", i + 1) == F.get("last", i) + 1, F.get("n", i + 1))
-        return F.struct(x.alias("n"), before.alias("before"), behind.alias("behind"))
-
-    place = F.explode(F.transform("n", around))
-    only = lambda side: (F.count(side) == F.count("*")) & (F.min(side) == F.max(side))
-    of = edges.select("owner", place.alias("x")).select("owner", "x.*").groupBy("n")
+    only = lambda side: (F.min(side) == F.max(side)) & (F.min(side) != 0)
+    of = edges.select("owner", F.inline(F.arrays_zip("n", "before", "behind"))).groupBy("n")
     known = of.agg(F.min("owner").alias("lo"), F.max("owner").alias("hi"), only("before").alias("one_before"), only("behind").alias("one_behind"))
     known = known.where("lo <> hi").select("n", "one_before", "one_behind")
-    at = F.explode(F.arrays_zip("n", "first", "last"))
-    rows = edges.select("short", at.alias("x")).select("short", "x.n", "x.first", "x.last").join(known, "n")
+    rows = edges.select("short", F.inline(F.arrays_zip("n", "first", "last"))).join(known, "n")
     order = Window.partitionBy("short").orderBy("first")
     follows = F.col("one_before") & F.lag("one_behind").over(order) & (F.lag("last").over(order) + 1 == F.col("first"))
     runs = rows.withColumn("starts", F.when(follows, 0).otherwise(1)).withColumn("run", F.sum("starts").over(order))
@@ -177,7 +174,9 @@ def shared_nodes(texts: DataFrame, span: int) -> DataFrame:
     occurrence, so two rows are of one span only if node and passage agree.
     """
     texts = texts.withColumn("short", F.xxhash64("id"))
-    edges = materialize(_edges(texts, span), "edges")
+    found = materialize(_occurrences(texts, span), "occurrences")
+    edges = materialize(_edges(texts, found, span), "edges")
+    discard(found)
     places = compacted(edges).groupBy("short").agg(F.collect_list(F.struct("node", "first", (F.col("last") + span).alias("end"))).alias("places"))
     rows = texts.select("short", "id", "owner", "text").join(places, "short").select("id", "owner", "text", "places")
 
@@ -194,13 +193,15 @@ def shared_nodes(texts: DataFrame, span: int) -> DataFrame:
                 [batch.column(0).take(at), batch.column(1).take(at), nodes, pa.array(passages, pa.string()), first, end], names=["id", "owner", "node", "passage", "first", "end"]
             )
 
-    return rows.mapInArrow(run, "id binary, owner bigint, node bigint, passage string, first int, end int")
+    nodes = materialize(rows.mapInArrow(run, "id binary, owner bigint, node bigint, passage string, first int, end int"), "nodes")
+    discard(edges)
+    return nodes
 
 
 def _graph(records: DataFrame, record: str, owner: str, text: str, scope: str | None, span: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     members, texts = distinct_texts(records, record=record, owner=owner, text=text, scope=scope, shortest=span)
     texts = texts.withColumn("owner", F.coalesce("owner", F.xxhash64("id")))
-    return members, texts, materialize(shared_nodes(texts, span), "nodes")
+    return members, texts, shared_nodes(texts, span)
 
 
 def shared_spans(records: DataFrame, *, record: str, owner: str, text: str, scope: str | None = None, span: int = 60) -> DataFrame:

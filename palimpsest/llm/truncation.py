@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palimpsest.runtime import materialize
+from palimpsest.runtime import discard, materialize
 
 #: Neighbouring lengths on each side that a length is tested against, and the nearest ones that are left out (a
 #: limit in bytes that cuts no character apart stops up to three bytes short).
@@ -221,7 +221,7 @@ def find_truncated(documents: DataFrame, *, key: str, text: str, source: str) ->
         line_openers(F.col(text)).alias("lines"),
     ).where("end.shape is not null")
     # The texts are read once; what is left of a document are its lengths, its ending and the openers of its lines.
-    rows = materialize(rows.select("__key", "source", "chars", "bytes", "end.*", "lines"), "endings")
+    rows = written = materialize(rows.select("__key", "source", "chars", "bytes", "end.*", "lines"), "endings")
     habits = opener_habits(rows.select(F.explode("lines").alias("x")).select("x.*"))
     done = rows.where("shape = 'finished'").select("__key", "source", "chars", "bytes", F.lit("finished").alias("ending"), F.lit(False).alias("alike"))
     left = rows.where("shape <> 'finished'").drop("lines")
@@ -240,6 +240,7 @@ def find_truncated(documents: DataFrame, *, key: str, text: str, source: str) ->
     alike = (F.col("shape") == "entry") | F.coalesce((F.col("shape") == "title") & (F.col("chars") < F.col("shortest")), F.lit(False))
     left = left.join(F.broadcast(shortest)).select("__key", "source", "chars", "bytes", ending.alias("ending"), alike.alias("alike"))
     rows = materialize(done.unionByName(left), "ends")
+    discard(written)
     limits = significant_lengths(rows.where("ending = 'finished' or not alike"))
     # A few lengths per source; each side of the join is one row per length and source.
     one = limits.select("source", "unit", F.col("length"), F.lit(True).alias("hit"))
