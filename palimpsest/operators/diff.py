@@ -5,9 +5,10 @@ from __future__ import annotations
 import itertools
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +21,108 @@ SEGMENT = "struct<kind:string,old_text:string,new_text:string,old_start:int,old_
 TOKEN = re.compile(r"[A-Za-z]+|\d+(?:\.\d+)?|[㐀-鿿]|\s+|[^A-Za-z\d\s㐀-鿿]")
 
 
-def steps(old: list[str], new: list[str]) -> list[tuple[str, int, int, int, int]]:
-    """Edit steps between two sequences, equal ones included."""
-    return SequenceMatcher(None, old, new, autojunk=False).get_opcodes()
+#: Pairs of elements up to which a part of two sequences is compared element by element.
+SMALL = 1 << 14
+_BASE = 0x9E3779B97F4A7C15
+
+
+class _Hashes:
+    """Hashes of all windows of a sequence of numbers, for any width."""
+
+    def __init__(self, values: np.ndarray, powers: np.ndarray, inverse: np.ndarray) -> None:
+        self.inverse = inverse
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers[: len(values)], dtype=np.uint64)])
+
+    def windows(self, low: int, high: int, width: int) -> np.ndarray:
+        """Of the windows that lie between ``low`` and ``high``."""
+        starts = slice(low, high - width + 1)
+        return (self.sums[low + width : high + 1] - self.sums[starts]) * self.inverse[starts]
+
+
+def _longest(a: _Hashes, b: _Hashes, part: tuple[int, int, int, int]) -> tuple[int, int, int]:
+    """The longest common run of two parts: the first in ``a``, then the first in ``b``; its length by halving."""
+    alo, ahi, blo, bhi = part
+
+    def common(width: int) -> np.ndarray:
+        other = np.sort(b.windows(blo, bhi, width))
+        own = a.windows(alo, ahi, width)
+        at = np.minimum(np.searchsorted(other, own), len(other) - 1)
+        return np.flatnonzero(other[at] == own)
+
+    low, high = 0, min(ahi - alo, bhi - blo)
+    first = None
+    width = 1
+    # Widths are doubled until no run is so long, then halved in between.
+    while low < high:
+        width = min(width, high)
+        found = common(width)
+        if len(found):
+            low, first = width, int(found[0])
+            width = low * 2 if high == min(ahi - alo, bhi - blo) else (low + high + 1) // 2
+        else:
+            high = width - 1
+            width = (low + high + 1) // 2
+    if first is None:
+        return alo, blo, 0
+    wanted = a.windows(alo + first, alo + first + low, low)[0]
+    return alo + first, blo + int(np.flatnonzero(b.windows(blo, bhi, low) == wanted)[0]), low
+
+
+def steps(old: Sequence, new: Sequence) -> list[tuple[str, int, int, int, int]]:
+    """Edit steps between two sequences, equal ones included.
+
+    The longest common run comes first (the leftmost in the old, then in the
+    new sequence), then those of the parts on its left and right: the steps
+    of ``difflib`` without its heuristics. Long parts find their run by
+    hashes of windows, in about n log n steps a level instead of n squared.
+    """
+    if len(old) * len(new) <= SMALL:
+        return SequenceMatcher(None, old, new, autojunk=False).get_opcodes()
+    numbers: dict = {}
+    code = lambda items: np.array([numbers.setdefault(x, len(numbers) + 1) for x in items], dtype=np.uint64)
+    x, y = code(old), code(new)
+    longest = max(len(x), len(y)) + 1
+    power = lambda base: np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(longest, base, np.uint64)]), dtype=np.uint64)
+    powers, inverse = power(_BASE), power(pow(_BASE, -1, 1 << 64))
+    # Scrambled, so that sums of neighbours don't stand for each other.
+    scrambled = lambda v: (v ^ (v >> np.uint64(3))) * np.uint64(0xBF58476D1CE4E5B9) ^ np.uint64(0x94D049BB133111EB)
+    a, b = _Hashes(scrambled(x), powers, inverse), _Hashes(scrambled(y), powers, inverse)
+    todo, runs = [(0, len(x), 0, len(y))], []
+    while todo:
+        alo, ahi, blo, bhi = part = todo.pop()
+        if (ahi - alo) * (bhi - blo) <= SMALL:
+            small = SequenceMatcher(None, old[alo:ahi], new[blo:bhi], autojunk=False).get_matching_blocks()
+            runs.extend((alo + i, blo + j, k) for i, j, k in small if k)
+            continue
+        i, j, k = _longest(a, b, part)
+        if k and not np.array_equal(x[i : i + k], y[j : j + k]):
+            # Two windows of one hash: this part is compared element by element.
+            i, j, k = SequenceMatcher(None, old, new, autojunk=False).find_longest_match(alo, ahi, blo, bhi)
+        if k:
+            runs.append((i, j, k))
+            if alo < i and blo < j:
+                todo.append((alo, i, blo, j))
+            if i + k < ahi and j + k < bhi:
+                todo.append((i + k, ahi, j + k, bhi))
+    return _opcodes(sorted(runs), len(x), len(y))
+
+
+def _opcodes(runs: list[tuple[int, int, int]], n: int, m: int) -> list[tuple[str, int, int, int, int]]:
+    """The steps that common runs leave, neighbouring runs made one."""
+    joined: list[list[int]] = []
+    for i, j, k in runs:
+        if joined and joined[-1][0] + joined[-1][2] == i and joined[-1][1] + joined[-1][2] == j:
+            joined[-1][2] += k
+        else:
+            joined.append([i, j, k])
+    made, i, j = [], 0, 0
+    for a, b, k in [*joined, [n, m, 0]]:
+        if i < a or j < b:
+            made.append(("replace" if i < a and j < b else "delete" if i < a else "insert", i, a, j, b))
+        if k:
+            made.append(("equal", a, a + k, b, b + k))
+        i, j = a + k, b + k
+    return made
 
 
 def exact_segments(old: str | None, new: str | None) -> list[dict]:

@@ -25,7 +25,7 @@ def version_paths(versions: DataFrame, edges: DataFrame, version: str, older: st
     placed too. A version has one successor and one predecessor on its path;
     of several, the smallest id holds, and where two versions name the same
     successor the path of the other one ends there (see
-    :func:`follow_merges`). A cycle of edges is cut
+    :func:`follow_branches`). A cycle of edges is cut
     before its smallest version.
     """
     link = edges.select(F.col(older).alias("o"), F.col(newer).alias("n")).where("o is not null and n is not null and o <> n")
@@ -129,38 +129,73 @@ def validity(states: DataFrame, valid_from: str) -> DataFrame:
     )
 
 
-def follow_merges(rows: DataFrame, placed: DataFrame, edges: DataFrame, older: str, newer: str, valid_from: str) -> DataFrame:
-    """Close the last period of paths whose last version has its successor on another path.
+def _nearest(dated: DataFrame, points: DataFrame, behind: bool) -> DataFrame:
+    """The dated version nearest to every point of a path: at or behind it, or at or before it.
 
-    That is so where several versions name one newer version. The period ends
-    with the first date at or after that version on the other path, or, if
-    there is none, beyond that path's own end. ``rows`` are of
-    :func:`validity`. The joins are on paths that end so; without any the
-    rows are returned as they are.
+    ``dated`` has ``(path, position, date)`` and ``points`` ``(id, path,
+    position)``; the result adds ``near`` and ``date``, null if there is none.
+    The search runs over blocks of ``BLOCK`` positions, as in
+    :func:`validity`, so a long path with many points is not one task.
     """
-    link = edges.select(F.col(older).alias("o"), F.col(newer).alias("n")).where("o is not null and n is not null and o <> n")
-    link = link.groupBy("o").agg(F.min("n").alias("n"))
-    a = placed.select(F.col("version").alias("o"), "path")
+    block = F.floor(F.col("position") / BLOCK).alias("block")
+    version = F.struct(F.col("position").alias("near"), "date")
+    both = dated.select(F.lit(None).cast("bigint").alias("id"), "path", "position", block, version.alias("v")).unionByName(
+        points.select("id", "path", "position", block, F.lit(None).cast("struct<near:bigint,date:string>").alias("v"))
+    )
+    # At its own position a version counts for a point in both directions.
+    last = F.desc if behind else F.asc
+    seen = Window.partitionBy("path", "block").orderBy(last("position"), F.col("id").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("here", F.last("v", ignorenulls=True).over(seen))
+    heads = dated.groupBy("path", block).agg((F.min if behind else F.max)(version).alias("edge"))
+    # Blocks that only have points need the edge of another block as well.
+    heads = both.select("path", "block").distinct().join(heads, ["path", "block"], "left")
+    other = Window.partitionBy("path").orderBy(last("block")).rowsBetween(Window.unboundedPreceding, -1)
+    heads = heads.withColumn("there", F.last("edge", ignorenulls=True).over(other)).select("path", "block", "there")
+    found = both.where("id is not null").join(heads, ["path", "block"]).withColumn("v", F.coalesce("here", "there"))
+    return found.select("id", "path", "position", "v.near", "v.date")
+
+
+def follow_branches(rows: DataFrame, placed: DataFrame, edges: DataFrame, older: str, newer: str, valid_from: str) -> DataFrame:
+    """Close periods by the edges that leave their path, too.
+
+    Such edges are there where several versions name one newer version, or
+    one version several newer ones. The period of the last dated version at
+    or before such an edge ends with the earliest date that any of its
+    successors leads to, versions without a date being passed over. ``rows``
+    are of :func:`validity`; without such edges they are returned as they
+    are. An edge back to an earlier version of its own path closes a cycle
+    and leads nowhere.
+    """
+    link = edges.select(F.col(older).alias("o"), F.col(newer).alias("n")).where("o is not null and n is not null and o <> n").distinct()
+    a = placed.select(F.col("version").alias("o"), "path", "position")
     b = placed.select(F.col("version").alias("n"), F.col("path").alias("to_path"), F.col("position").alias("to_position"))
-    jumps, (left,) = materialize_counted(
-        link.join(a, "o").join(b, "n").where("path <> to_path").select("path", "to_path", "to_position"), "jumps", F.count("*")
+    off_path = "path <> to_path or to_position > position + 1"
+    branches, (some,) = materialize_counted(
+        link.join(a, "o").join(b, "n").where(off_path).select(F.xxhash64("o", "n").alias("id"), "path", "position", "to_path", "to_position"), "branches", F.count("*")
     )
-    dated = rows.select(F.col("path").alias("to_path"), "position", F.col(valid_from).alias("later"))
-    onward = jumps.select(F.col("path").alias("to_path"), F.col("to_path").alias("next_path"), F.col("to_position").alias("next_position"))
-    target, found = jumps, None
-    for _ in range(left):
-        hit = target.join(dated, "to_path").where("position >= to_position").groupBy("path").agg(F.min_by("later", "position").alias("later"))
-        hit = materialize(hit, "merges")
-        found = hit if found is None else found.unionByName(hit)
-        rest = target.join(hit, "path", "left_anti").join(onward, "to_path")
-        target, (left,) = materialize_counted(
-            rest.select("path", F.col("next_path").alias("to_path"), F.col("next_position").alias("to_position")), "jumps", F.count("*")
-        )
-        if not left:
-            break
-    if found is None:
+    if not some:
         return rows
-    return rows.join(found, "path", "left").withColumn("valid_to", F.coalesce("valid_to", "later")).drop("later")
+    dated = materialize(rows.select("path", "position", F.col(valid_from).alias("date")), "dated")
+    ends = _nearest(dated, branches.select("id", F.col("to_path").alias("path"), F.col("to_position").alias("position")), behind=True)
+    owners = _nearest(dated, branches.select("id", "path", "position"), behind=False).select("id", F.col("near").alias("owner"))
+    state = branches.join(ends.select("id", F.col("near").alias("upto"), F.col("date").alias("later")), "id").join(owners, "id")
+    state = materialize(state, "branches")
+    # A branch also leads where the branches lead that leave its target before the first date there.
+    onward = state.select(F.col("id").alias("next"), F.col("path").alias("to_path"), F.col("position").alias("leaves"), F.col("owner").alias("after"))
+    reach = F.col("leaves") >= F.col("to_position")
+    steps = state.join(onward, "to_path").where(reach & (F.col("upto").isNull() | (F.col("leaves") < F.col("upto"))) & (F.col("after").isNull() | (F.col("after") < F.col("to_position"))))
+    steps, (moving,) = materialize_counted(steps.select("id", "next").where("id <> next").distinct(), "steps", F.count("*"))
+    best = state.select("id", "later")
+    for _ in range(some if moving else 0):
+        better = steps.join(best.select(F.col("id").alias("next"), "later"), "next").groupBy("id").agg(F.min("later").alias("found"))
+        moved = best.join(better, "id", "left")
+        changed = F.coalesce(F.col("found") < F.col("later"), F.col("found").isNotNull() & F.col("later").isNull())
+        best, (n,) = materialize_counted(moved.select("id", F.least("later", "found").alias("later"), changed.alias("changed")), "best", F.count_if("changed"))
+        if not n:
+            break
+    closed = state.drop("later").join(best.select("id", "later"), "id").where("owner is not null")
+    closed = closed.groupBy("path", F.col("owner").alias("position")).agg(F.min("later").alias("later"))
+    return rows.join(closed, ["path", "position"], "left").withColumn("valid_to", F.least("valid_to", "later")).drop("later")
 
 
 def version_history(
@@ -172,28 +207,28 @@ def version_history(
     older: str,
     newer: str,
     attributes: Sequence[str] = (),
+    observed: Sequence[str] = (),
 ) -> DataFrame:
     """Full history of versions with the period for which each was valid.
 
     ``versions`` may show a version many times (in every snapshot); the
-    earliest ``valid_from`` and the smallest value of each other attribute
-    hold. Result: ``version, path, position, valid_from, valid_to`` and the
+    earliest ``valid_from`` holds, and the attributes of the first row by
+    ``observed`` (of several the smallest values, taken together). Result: ``version, path, position, valid_from, valid_to`` and the
     attributes, one row per version with any ``valid_from``; ``valid_to`` is
-    null for the last. Null versions and empty tables give no rows, unknown
+    null for the last; of several successors the earliest date holds. Null versions and empty tables give no rows, unknown
     edge ends are versions without attributes, and columns that aren't named
     don't matter.
     """
     names = ["valid_from", *[f"a{i}" for i in range(len(attributes))]]
-    seen = (
-        versions.where(F.col(version).isNotNull())
-        .groupBy(F.col(version).cast("string").alias("v"))
-        .agg(F.min(valid_from).alias("valid_from"), *[F.min(a).alias(n) for a, n in zip(attributes, names[1:])])
-    )
+    rows = versions.where(F.col(version).isNotNull()).groupBy(F.col(version).cast("string").alias("v"))
+    first = F.min(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(observed)], *[F.col(a).cast("string").alias(n) for a, n in zip(attributes, names[1:])], F.lit(0).alias("end")))
+    seen = rows.agg(F.min(valid_from).cast("string").alias("valid_from"), first.alias("first"))
+    seen = seen.select("v", "valid_from", *[F.col(f"first.{n}").alias(n) for n in names[1:]])
     seen = materialize(seen, "seen")
     ends = edges.select(F.col(older).cast("string").alias("o"), F.col(newer).cast("string").alias("n"))
     placed = version_paths(seen, ends, "v", "o", "n")
     store = materialize(store_history(seen, placed, "v", names), "history")
-    rows = follow_merges(validity(reconstruct(store, names), "valid_from"), placed, ends, "o", "n", "valid_from")
+    rows = follow_branches(validity(reconstruct(store, names), "valid_from"), placed, ends, "o", "n", "valid_from")
     return rows.select(
         "version", "path", "position", "valid_from", "valid_to", *[F.col(n).alias(a) for a, n in zip(attributes, names[1:])]
     )

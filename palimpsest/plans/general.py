@@ -13,22 +13,41 @@ from palimpsest.operators.timestamps import iso_seconds, utc_epoch, utc_start
 from palimpsest.runtime import materialize, table
 
 
-def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validity of every clause version that has a date."""
-    rows = version_history(
+#: Attributes of a clause version that its history keeps.
+ATTRIBUTES = ["clause_work_id", "canonical_code", "source_lane", "expression_completeness", "reader_state"]
+
+
+def _clause_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return version_history(
         table(spark, sf_dir, "clause_document_expression"),
         table(spark, sf_dir, "clause_version_edge"),
         version="source_version_id",
         valid_from="effective_from",
         older="older_clause_version_id",
         newer="newer_clause_version_id",
-        attributes=["clause_work_id"],
+        attributes=ATTRIBUTES,
+        observed=["recorded_at", "expression_id"],
     )
-    return rows.select(
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validity of every clause version that has a date."""
+    return _clause_history(spark, sf_dir).select(
         "clause_work_id", F.col("version").alias("clause_version_id"), "valid_from", F.coalesce("valid_to", F.lit("")).alias("valid_to")
     )
 
 
+def p1_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The attributes that held in each period, as they were first recorded."""
+    return _clause_history(spark, sf_dir).select(F.col("version").alias("clause_version_id"), "valid_from", *ATTRIBUTES)
+
+
+P1_ATTRIBUTES_SQL = """
+SELECT source_version_id AS clause_version_id, min(effective_from) AS valid_from, arg_min(clause_work_id, o) AS clause_work_id, arg_min(canonical_code, o) AS canonical_code,
+  arg_min(source_lane, o) AS source_lane, arg_min(expression_completeness, o) AS expression_completeness, arg_min(reader_state, o) AS reader_state
+FROM (SELECT *, (recorded_at, expression_id) AS o FROM clause_document_expression WHERE source_version_id IS NOT NULL) GROUP BY 1 HAVING min(effective_from) IS NOT NULL
+"""
+
 P1_FOUND_SQL = """
 WITH RECURSIVE dated AS (
   SELECT source_version_id AS v, min(clause_work_id) AS w, min(effective_from) AS f
@@ -38,9 +57,9 @@ walk AS (
   SELECT d.v, e.n AS at, x.f FROM dated d JOIN edge e ON e.o = d.v LEFT JOIN dated x ON x.v = e.n WHERE d.f IS NOT NULL
   UNION ALL
   SELECT k.v, e.n, x.f FROM walk k JOIN edge e ON e.o = k.at LEFT JOIN dated x ON x.v = e.n WHERE k.f IS NULL)
-SELECT d.w AS clause_work_id, d.v AS clause_version_id, d.f AS valid_from, coalesce(k.f, '') AS valid_to
+SELECT any_value(d.w) AS clause_work_id, d.v AS clause_version_id, any_value(d.f) AS valid_from, coalesce(min(k.f), '') AS valid_to
 FROM dated d LEFT JOIN walk k ON k.v = d.v AND k.f IS NOT NULL
-WHERE d.f IS NOT NULL
+WHERE d.f IS NOT NULL GROUP BY d.v
 """
 
 
@@ -120,5 +139,5 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p6_found": p6_found, "p7_found": p7_found}
-SQL = {"p1_found": P1_FOUND_SQL, "p2_found": P2_FOUND_SQL}
+QUERIES = {"p1_found": p1_found, "p1_attributes": p1_attributes, "p2_found": p2_found, "p6_found": p6_found, "p7_found": p7_found}
+SQL = {"p1_found": P1_FOUND_SQL, "p1_attributes": P1_ATTRIBUTES_SQL, "p2_found": P2_FOUND_SQL}

@@ -51,6 +51,15 @@ def _odf_text(node: ElementTree.Element) -> str:
     return "".join(out)
 
 
+def _table_rows(node: ElementTree.Element) -> Iterator[ElementTree.Element]:
+    """A table's own rows, those in header rows and row groups included, those of nested tables not."""
+    for child in node:
+        if child.tag == TABLE + "table-row":
+            yield child
+        elif child.tag in (TABLE + "table-header-rows", TABLE + "table-rows", TABLE + "table-row-group"):
+            yield from _table_rows(child)
+
+
 def odt_blocks(content: bytes) -> list[dict]:
     """Paragraphs, headings, list items and table paragraphs in document order, each exactly once."""
     body = _part(content, "content.xml").find(f"{OFFICE}body/{OFFICE}text")
@@ -69,7 +78,7 @@ def odt_blocks(content: bytes) -> list[dict]:
                 walk(child, "list", depth + 1, place)
             elif child.tag == TABLE + "table":
                 number, tables = tables, tables + 1
-                for r, row in enumerate(child.iter(TABLE + "table-row")):
+                for r, row in enumerate(_table_rows(child)):
                     for c, cell in enumerate(x for x in row if x.tag in (TABLE + "table-cell", TABLE + "covered-table-cell")):
                         walk(cell, "table", depth, f"{place}t{number}r{r}c{c}")
             elif child.tag in (TEXT + "section", TEXT + "index-body", TABLE + "table-header-rows", TEXT + "tracked-changes"):
@@ -86,11 +95,12 @@ def ods_runs(content: bytes) -> list[dict]:
 
     The raw lexical value is kept, never coerced.
     """
-    sheets = _part(content, "content.xml").iter(TABLE + "table")
+    book = _part(content, "content.xml").find(f"{OFFICE}body/{OFFICE}spreadsheet")
+    sheets = book.findall(TABLE + "table") if book is not None else []
     cells = []
     for sheet_index, sheet in enumerate(sheets):
         row_index = 0
-        for row in sheet.iter(TABLE + "table-row"):
+        for row in _table_rows(sheet):
             repeat_rows = int(row.get(TABLE + "number-rows-repeated", "1"))
             column = 0
             for cell in row:

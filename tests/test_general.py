@@ -139,6 +139,32 @@ def test_versions_that_merge_or_run_in_circles(spark):
     assert got == {"b": "3", "j": "3", "l": "3", "m": None}
 
 
+def test_versions_with_several_successors(spark):
+    """Every period ends with the earliest date that any chain of edges leads to."""
+    rng = random.Random(31)
+    for _ in range(3):
+        n = 40
+        dates = {f"v{i:02}": f"20{rng.randrange(10, 30)}-01-{i % 28 + 1:02}" if rng.random() < 0.6 else None for i in range(n)}
+        links = {(f"v{i:02}", f"v{min(n - 1, i + rng.randrange(1, 9)):02}") for i in range(n - 1) for _ in range(rng.choice([1, 1, 1, 2]))}
+
+        def after(v, seen=()):
+            found = [dates[b] or after(b) for a, b in links if a == v and a != b]
+            return min([d for d in found if d], default=None)
+
+        versions = spark.createDataFrame([(v, d) for v, d in dates.items()], "v string, d string")
+        edges = spark.createDataFrame(sorted(links), "o string, n string")
+        got = {r.version: r.valid_to for r in version_history(versions, edges, version="v", valid_from="d", older="o", newer="n").collect()}
+        assert got == {v: after(v) for v, d in dates.items() if d}
+
+
+def test_attributes_are_of_one_row(spark):
+    rows = [("a", "2020-01-01", 2, "x", "9"), ("a", "2019-01-01", 1, "y", "1"), ("b", "2021-01-01", 1, None, "1"), ("b", "2022-01-01", 2, "z", "2")]
+    versions = spark.createDataFrame(rows, "v string, d string, n int, p string, q string")
+    edges = spark.createDataFrame([("a", "b")], "o string, n string")
+    got = version_history(versions, edges, version="v", valid_from="d", older="o", newer="n", attributes=["p", "q"], observed=["n"])
+    assert sorted(tuple(r) for r in got.select("version", "valid_from", "valid_to", "p", "q").collect()) == [("a", "2019-01-01", "2021-01-01", "y", "1"), ("b", "2021-01-01", None, None, "1")]
+
+
 def test_long_history_is_split_into_checkpoints(spark):
     n = 100
     versions = spark.createDataFrame([(f"v{i:03}", f"2{i:03}-01-01" if i % 7 else None, "same") for i in range(n)], "v string, f string, a string")

@@ -300,3 +300,30 @@ def test_fingerprints_of_groups_larger_than_a_batch(spark):
     empty = ids.row_set_fingerprint(df.limit(0), ["n"]).collect()
     assert [tuple(r) for r in empty] == [(sha(""), 0)] and ids.row_set_fingerprint(df.limit(0), ["n"], ("k",)).collect() == []
     assert df.where("n = 5").select(ids.row_hash(df, ["n"], newline=False)).first()[0] == sha('{"n":5}')
+
+
+def test_steps_are_those_of_difflib_at_any_length(monkeypatch):
+    from difflib import SequenceMatcher
+
+    rng = random.Random(41)
+    monkeypatch.setattr(diff, "SMALL", 16)
+    for _ in range(400):
+        letters = rng.choice(["ab", "abc", "abcdefgh", "甲乙丙丁戊己庚辛壬癸子丑"])
+        old = [rng.choice(letters) for _ in range(rng.randrange(60))]
+        new = list(old)
+        for _ in range(rng.randrange(8)):
+            at = rng.randrange(len(new) + 1)
+            new[at : at + rng.randrange(4)] = [rng.choice(letters) for _ in range(rng.randrange(5))]
+        assert diff.steps(old, new) == SequenceMatcher(None, old, new, autojunk=False).get_opcodes()
+
+
+def test_long_texts_are_compared_in_good_time():
+    import time
+
+    rng = random.Random(42)
+    old = "".join(rng.choice("abcdefgh") for _ in range(20000))
+    new = "".join(rng.choice("abcdefgh") if rng.random() < 0.02 else c for c in old)
+    began = time.perf_counter()
+    made = diff.exact_segments(old, new)
+    assert time.perf_counter() - began < 2
+    assert "".join(s["old_text"] or "" for s in made) == old and "".join(s["new_text"] or "" for s in made) == new

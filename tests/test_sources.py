@@ -147,6 +147,20 @@ def test_office_documents(spark, tmp_path):
     assert len([r for r in got if r.error is None]) == 4 and [r.path.endswith("b.odt") for r in got if r.error] == [True]
 
 
+def test_nested_tables_come_once():
+    cell = lambda *x: "<table:table-cell>" + "".join(x) + "</table:table-cell>"
+    row = lambda *x: "<table:table-row>" + "".join(x) + "</table:table-row>"
+    p = lambda t: f"<text:p>{t}</text:p>"
+    inner = "<table:table>" + row(cell(p("inner"))) + "</table:table>"
+    outer = "<table:table><table:table-header-rows>" + row(cell(p("head"))) + "</table:table-header-rows>" + row(cell(p("outer"), inner), cell(p("last"))) + "</table:table>"
+    odt = f"<office:document-content {ODF}><office:body><office:text>{outer}</office:text></office:body></office:document-content>"
+    got = [(b["raw_text"], b["place"]) for b in documents.odt_blocks(office("content.xml", odt))]
+    assert got == [("head", "t0r0c0"), ("outer", "t0r1c0"), ("inner", "t0r1c0t1r0c0"), ("last", "t0r1c1")]
+    sheet = '<table:table table:name="s">' + row(cell(p("a"), inner)) + row(cell(p("b"))) + "</table:table>"
+    ods = f"<office:document-content {ODF}><office:body><office:spreadsheet>{sheet}</office:spreadsheet></office:body></office:document-content>"
+    assert [(c["rendered_text"], c["row_index"]) for c in documents.ods_cells(office("content.xml", ods))] == [("a", 0), ("b", 1)]
+
+
 def test_long_repeats_of_cells_are_kept(spark, tmp_path):
     row = '<table:table-row table:number-rows-repeated="{}"><table:table-cell/><table:table-cell table:number-columns-repeated="{}" office:value-type="string"><text:p>{}</text:p></table:table-cell></table:table-row>'
     ods = f'<office:document-content {ODF}><office:body><office:spreadsheet><table:table table:name="S">{row.format(5000, 2, "a")}{row.format(1, 1, "b")}</table:table></office:spreadsheet></office:body></office:document-content>'
