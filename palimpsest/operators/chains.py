@@ -133,3 +133,21 @@ def logical_blocks(df: DataFrame, keys: Sequence[str], order: str, text: str) ->
     return rows.groupBy(*keys, "block_order").agg(
         F.min("__o").alias("first_line"), F.max("__o").alias("last_line"), F.array_join(F.transform(lines, lambda x: x["__t"]), "").alias("block_text")
     )
+
+
+def transition_label(before: Column, after: Column) -> Column:
+    """What names the step from one version to the next, by the ISO dates that their texts hold.
+
+    struct(new_dates, distance, compared_with, label): the number of dates
+    that only the newer version has, how many versions apart the two are at
+    least, ``older_version`` or ``previous_version`` by that, and the year of
+    the Republic and month of the latest new date, null without any. Null
+    dates don't count; null arrays count as empty.
+    """
+    none = F.array().cast("array<string>")
+    new = F.array_except(F.array_distinct(F.array_compact(F.coalesce(after, none))), F.coalesce(before, none))
+    n, latest = F.size(new).cast("bigint"), F.array_max(new)
+    month = F.concat((F.substring(latest, 1, 4).cast("int") - 1911).cast("string"), F.lit("年"), F.substring(latest, 6, 2).cast("int").cast("string"), F.lit("月"))
+    return F.struct(
+        n.alias("new_dates"), F.greatest(F.lit(1).cast("bigint"), n).alias("distance"), F.when(n > 1, "older_version").otherwise("previous_version").alias("compared_with"), month.alias("label")
+    )

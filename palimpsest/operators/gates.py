@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -110,3 +110,44 @@ def gate_report(violations: dict[str, DataFrame]) -> DataFrame:
         row = df.agg(F.count("*").alias("violations")).select(F.lit(name).alias("gate"), "violations", (F.col("violations") == 0).alias("passed"))
         made = row if made is None else made.unionByName(row)
     return made
+
+
+def reasons_of(conditions: Sequence[tuple[str, Column]]) -> Column:
+    """Names of the conditions that hold, sorted and distinct; an unknown condition doesn't hold."""
+    return F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in conditions]))))
+
+
+def invalid_activations(activations: DataFrame, runs: DataFrame, run: str, sha256: str, state: str, sealed: str) -> DataFrame:
+    """Activations of a run that isn't there, isn't sealed or has another hash: their columns and ``reasons``.
+
+    ``activations`` names a ``run`` and the hash it expects; ``runs`` has one
+    row per run with its hash and state.
+    """
+    known = runs.select(F.col(run).alias("__run"), F.col(sha256).alias("__sha"), F.col(state).alias("__state"))
+    rows = activations.join(known, F.col(run) == F.col("__run"), "left")
+    there = F.col("__run").isNotNull()
+    reasons = reasons_of([
+        ("unknown_run", ~there), ("not_sealed", there & ~F.col("__state").eqNullSafe(F.lit(sealed))), ("other_hash", there & ~F.col(sha256).eqNullSafe(F.col("__sha"))),
+    ])
+    return rows.withColumn("reasons", reasons).where(F.size("reasons") > 0).drop("__run", "__sha", "__state")
+
+
+def broken_pages(results: DataFrame, keys: Sequence[str], page: str, rank: str, page_size: int) -> DataFrame:
+    """Searches whose result pages don't fit together: the keys and ``reasons``.
+
+    Pages count from 1 without a gap, all but the last are full, and ranks
+    count on from page to page: the first of page ``p`` is
+    ``(p - 1) * page_size + 1``.
+    """
+    pages = results.groupBy(*keys, page).agg(F.count("*").alias("n"), F.count_distinct(rank).alias("ranks"), F.min(rank).alias("lo"), F.max(rank).alias("hi"))
+    before = (F.col(page) - 1) * page_size
+    pages = pages.withColumn("shifted", (F.col("lo") != before + 1) | (F.col("hi") != before + F.col("n")) | (F.col("ranks") != F.col("n")) | F.col("lo").isNull())
+    each = pages.groupBy(*keys).agg(
+        F.min(page).alias("first"), F.max(page).alias("last"), F.count("*").alias("pages"), F.bool_or("shifted").alias("shifted"), F.count_if(F.col("n") > page_size).alias("over"),
+        F.count_if(F.col("n") < page_size).alias("short"), F.max_by("n", page).alias("tail"),
+    )
+    reasons = reasons_of([
+        ("pages_missing", (F.col("first") != 1) | (F.col("last") != F.col("pages"))), ("ranks_broken", F.col("shifted")), ("page_overfull", F.col("over") > 0),
+        ("page_short", F.col("short") > F.when(F.col("tail") < page_size, 1).otherwise(0)),
+    ])
+    return each.select(*keys, reasons.alias("reasons")).where(F.size("reasons") > 0)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.runtime import discard, materialize_counted
+from palimpsest.runtime import discard, materialize, materialize_counted
+
 
 def follow_links(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """Root and depth of every node of a forest given by parent links.
@@ -78,3 +79,30 @@ def follow_links_counted(nodes: DataFrame, node: str, parent: str, parents_exist
         on_cycle = moving.select(F.col("id").alias("ptr"), F.col("low").alias("root"))
         found = found.unionByName(moving.select("id", "ptr").join(on_cycle, "ptr").select("id", "root", F.lit(None).cast("long").alias("depth")))
     return found.withColumnRenamed("id", "node"), left
+
+
+def closure(edges: DataFrame, source: str, target: str) -> DataFrame:
+    """Everything that each node reaches along many-to-many edges.
+
+    Result ``(node, reached, distance, path, on_cycle)``, one row per pair: the
+    number of edges of the shortest way, the nodes of that way (of several
+    the smallest path) and whether ``reached`` is the node itself, which then
+    is on a cycle. Nulls and repeated edges don't count.
+
+    Each round extends the pairs of the round before by one edge and keeps
+    the new ones, so there are as many rounds as the longest shortest way has
+    edges, and cycles end by themselves. The pairs are the result; nothing
+    else is kept.
+    """
+    links = edges.select(F.col(source).alias("a"), F.col(target).alias("b")).where("a is not null and b is not null").distinct()
+    links = materialize(links, "links")
+    found = links.select(F.col("a").alias("node"), F.col("b").alias("reached"), F.lit(1).alias("distance"), F.array("a", "b").alias("path"))
+    last = found
+    while True:
+        step = last.join(links, F.col("reached") == F.col("a")).select("node", F.col("b").alias("reached"), (F.col("distance") + 1).alias("distance"), F.concat("path", F.array("b")).alias("path"))
+        step = step.groupBy("node", "reached").agg(F.min("distance").alias("distance"), F.min("path").alias("path"))
+        last, (n,) = materialize_counted(step.join(found.select("node", "reached"), ["node", "reached"], "left_anti"), "closure", F.count("*"))
+        if not n:
+            break
+        found = found.unionByName(last)
+    return found.withColumn("on_cycle", F.col("node") == F.col("reached"))

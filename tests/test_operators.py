@@ -5,8 +5,8 @@ import random
 
 import pytest
 
-from palimpsest.functions import dates, ids, text
-from palimpsest.operators import chains, diff, gates, grids, latest, parity, resolution, tagging
+from palimpsest.functions import dates, ids, quantities, text
+from palimpsest.operators import chains, diff, gates, grids, latest, links, parity, resolution, tagging
 from pyspark.sql import functions as F
 
 
@@ -327,3 +327,69 @@ def test_long_texts_are_compared_in_good_time():
     made = diff.exact_segments(old, new)
     assert time.perf_counter() - began < 2
     assert "".join(s["old_text"] or "" for s in made) == old and "".join(s["new_text"] or "" for s in made) == new
+
+
+def test_closure_over_many_parents_and_cycles(spark):
+    edges = [("m", "t1"), ("m", "t2"), ("t1", "r"), ("t2", "s"), ("s", "r"), ("r", "q"), ("q", "r"), ("m", "t1"), ("x", "x"), (None, "m"), ("m", None)]
+    df = spark.createDataFrame(edges, "a string, b string")
+    got = {(r.node, r.reached): (r.distance, r.path, r.on_cycle) for r in links.closure(df, "a", "b").collect()}
+    assert {b for a, b in got if a == "m"} == {"t1", "t2", "r", "s", "q"}
+    assert got["m", "r"] == (2, ["m", "t1", "r"], False) and got["r", "r"] == (2, ["r", "q", "r"], True) and got["x", "x"] == (1, ["x", "x"], True)
+    assert links.closure(df.limit(0), "a", "b").collect() == []
+
+
+def test_candidate_blockers_and_work_units(spark):
+    markers = spark.createDataFrame([("m1", "d", "A", False), ("m2", "d", None, True), ("m3", None, "A", False)], "m string, d string, x string, vague boolean")
+    events = spark.createDataFrame([("e1", "d", "A", None), ("e2", "d", "B", True)], "e string, d string, x string, cut boolean")
+    found = resolution.candidate_blockers(markers, events, marker="m", event="e", date="d", designation="x", marker_flags=["vague"], event_flags=["cut"])
+    assert {(r.marker, r.event): r.blockers for r in found.collect()} == {
+        ("m1", "e1"): [], ("m1", "e2"): ["designation_incompatible", "event_cut"],
+        ("m2", "e1"): ["designation_indeterminate", "marker_designation_omitted", "marker_vague"],
+        ("m2", "e2"): ["designation_indeterminate", "event_cut", "marker_designation_omitted", "marker_vague"],
+    }
+    pairs = spark.createDataFrame([("p1", 1), ("p2", 2)], "k string, a int")
+    candidates = spark.createDataFrame([("p1", 5), ("p9", 6)], "k string, b int")
+    units = resolution.gap_work_units(pairs, candidates, "k", [("joint", 1, F.col("b").isNotNull())], ("none", 9), "2020-01-01", ["a", "b"]).collect()
+    assert {(u.k, u.lane, u.priority) for u in units} == {("p1", "joint", 1), ("p2", "none", 9), ("p9", "unknown_pair", 0)} and len({u.row_sha256 for u in units}) == 3
+
+
+def test_dataset_audit_counts_orphans(spark):
+    rows = lambda *x: spark.createDataFrame(list(x), "k string, v string")
+    got = resolution.dataset_audit(rows(("a", "1"), ("b", "1"), ("b", "9")), rows(("a", "1"), ("z", "1")), rows(("a", "x"), ("b", "x"), ("c", "x")), "k", "v", F.lit("5")).collect()
+    assert [tuple(r) for r in got] == [(3, 3, 1, 1, 1, 1, 1, 1)]
+
+
+def test_counts_of_unknown_facts(spark):
+    for facts, three, two in [([1, 1, 1, 0], 1, 0), ([1, 1, -1, 0], -1, -1), ([1, 1, 0, 0], 0, 1), ([0, 0, 0, -1], 0, 0), ([-1, -1, 0, 0], 0, -1)]:
+        truths = [F.lit(x).cast("short") for x in facts]
+        assert tuple(spark.range(1).select(resolution.at_least(truths, 3), resolution.exactly(truths, 2)).first()) == (three, two)
+
+
+def test_gates_over_attempts_activations_and_pages(spark):
+    states = spark.createDataFrame([("u", 1, "open"), ("u", 5, "closed")], "u string, t int, s string")
+    attempts = spark.createDataFrame([("a", "u", 0, "try"), ("b", "u", 1, "try"), ("c", "u", 6, "try")], "i string, u string, t int, k string")
+    allowed = spark.createDataFrame([("try", "open")], "kind string, state string")
+    assert {(r.i, r.s) for r in resolution.disallowed_attempts(attempts, states, ["u"], "t", "k", "s", allowed).collect()} == {("a", None), ("c", "closed")}
+    runs = spark.createDataFrame([("r1", "h", "sealed"), ("r2", "h", "open"), ("r3", None, "sealed")], "r string, h string, s string")
+    acts = spark.createDataFrame([("r1", "h"), ("r2", "x"), ("r3", "h"), ("r9", "h")], "r string, h string")
+    assert {r.r: r.reasons for r in gates.invalid_activations(acts, runs, "r", "h", "s", "sealed").collect()} == {"r2": ["not_sealed", "other_hash"], "r3": ["other_hash"], "r9": ["unknown_run"]}
+    pages = [("ok", 1, 1), ("ok", 1, 2), ("ok", 2, 3), ("gap", 1, 1), ("gap", 1, 2), ("gap", 3, 5), ("rank", 1, 1), ("rank", 1, 3), ("short", 1, 1), ("short", 2, 3), ("over", 1, 1), ("over", 1, 2), ("over", 1, 3)]
+    got = {r.q: r.reasons for r in gates.broken_pages(spark.createDataFrame(pages, "q string, p int, k int"), ["q"], "p", "k", 2).collect()}
+    assert got == {"gap": ["pages_missing"], "rank": ["ranks_broken"], "short": ["page_short"], "over": ["page_overfull"]}
+
+
+def test_units_and_limits(spark):
+    df = spark.createDataFrame([("每日上限為432公克，療程以9次為限；每45週複查轉胺酶，間隔至少90天。總量不超過3.5ＭＧ",), (None,), ("",)], "t string")
+    got = df.select(quantities.limit_expressions(F.col("t")).alias("x")).collect()
+    assert {(x.kind, x.value, x.unit) for x in got[0].x} == {("periodic_cap", 432.0, "gram"), ("duration_cap", 9.0, "time"), ("recurring_action", 45.0, "week"), ("interval", 90.0, "day")}
+    assert got[1].x is None and got[2].x == []
+    units = spark.createDataFrame([("MG",), ("µg",), ("ＭＧ",), ("斤",), (None,)], "u string").select(quantities.unit_of(F.col("u"))).collect()
+    assert [r[0] for r in units] == ["milligram", "microgram", "milligram", None, None]
+    with pytest.raises(Exception, match="no unit: 斤"):
+        spark.createDataFrame([("斤",)], "u string").select(quantities.unit_of(F.col("u"), strict=True)).collect()
+
+
+def test_transition_labels(spark):
+    df = spark.createDataFrame([(["2010-01-01"], ["2010-01-01", "2012-03-04", None, "2011-01-01"]), (None, ["2012-03-04"]), (["2012-03-04"], ["2012-03-04"]), (None, None)], "a array<string>, b array<string>")
+    got = [tuple(r.x) for r in df.select(chains.transition_label(F.col("a"), F.col("b")).alias("x")).collect()]
+    assert got == [(2, 2, "older_version", "101年3月"), (1, 1, "previous_version", "101年3月"), (0, 1, "previous_version", None), (0, 1, "previous_version", None)]
