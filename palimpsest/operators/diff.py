@@ -252,6 +252,19 @@ def replayed(segments: DataFrame, keys: list[str], order: str, old: str, new: st
     return rows.groupBy(*keys).agg(joined(old).alias("old_text"), joined(new).alias("new_text"))
 
 
+def replay_problems(wholes: DataFrame, segments: DataFrame, key: str, order: str, texts: tuple[str, str], pieces: tuple[str, str]) -> DataFrame:
+    """``(key, problem)`` of every diff whose pieces don't give back its texts.
+
+    ``no_segments``, ``old_text``, ``new_text`` or ``both_texts``; a null text
+    is an empty one.
+    """
+    made = replayed(segments, [key], order, *pieces).select(key, F.col("old_text").alias("__o"), F.col("new_text").alias("__n"))
+    rows = wholes.join(made, key, "left")
+    old, new = (F.coalesce(F.col(whole), F.lit("")) != F.col(back) for whole, back in zip(texts, ("__o", "__n")))
+    problem = F.when(F.col("__o").isNull(), "no_segments").when(old & new, "both_texts").when(old, "old_text").when(new, "new_text")
+    return rows.select(key, problem.alias("problem")).where("problem is not null")
+
+
 def unique_matches(old: DataFrame, new: DataFrame, scope: list[str], old_id: str, new_id: str, signatures: list[str]) -> DataFrame:
     """Match rows of two tables in stages, each only where a signature is unique on both sides.
 

@@ -62,12 +62,13 @@ def j17_pass_parity(spark, sf_dir):
     return both.groupBy(kind.alias("parity")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH s AS (SELECT DISTINCT hunk_id, segment_order, old_scalar_start AS a, old_scalar_end AS b FROM clause_document_inline_diff_segment WHERE old_scalar_start IS NOT NULL)
-SELECT hunk_id, segment_order FROM (SELECT *, max(b) OVER (PARTITION BY hunk_id ORDER BY a, segment_order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM s) WHERE m > a""")
+@query("""WITH b AS (SELECT DISTINCT source_block_id, CAST(json_extract(source_locator, '$.page') AS INT) AS page, CAST(json_extract(source_locator, '$.char_start') AS INT) AS a, length(raw_text) AS n FROM current_clause_block)
+SELECT source_block_id FROM (SELECT *, max(a + n) OVER (PARTITION BY page ORDER BY a, source_block_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM b WHERE page IS NOT NULL) WHERE m > a""")
 def j20_span_exclusion(spark, sf_dir):
-    """Segments whose old spans overlap an earlier one of the hunk."""
-    s = table(spark, sf_dir, "clause_document_inline_diff_segment").where("old_scalar_start is not null").select("hunk_id", "segment_order", "old_scalar_start", "old_scalar_end").distinct()
-    return gates.overlapping_intervals(s, ["hunk_id"], "old_scalar_start", "old_scalar_end", ["segment_order"]).select("hunk_id", "segment_order")
+    """Blocks whose span on a page of the source overlaps an earlier one."""
+    at = lambda k: F.get_json_object("source_locator", f"$.{k}").cast("int")
+    rows = table(spark, sf_dir, "current_clause_block").select("source_block_id", at("page").alias("page"), at("char_start").alias("a"), (at("char_start") + F.char_length("raw_text")).alias("b")).distinct()
+    return gates.overlapping_intervals(rows.where("page is not null"), ["page"], "a", "b", ["source_block_id"]).select("source_block_id")
 
 
 @query("""WITH b AS (SELECT DISTINCT clause_code, source_block_id, block_order FROM current_clause_block), c AS (SELECT canonical_code AS clause_code, min(clause_work_id) AS w FROM clause_document_expression GROUP BY 1)
@@ -283,7 +284,7 @@ def n05_json_types(spark, sf_dir):
     return rows.select("source_block_id", (jsons.json_type(F.col("source_locator"), "$") == "object").alias("is_object"), F.size(F.json_object_keys("source_locator")).alias("members"))
 
 
-@query()
+@query("""SELECT event_id, CAST(max(len(string_split(t.fullkey, '.'))) AS INT) AS depth, CAST(count(*) AS INT) AS nodes, bool_or(coalesce(t.key IN ('secret', 'token'), false)) AS forbidden FROM events, json_tree(props) t GROUP BY 1""")
 def n06_json_shape(spark, sf_dir):
     """Depth and nodes of the JSON properties, and whether a forbidden key occurs."""
     rows = table(spark, sf_dir, "events").select("event_id", "props")

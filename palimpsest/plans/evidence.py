@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions import dates, quantities
 from palimpsest.operators import chains, gates, links
 from palimpsest.operators import resolution as R
+from palimpsest.operators.intervals import merge_intervals
 from palimpsest.runtime import table
 
 QUERIES: dict = {}
@@ -248,3 +249,20 @@ def k06_broken_pages(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.row_number().over(w).alias("rank")).where("o_orderkey % 97 <> 0")
     rows = rows.withColumn("page", F.ceil(F.col("rank") / 10).cast("int"))
     return gates.broken_pages(rows, ["o_custkey"], "page", "rank", 10).select("o_custkey", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("""WITH RECURSIVE ev AS (SELECT DISTINCT event_id AS e, supersedes_event_id AS p, datediff('day', DATE '1970-01-01', publication_date) AS s, CASE WHEN effective_to IS NOT NULL THEN datediff('day', DATE '1970-01-01', CAST(effective_to AS DATE)) END AS t FROM official_event),
+u AS (SELECT e, min(p) AS p FROM ev GROUP BY 1), up AS (SELECT e, CASE WHEN p IN (SELECT e FROM u) THEN p END AS p FROM u),
+w AS (SELECT e, e AS root FROM up WHERE p IS NULL UNION ALL SELECT up.e, w.root FROM up JOIN w ON up.p = w.e),
+i AS (SELECT DISTINCT root, s, t FROM ev JOIN w USING (e) WHERE t IS NULL OR t > s),
+m AS (SELECT *, max(coalesce(t, 9999999)) OVER (PARTITION BY root ORDER BY s, coalesce(t, 9999999) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM i),
+g AS (SELECT *, sum(CASE WHEN before >= s THEN 0 ELSE 1 END) OVER (PARTITION BY root ORDER BY s, coalesce(t, 9999999)) AS island FROM m),
+p AS (SELECT root, island, min(s) AS s, max(coalesce(t, 9999999)) AS t FROM g GROUP BY 1, 2)
+SELECT root, 'period' AS kind, s AS starts_at, nullif(t, 9999999) AS ends_at FROM p
+UNION ALL SELECT root, 'gap', t, nxt FROM (SELECT root, t, lead(s) OVER (PARTITION BY root ORDER BY s) AS nxt FROM p) WHERE nxt IS NOT NULL""")
+def w24_continuous_periods(spark, sf_dir):
+    """Continuous periods and gaps of every supersession chain, in days from publication to end."""
+    day = lambda c: F.unix_date(F.col(c).cast("date")).cast("bigint")
+    events = table(spark, sf_dir, "official_event").select("event_id", "supersedes_event_id", day("publication_date").alias("s"), day("effective_to").alias("t")).distinct()
+    roots = links.follow_links(events, "event_id", "supersedes_event_id").select(F.col("node").alias("event_id"), "root")
+    return merge_intervals(events.join(roots, "event_id"), "root", "s", "t", bucket_width=30).withColumnRenamed("entity", "root")

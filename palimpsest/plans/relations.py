@@ -76,11 +76,11 @@ def j06_semi_join(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", "p_brand").join(returned, "p_partkey", "left_semi")
 
 
-@query("SELECT c_custkey, c_mktsegment FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT p_partkey, p_name FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R' AND l_quantity > 40)")
 def j07_anti_join(spark, sf_dir):
-    """Customers without an order (backlog)."""
-    busy = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment").join(busy, "c_custkey", "left_anti")
+    """Parts of which no large quantity was returned (backlog)."""
+    returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' and l_quantity > 40").select(F.col("l_partkey").alias("p_partkey"))
+    return table(spark, sf_dir, "part").select("p_partkey", "p_name").join(returned, "p_partkey", "left_anti")
 
 
 @query(f"""WITH a AS (SELECT DISTINCT v FROM {SEEN}), b AS (SELECT o AS v FROM {EDGES} UNION SELECT n FROM {EDGES})
@@ -245,11 +245,13 @@ def a11_duplicate_collapse(spark, sf_dir):
     return rows.groupBy("source").agg(F.bool_or("empty").alias("any_null"), F.sum(F.col("c") - 1).alias("collapsed"))
 
 
-@query("""WITH s AS (SELECT DISTINCT hunk_id, segment_order FROM clause_document_inline_diff_segment), f AS (SELECT hunk_id, min(segment_order) AS lowest, max(segment_order) AS highest, count(*) AS row_count, count(DISTINCT segment_order) AS distinct_count FROM s GROUP BY 1)
+@query("""WITH s AS (SELECT DISTINCT run_id, clause_code, block_order FROM current_clause_block WHERE block_kind <> 'table_cell'),
+f AS (SELECT run_id, clause_code, min(block_order) AS lowest, max(block_order) AS highest, count(*) AS row_count, count(DISTINCT block_order) AS distinct_count FROM s GROUP BY 1, 2)
 SELECT * FROM f WHERE NOT (lowest = 0 AND highest = row_count - 1 AND distinct_count = row_count)""")
 def a15_contiguity_gate(spark, sf_dir):
-    """Hunks whose segments aren't numbered 0, 1, 2 and so on."""
-    return gates.broken_sequences(table(spark, sf_dir, "clause_document_inline_diff_segment").select("hunk_id", "segment_order").distinct(), ["hunk_id"], "segment_order")
+    """Clauses whose paragraphs and list items, table cells aside, aren't numbered 0, 1, 2 and so on."""
+    rows = table(spark, sf_dir, "current_clause_block").where("block_kind <> 'table_cell'").select("run_id", "clause_code", "block_order").distinct()
+    return gates.broken_sequences(rows, ["run_id", "clause_code"], "block_order")
 
 
 @query("""SELECT CAST(n AS BIGINT) AS candidates, count(*) AS keys FROM (SELECT canonical_code, count(DISTINCT clause_work_id) AS n FROM clause_document_expression GROUP BY 1) GROUP BY 1""")
@@ -353,13 +355,15 @@ def k06_orphan_gate(spark, sf_dir):
     return gates.orphans(table(spark, sf_dir, "orders").select("o_orderkey"), lines, "o_orderkey", "l_orderkey")
 
 
-@query("""WITH s AS (SELECT DISTINCT s.hunk_id, s.segment_order, s.old_text, s.old_scalar_start AS a, s.old_scalar_end AS b, h.old_exact_text AS t FROM clause_document_inline_diff_segment s JOIN (SELECT DISTINCT hunk_id, old_exact_text FROM clause_document_diff_hunk) h USING (hunk_id) WHERE s.old_text IS NOT NULL)
-SELECT hunk_id, segment_order FROM s WHERE substring(t, a + 1, b - a) IS DISTINCT FROM old_text""")
+@query("""WITH s AS (SELECT DISTINCT s.hunk_id, s.segment_order, s.old_text, s.old_scalar_start AS a, s.old_scalar_end AS b, h.t FROM clause_document_inline_diff_segment s
+JOIN (SELECT DISTINCT d.hunk_id, e.exact_text AS t FROM clause_document_diff_hunk d JOIN clause_document_expression e ON e.expression_id = d.older_expression_id) h USING (hunk_id) WHERE s.old_text IS NOT NULL)
+SELECT DISTINCT hunk_id, segment_order FROM s WHERE substring(t, a + 1, b - a) IS DISTINCT FROM old_text""")
 def k02_slice_gate(spark, sf_dir):
-    """Segments whose offsets don't give their text."""
+    """Segments whose offsets don't give their text in the whole older expression."""
     s = table(spark, sf_dir, "clause_document_inline_diff_segment").where("old_text is not null").select("hunk_id", "segment_order", "old_text", "old_scalar_start", "old_scalar_end").distinct()
-    h = table(spark, sf_dir, "clause_document_diff_hunk").select("hunk_id", "old_exact_text").distinct()
-    return gates.wrong_slices(s.join(h, "hunk_id"), "old_exact_text", "old_scalar_start", "old_scalar_end", "old_text").select("hunk_id", "segment_order")
+    h = table(spark, sf_dir, "clause_document_diff_hunk").select("hunk_id", F.col("older_expression_id").alias("expression_id")).distinct()
+    whole = h.join(table(spark, sf_dir, "clause_document_expression").select("expression_id", "exact_text").distinct(), "expression_id")
+    return gates.wrong_slices(s.join(whole, "hunk_id"), "exact_text", "old_scalar_start", "old_scalar_end", "old_text").select("hunk_id", "segment_order").distinct()
 
 
 @query("""WITH b AS (SELECT DISTINCT run_id, clause_code, block_order, source_block_id, raw_text FROM current_clause_block)
@@ -372,11 +376,11 @@ def f31_assembled_ranges(spark, sf_dir):
     return gates.assembled_ranges(rows, ["run_id", "clause_code"], "block_order", "raw_text", "\n").select("source_block_id", "scalar_start", "scalar_end", "byte_start", "byte_end")
 
 
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k, json_extract(props, '$.k') IS NOT NULL AS has_k FROM events")
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k, list_contains(json_keys(props), 'k') AS has_k FROM events")
 def n04_json_path(spark, sf_dir):
     """A value and its presence in JSON properties."""
     k = F.get_json_object("props", "$.k")
-    return table(spark, sf_dir, "events").select("event_id", k.cast("int").alias("k"), k.isNotNull().alias("has_k"))
+    return table(spark, sf_dir, "events").select("event_id", k.cast("int").alias("k"), F.array_contains(F.json_object_keys("props"), "k").alias("has_k"))
 
 
 @query("""SELECT user_id, '{' || string_agg('"' || event_type || '":' || n, ',' ORDER BY event_type) || '}' AS counts FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY 1""")

@@ -74,7 +74,8 @@ def f19_uuid_v8(spark, sf_dir):
     return rows.select("event_id", ids.uuid_v8("event", F.col("event_id")).alias("uuid"))
 
 
-@query()
+@query("""WITH h AS (SELECT event_id, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(event_id)) AS h FROM (SELECT DISTINCT event_id FROM official_event))
+SELECT event_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', CAST(instr('0123456789abcdef', substr(h, 17, 1)) - 1 AS INT) % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS uuid FROM h""")
 def f18_uuid_v5(spark, sf_dir):
     """Name-based UUIDs."""
     rows = table(spark, sf_dir, "official_event").select("event_id").distinct()
@@ -223,14 +224,41 @@ def x06_unique_alignment(spark, sf_dir):
     return diff.unique_matches(rows.where(is_paragraph), rows.where(~is_paragraph), ["clause_code"], "source_block_id", "source_block_id", ["raw_text"])
 
 
-@query()
+_HUNK_TEXTS = "h AS (SELECT DISTINCT hunk_id, coalesce(old_exact_text, '') AS o, coalesce(new_exact_text, '') AS n FROM clause_document_diff_hunk)"
+
+
+@query(f"""WITH {_HUNK_TEXTS}, s AS (SELECT DISTINCT hunk_id, segment_order, old_text, new_text FROM clause_document_inline_diff_segment WHERE segment_kind <> 'deleted'),
+r AS (SELECT hunk_id, string_agg(coalesce(old_text, ''), '' ORDER BY segment_order) AS o, string_agg(coalesce(new_text, ''), '' ORDER BY segment_order) AS n FROM s GROUP BY 1)
+SELECT h.hunk_id, CASE WHEN r.hunk_id IS NULL THEN 'no_segments' WHEN h.o <> r.o AND h.n <> r.n THEN 'both_texts' WHEN h.o <> r.o THEN 'old_text' ELSE 'new_text' END AS problem
+FROM h LEFT JOIN r USING (hunk_id) WHERE r.hunk_id IS NULL OR h.o <> r.o OR h.n <> r.n""")
 def x13_replay_gate(spark, sf_dir):
-    """Hunks whose segments, joined, don't give back their texts."""
-    segments = table(spark, sf_dir, "clause_document_inline_diff_segment").select("hunk_id", "segment_order", "old_text", "new_text")
-    made = diff.replayed(segments, ["hunk_id"], "segment_order", "old_text", "new_text")
-    hunks = _hunks(spark, sf_dir, "hunk_id", "old_exact_text", "new_exact_text")
-    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
-    return hunks.join(made, "hunk_id").where((blank("old_exact_text") != F.col("old_text")) | (blank("new_exact_text") != F.col("new_text"))).select("hunk_id")
+    """Hunks without segments, and those that their segments, without the deleted ones, don't give back."""
+    segments = table(spark, sf_dir, "clause_document_inline_diff_segment").where("segment_kind <> 'deleted'").select("hunk_id", "segment_order", "old_text", "new_text")
+    return diff.replay_problems(_hunks(spark, sf_dir, "hunk_id", "old_exact_text", "new_exact_text"), segments, "hunk_id", "segment_order", ("old_exact_text", "new_exact_text"), ("old_text", "new_text"))
+
+
+_REPLAY_SQL = f"WITH {_HUNK_TEXTS} SELECT hunk_id, sha256(o) AS old_sha256, sha256(n) AS new_sha256 FROM h WHERE o <> '' OR n <> ''"
+
+
+def _replay(rows, made):
+    """Hashes of the texts that the pieces of a diff give back."""
+    pieces = rows.select("hunk_id", F.posexplode(made).alias("segment_order", "s")).select("hunk_id", "segment_order", "s.old_text", "s.new_text")
+    back = diff.replayed(pieces, ["hunk_id"], "segment_order", "old_text", "new_text")
+    return back.select("hunk_id", F.sha2("old_text", 256).alias("old_sha256"), F.sha2("new_text", 256).alias("new_sha256"))
+
+
+@query(_REPLAY_SQL)
+def x05_replay(spark, sf_dir):
+    """Both texts of every hunk, insertions and deletions included, from the pieces of the character diff."""
+    rows = _hunks(spark, sf_dir, "hunk_id", "old_exact_text", "new_exact_text")
+    return _replay(rows, diff.exact_diff(F.col("old_exact_text"), F.col("new_exact_text")))
+
+
+@query(_REPLAY_SQL)
+def x02_replay(spark, sf_dir):
+    """Both texts of every hunk from the pieces of the token diff."""
+    rows = _hunks(spark, sf_dir, "hunk_id", "old_exact_text", "new_exact_text")
+    return _replay(rows, diff.token_diff(F.col("old_exact_text"), F.col("new_exact_text")))
 
 
 def _terms(spark, sf_dir):
@@ -299,7 +327,9 @@ def t16_quantity_markers(spark, sf_dir):
     return found.groupBy("quantity").agg(F.count("*").alias("occurrences"), F.count_distinct("expression_id").alias("expressions"))
 
 
-@query()
+@query("""WITH b AS (SELECT DISTINCT source_block_id, trim(regexp_replace(string_split(raw_text, chr(10))[1], '[。；;，,、.]+$', '')) AS l FROM current_clause_block),
+c AS (SELECT source_block_id, l, length(regexp_extract(l, '^[^:：]*')) AS k FROM b), t AS (SELECT source_block_id, CASE WHEN k < length(l) AND k BETWEEN 1 AND 35 THEN left(l, k) ELSE l END AS t FROM c)
+SELECT source_block_id, CASE WHEN length(t) > 48 THEN left(t, 48) || '…' ELSE t END AS title FROM t""")
 def f24_display_title(spark, sf_dir):
     """Short titles of the blocks."""
     rows = table(spark, sf_dir, "current_clause_block").select("source_block_id", "raw_text").distinct()
@@ -313,7 +343,11 @@ def f28_heading_terms(spark, sf_dir):
     return rows.select("subject", F.posexplode(text.heading_terms_of(F.col("subject"))).alias("term_order", "term"))
 
 
-@query()
+@query("""WITH n AS (SELECT DISTINCT unnest(regexp_extract_all(official_date_raw_value, '[一二三四五六七八九十百零]+')) AS n FROM source_edition),
+d AS (SELECT n, regexp_extract(n, '^(.?)百', 1) AS h, contains(n, '百') AS hu, regexp_extract(n, '([^百零]?)十', 1) AS t, contains(n, '十') AS te, regexp_extract(n, '([^十百]?)$', 1) AS o, translate(n, '零一二三四五六七八九', '0123456789') AS p FROM n),
+v AS (SELECT n, CASE WHEN NOT hu AND NOT te THEN CAST(p AS BIGINT) ELSE CASE WHEN hu THEN 100 * greatest(instr('一二三四五六七八九', h), 1) ELSE 0 END
+  + CASE WHEN te THEN 10 * greatest(instr('一二三四五六七八九', t), 1) ELSE 0 END + CASE WHEN o = '' THEN 0 ELSE instr('一二三四五六七八九', o) END END AS x FROM d)
+SELECT n AS numeral, CAST(x AS BIGINT) AS number FROM v""")
 def f33_numerals(spark, sf_dir):
     """Chinese numerals of the raw edition dates as integers."""
     rows = table(spark, sf_dir, "source_edition").select("official_date_raw_value").distinct()
