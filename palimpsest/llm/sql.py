@@ -6,6 +6,10 @@ do; it is only meant for tables of some thousand rows.
 
 from __future__ import annotations
 
+import unicodedata
+
+from palimpsest.llm.lookalike import HOMOGLYPHS, SAME_LOOK, UNSEEN
+
 _OWNERS = "own AS (SELECT DISTINCT expression_id AS x, clause_work_id AS o FROM clause_document_expression)"
 
 P4_FOUND = f"""
@@ -43,6 +47,71 @@ SELECT DISTINCT d.i AS doc_id, q.i AS item_id FROM g d JOIN g q ON d.g = q.g AND
 """
 
 
+P5_SHARES = f"""
+WITH {_OWNERS},
+u AS (SELECT DISTINCT 'work' AS k, clause_work_id AS r, clause_work_id AS o, exact_text AS t FROM clause_document_expression WHERE length(exact_text) >= 60
+  UNION SELECT DISTINCT 'hunk', s.hunk_id, own.o, s.new_text FROM clause_document_inline_diff_segment s JOIN clause_document_diff_hunk h ON s.hunk_id = h.hunk_id
+  JOIN own ON own.x = h.newer_expression_id WHERE length(s.new_text) >= 60),
+x AS (SELECT k, t, row_number() OVER () AS n FROM (SELECT DISTINCT k, t FROM u)),
+w AS (SELECT k, n, i, md5_number(substring(t, CAST(i AS INT), 60)) AS g FROM x, LATERAL (SELECT unnest(generate_series(1, length(t) - 59)) AS i)),
+m AS (SELECT w.k, w.g FROM w JOIN x USING (n) JOIN u ON u.k = x.k AND u.t = x.t GROUP BY 1, 2 HAVING count(DISTINCT u.o) > 1),
+c AS (SELECT n, sum(least(60, coalesce(ahead, 60))) AS c FROM (SELECT n, lead(i) OVER (PARTITION BY n ORDER BY i) - i AS ahead FROM w SEMI JOIN m ON w.k = m.k AND w.g = m.g) GROUP BY 1)
+SELECT r.k AS record_kind, r.r AS record, count(*) AS texts, CAST(sum(length(r.t)) AS BIGINT) AS characters, CAST(coalesce(sum(c.c), 0) AS BIGINT) AS shared
+FROM (SELECT DISTINCT k, r, t FROM u) r JOIN x ON x.k = r.k AND x.t = r.t LEFT JOIN c USING (n) GROUP BY 1, 2
+"""
+
+P9_ITEMS = f"""
+WITH f AS (SELECT 'd' AS k, doc_id AS i, text AS t FROM documents WHERE text IS NOT NULL UNION ALL SELECT DISTINCT 'i', item_id, text FROM heldout_item),
+n AS (SELECT k, i, row_number() OVER () AS n, regexp_extract_all(t, '(?s).') AS cs FROM f),
+c AS (SELECT k, i, n, generate_subscripts(cs, 1) AS pos, lower(translate(unnest(cs), '{_WIDE}', '{_NARROW}')) AS c FROM n),
+l AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY pos) AS j FROM c WHERE regexp_matches(c, '^[\\p{{L}}\\p{{Nd}}]')),
+z AS (SELECT k, i, n, string_agg(c, '' ORDER BY j) AS t FROM l GROUP BY 1, 2, 3),
+g AS (SELECT k, i, n, j, substring(t, CAST(j AS INT), 30) AS g FROM z, LATERAL (SELECT unnest(generate_series(1, length(t) - 29)) AS j)),
+h AS (SELECT DISTINCT d.i AS doc, d.n, q.i AS item, d.j FROM g d JOIN g q ON d.g = q.g AND d.k = 'd' AND q.k = 'i'),
+s AS (SELECT *, sum(CASE WHEN j <= before + 30 THEN 0 ELSE 1 END) OVER (PARTITION BY n, item ORDER BY j) AS run FROM (SELECT *, lag(j) OVER (PARTITION BY n, item ORDER BY j) AS before FROM h)),
+r AS (SELECT doc, n, item, run, min(j) AS a, max(j) + 29 AS b FROM s GROUP BY 1, 2, 3, 4),
+o AS (SELECT r.doc, r.n, r.item, sum(y.pos - x.pos + 1) AS covered FROM r JOIN l x ON x.n = r.n AND x.j = r.a JOIN l y ON y.n = r.n AND y.j = r.b GROUP BY 1, 2, 3)
+SELECT item AS item_id, count(DISTINCT doc) AS documents, CAST(max(covered) AS INT) AS most_covered FROM o GROUP BY 1
+"""
+
+
+def _look(char: str) -> str:
+    """What a character looks like, by its Unicode properties; itself if nothing else."""
+    if unicodedata.category(char) == "Cf" or any(a <= ord(char) <= b for a, b in UNSEEN):
+        return ""
+    if unicodedata.category(char) == "Zs":
+        return " "
+    kind = unicodedata.decomposition(char).partition(" ")[0]
+    if kind.startswith("<") and kind in SAME_LOOK and not "\u3131" <= char <= "\u318e":
+        parts = unicodedata.decomposition(char).split()[1:]
+        return "".join(_look(chr(int(p, 16))) for p in parts)
+    return HOMOGLYPHS.get(char, char)
+
+
+def _looks() -> str:
+    """The characters that look like others, as rows of SQL."""
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    chars = [chr(p) for p in [*range(1, 0xD800), *range(0xE000, 0x20000)] if unicodedata.category(chr(p)) not in ("Cn", "Co")]
+    return ", ".join(f"({quoted(c)}, {quoted(look)})" for c in chars if (look := _look(c)) != c)
+
+
+P3_FOUND = f"""
+WITH m(c, r) AS (VALUES {_looks()}),
+t AS (SELECT raw_text AS t FROM current_clause_block UNION SELECT exact_text FROM clause_document_expression UNION SELECT old_exact_text FROM clause_document_diff_hunk),
+x AS (SELECT t, row_number() OVER () AS n, regexp_extract_all(t, '(?s).') AS cs FROM t WHERE t IS NOT NULL),
+c AS (SELECT n, unnest(cs) AS c, generate_subscripts(cs, 1) AS k FROM x),
+j AS (SELECT n, nfc_normalize(string_agg(coalesce(m.r, c.c), '' ORDER BY k)) AS f FROM c LEFT JOIN m USING (c) GROUP BY 1),
+f AS (SELECT t, coalesce(f, '') AS f FROM x LEFT JOIN j USING (n)),
+b AS (SELECT DISTINCT source_block_id AS i, raw_text AS t, f FROM current_clause_block JOIN f ON f.t = raw_text),
+e AS (SELECT DISTINCT expression_id AS i, clause_work_id AS w, source_edition_version_id AS v, exact_text AS t, f FROM clause_document_expression JOIN f ON f.t = exact_text),
+ed AS (SELECT edition_import_run_id AS r, source_edition_version_id AS v, min(chronology_order) AS o FROM source_edition GROUP BY 1, 2),
+p AS (SELECT * FROM (SELECT v, lag(v) OVER (PARTITION BY r ORDER BY o, v) AS p FROM ed) WHERE p IS NOT NULL),
+h AS (SELECT DISTINCT hunk_id AS i, older_expression_id AS o, old_exact_text AS t, f FROM clause_document_diff_hunk JOIN f ON f.t = old_exact_text)
+SELECT a.i AS record_a, b.i AS record_b FROM b a JOIN b ON a.f = b.f AND a.t <> b.t AND a.i < b.i
+UNION SELECT least(n.i, o.i), greatest(n.i, o.i) FROM e n JOIN p ON p.v = n.v JOIN e o ON o.v = p.p AND o.w = n.w AND o.f = n.f AND o.t <> n.t AND o.i <> n.i
+UNION SELECT least(h.i, e.i), greatest(h.i, e.i) FROM h JOIN e ON e.i = h.o WHERE NOT contains(e.t, h.t) AND h.f <> '' AND contains(e.f, h.f)
+"""
+
 # The rules of endings, written for this SQL alone.
 _ENDINGS = r"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS source, length(text) AS chars, strlen(text) AS bytes, text, rtrim(text, {blank}) AS bare FROM documents WHERE text IS NOT NULL),
@@ -90,4 +159,4 @@ P10_SOURCES = _ENDINGS + """, m AS (SELECT source, string_agg(unit || ':' || len
 SELECT source, count(*) AS documents, count(*) FILTER (WHERE ending <> 'finished' AND at_limit) AS cut_by_limit, count(*) FILTER (WHERE ending = 'broken' AND NOT at_limit) AS cut_in_transfer,
   count(*) FILTER (WHERE ending = 'broken' OR (ending = 'open' AND at_limit)) / count(*) AS share, any_value(m.limits) AS limits FROM f LEFT JOIN m USING (source) GROUP BY 1"""
 
-SQL = {"p4_found": P4_FOUND, "p5_found": P5_FOUND, "p9_found": P9_FOUND, "p10_found": P10_FOUND, "p10_sources": P10_SOURCES}
+SQL = {"p3_found": P3_FOUND, "p5_shares": P5_SHARES, "p9_items": P9_ITEMS, "p4_found": P4_FOUND, "p5_found": P5_FOUND, "p9_found": P9_FOUND, "p10_found": P10_FOUND, "p10_sources": P10_SOURCES}

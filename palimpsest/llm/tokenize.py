@@ -10,15 +10,18 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 import os
 import struct
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
 import sentencepiece
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,8 @@ VOCABULARY_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The unknown piece; no byte maps to its character, so no text has it.
 UNKNOWN = "\ue000"
+#: Bytes of a vocabulary file that is sent to the workers.
+LARGEST = 64 << 20
 #: Segments whose ids a worker remembers.
 CACHE = 1 << 18
 #: Bytes of text that are encoded in one step (a longer text is a step of its own).
@@ -43,10 +48,14 @@ def byte_characters() -> list[str]:
     return [chr(b if b in plain else next(free)) for b in range(256)]
 
 
+def parse_ranks(content: bytes) -> dict[bytes, int]:
+    """Byte strings and ranks of the content of a rank file."""
+    return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in content.splitlines() if line.strip())}
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Byte strings and ranks of a rank file."""
-    with open(path, "rb") as file:
-        return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file if line.strip())}
+    return parse_ranks(Path(path).read_bytes())
 
 
 def _varint(n: int) -> bytes:
@@ -118,8 +127,9 @@ def pretoken_starts(points: np.ndarray, between: np.ndarray) -> np.ndarray:
 class ByteBpe:
     """Encoder and decoder of one vocabulary."""
 
-    def __init__(self, path: str):
-        self.ranks = read_ranks(path)
+    def __init__(self, source: str | bytes):
+        """From the path or the content of a rank file."""
+        self.ranks = parse_ranks(source) if isinstance(source, bytes) else read_ranks(source)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(self.ranks))
         self.tokens = [token for token, _ in sorted(self.ranks.items(), key=lambda item: item[1])]
         self.map = dict(enumerate(byte_characters()))
@@ -208,10 +218,14 @@ class ByteBpe:
         return b"".join(self.tokens[i] for i in ids).decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=4)
-def encoder(path: str) -> ByteBpe:
-    """The encoder of a rank file, made once per process."""
-    return ByteBpe(path)
+_MODELS: dict[str, ByteBpe] = {}
+
+
+def encoder(digest: str, content: Broadcast[bytes]) -> ByteBpe:
+    """The encoder of a rank file's content, made once per process; the content is only fetched for that."""
+    if digest not in _MODELS:
+        _MODELS[digest] = ByteBpe(content.value)
+    return _MODELS[digest]
 
 
 def encode_table(df: DataFrame, key: str, text: str, vocabulary: str | None = None) -> DataFrame:
@@ -220,13 +234,17 @@ def encode_table(df: DataFrame, key: str, text: str, vocabulary: str | None = No
     A null and an empty text have the empty list; strings of special tokens
     are ordinary text; repeated rows stay repeated; a text of any length is
     encoded whole. Other columns aren't read. No shuffle: the rows go through
-    Arrow batches where they are read.
+    Arrow batches where they are read. The driver alone reads the vocabulary
+    file, of at most ``LARGEST`` bytes; the workers get its content.
     """
-    path = vocabulary or os.path.join(VOCABULARY_DIR, "byte_bpe_50k.tiktoken")
+    content = Path(vocabulary or os.path.join(VOCABULARY_DIR, "byte_bpe_50k.tiktoken")).read_bytes()
+    if len(content) > LARGEST:
+        raise ValueError(f"a vocabulary of {len(content)} bytes is too large")
+    digest, shared = hashlib.sha256(content).hexdigest(), df.sparkSession.sparkContext.broadcast(content)
     rows = df.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = encoder(path)
+        model = encoder(digest, shared)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), model.encode_column(batch.column(1))], names=["__key", "ids"])
 
