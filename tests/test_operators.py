@@ -393,3 +393,23 @@ def test_transition_labels(spark):
     df = spark.createDataFrame([(["2010-01-01"], ["2010-01-01", "2012-03-04", None, "2011-01-01"]), (None, ["2012-03-04"]), (["2012-03-04"], ["2012-03-04"]), (None, None)], "a array<string>, b array<string>")
     got = [tuple(r.x) for r in df.select(chains.transition_label(F.col("a"), F.col("b")).alias("x")).collect()]
     assert got == [(2, 2, "older_version", "101年3月"), (1, 1, "previous_version", "101年3月"), (0, 1, "previous_version", None), (0, 1, "previous_version", None)]
+
+
+def test_components_against_union_find(spark):
+    rng = random.Random(51)
+    edges = [(f"n{i:03}", f"n{i + 1:03}") for i in range(120)] + [(f"m{rng.randrange(80):02}", f"m{rng.randrange(80):02}") for _ in range(60)] + [("hub", f"h{i}") for i in range(50)] + [(None, "x"), ("y", "y")]
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for x, y in edges:
+        if None not in (x, y) and x != y:
+            a, b = sorted((root(x), root(y)))
+            parent[b] = a
+    df = spark.createDataFrame(edges, "a string, b string")
+    got = [tuple(r) for r in links.components(df, "a", "b").collect()]
+    assert len(got) == len(set(got)) and dict(got) == {x: root(x) for x in list(parent)}
+    assert links.components(df.limit(0), "a", "b").collect() == []
