@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.arrays import mix, rolling_hash, steps
 from palimpsest.llm.members import distinct_texts
+from palimpsest.operators.links import components
 from palimpsest.runtime import discard, materialize, materialize_counted
 
 #: Independent sketches and the registers of each; several small sketches leave fewer buckets empty than a large one.
@@ -225,3 +226,23 @@ def near_duplicates(records: DataFrame, *, record: str, owner: str, text: str, s
     found = pairs.join(a, "id_a").join(b, "id_b").where("oa <> ob and ra <> rb")
     made = found.select("scope", F.least("ra", "rb").alias("record_a"), F.greatest("ra", "rb").alias("record_b")).distinct()
     return made.drop("scope") if scope is None else made.withColumnRenamed("scope", scope)
+
+
+def near_duplicate_groups(records: DataFrame, *, record: str, owner: str, text: str, scope: str | None = None, threshold: float = 0.75, width: int = 5) -> DataFrame:
+    """Groups of records that chains of near-duplicate texts connect.
+
+    Result ``(record, group_id, records)``, one row per record in a group of
+    several owners, behind ``scope`` if one is named: ``group_id`` is the
+    smallest record of the group and ``records`` their number. The links are
+    made between distinct texts, and between each text and its records, so
+    copies cost one link each and are never paired with one another. What
+    counts as near is as in :func:`near_duplicates`.
+    """
+    members, texts = distinct_texts(records, record=record, owner=owner, text=text, scope=scope)
+    node = F.unhex(F.md5(F.concat_ws("\n", F.lit("record"), "scope", "record")))
+    links = near_duplicate_texts(texts, threshold=threshold, width=width).select("id_a", "id_b")
+    links = links.unionByName(members.select(F.col("id").alias("id_a"), node.alias("id_b")))
+    held = members.join(components(links, "id_a", "id_b").withColumnRenamed("node", "id"), "id").select("scope", "record", "owner", "component").distinct()
+    groups = held.groupBy("component").agg(F.min("record").alias("group_id"), F.count_distinct("record").alias("records"), F.min("owner").alias("lo"), F.max("owner").alias("hi"))
+    made = held.select("scope", "record", "component").distinct().join(groups.where("lo <> hi"), "component").select("scope", "record", "group_id", "records")
+    return made.drop("scope") if scope is None else made.withColumnRenamed("scope", scope)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.leakage import find_leaks
 from palimpsest.llm.lookalike import same_look_pairs, same_look_parts, same_look_successors
-from palimpsest.llm.neardup import near_duplicates
+from palimpsest.llm.neardup import near_duplicate_groups, near_duplicates
 from palimpsest.llm.sql import SQL  # noqa: F401
 from palimpsest.llm.spans import shared_share, shared_spans
 from palimpsest.llm.tokenize import encode_table
@@ -39,15 +39,24 @@ def _hunk_texts(spark: SparkSession, sf_dir: str, hunks: DataFrame) -> DataFrame
     return hunks.join(works, "newer_expression_id")
 
 
-def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Works and hunks with nearly the same texts."""
+def _texts_of_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of works, and new texts of hunks with the work of the newer expression."""
     works = table(spark, sf_dir, "clause_document_expression").select(
         F.lit("work").alias("record_kind"), F.col("clause_work_id").alias("record"), "clause_work_id", F.col("exact_text").alias("text")
     )
     hunks = table(spark, sf_dir, "clause_document_diff_hunk").where("new_exact_text is not null")
     hunks = _hunk_texts(spark, sf_dir, hunks.select("hunk_id", "newer_expression_id", "new_exact_text"))
-    hunks = hunks.select(F.lit("hunk").alias("record_kind"), F.col("hunk_id").alias("record"), "clause_work_id", F.col("new_exact_text").alias("text"))
-    return near_duplicates(works.unionByName(hunks), scope="record_kind", record="record", owner="clause_work_id", text="text")
+    return works.unionByName(hunks.select(F.lit("hunk").alias("record_kind"), F.col("hunk_id").alias("record"), "clause_work_id", F.col("new_exact_text").alias("text")))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Works and hunks with nearly the same texts."""
+    return near_duplicates(_texts_of_records(spark, sf_dir), scope="record_kind", record="record", owner="clause_work_id", text="text")
+
+
+def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of works and of hunks that nearly the same texts connect."""
+    return near_duplicate_groups(_texts_of_records(spark, sf_dir), scope="record_kind", record="record", owner="clause_work_id", text="text")
 
 
 def _passages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,5 +120,5 @@ def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares.join(limits.groupBy("source").agg(F.concat_ws(",", each).alias("limits")), "source", "left")
 
 
-QUERIES = {"p5_found": p5_found, "p5_shares": p5_shares, "p4_found": p4_found, "p3_found": p3_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_sources": p10_sources}
+QUERIES = {"p5_found": p5_found, "p5_shares": p5_shares, "p4_found": p4_found, "p4_groups": p4_groups, "p3_found": p3_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_sources": p10_sources}
 

@@ -25,6 +25,13 @@ FROM p JOIN c ca ON ca.i = p.a JOIN c cb ON cb.i = p.b JOIN n x ON x.i = p.a JOI
 WHERE s >= 0.75 * (ca.c + cb.c - s) AND x.r <> y.r
 """
 
+P4_GROUPS = f"""
+WITH RECURSIVE found AS ({P4_FOUND}), l AS (SELECT record_kind AS k, record_a AS a, record_b AS b FROM found UNION SELECT record_kind, record_b, record_a FROM found),
+w AS (SELECT k, a AS r, b AS g FROM l UNION SELECT k, a, a FROM l UNION SELECT w.k, w.r, l.b FROM w JOIN l ON l.k = w.k AND l.a = w.g),
+c AS (SELECT k, r, min(g) AS g FROM w GROUP BY 1, 2)
+SELECT k AS record_kind, r AS record, g AS group_id, count(*) OVER (PARTITION BY k, g) AS records FROM c
+"""
+
 P5_FOUND = f"""
 WITH {_OWNERS},
 u AS (SELECT DISTINCT 'work' AS k, clause_work_id AS r, clause_work_id AS o, exact_text AS t FROM clause_document_expression WHERE length(exact_text) >= 60
@@ -159,4 +166,4 @@ P10_SOURCES = _ENDINGS + """, m AS (SELECT source, string_agg(unit || ':' || len
 SELECT source, count(*) AS documents, count(*) FILTER (WHERE ending <> 'finished' AND at_limit) AS cut_by_limit, count(*) FILTER (WHERE ending = 'broken' AND NOT at_limit) AS cut_in_transfer,
   count(*) FILTER (WHERE ending = 'broken' OR (ending = 'open' AND at_limit)) / count(*) AS share, any_value(m.limits) AS limits FROM f LEFT JOIN m USING (source) GROUP BY 1"""
 
-SQL = {"p3_found": P3_FOUND, "p5_shares": P5_SHARES, "p9_items": P9_ITEMS, "p4_found": P4_FOUND, "p5_found": P5_FOUND, "p9_found": P9_FOUND, "p10_found": P10_FOUND, "p10_sources": P10_SOURCES}
+SQL = {"p3_found": P3_FOUND, "p5_shares": P5_SHARES, "p9_items": P9_ITEMS, "p4_found": P4_FOUND, "p4_groups": P4_GROUPS, "p5_found": P5_FOUND, "p9_found": P9_FOUND, "p10_found": P10_FOUND, "p10_sources": P10_SOURCES}

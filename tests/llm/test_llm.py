@@ -146,6 +146,19 @@ def test_near_duplicates_against_brute_force(spark):
     assert neardup.near_duplicates(df.limit(0), record="id", owner="owner", text="text").collect() == []
 
 
+def test_near_duplicate_groups(spark):
+    rng = random.Random(15)
+    base, other = words(rng, 200), words(rng, 200)
+    edit = lambda t, n: t[:n] + "X" + t[n + 1 :]
+    rows = [("a", "A", base), ("b", "B", edit(base, 50)), ("c", "C", edit(edit(base, 50), 150)), ("d", "D", other), ("e", "E", words(rng, 90)), ("f", "E", None)]
+    # Copies of one owner alone are no group; copies of several owners are one, however many there are.
+    rows += [(f"k{i:03}", "K", words(random.Random(3), 70)) for i in range(3)] + [(f"m{i:03}", f"M{i}", "同一") for i in range(300)] + [("d", "D", "同一")]
+    df = spark.createDataFrame(rows, "id string, owner string, text string")
+    got = {r.record: (r.group_id, r.records) for r in neardup.near_duplicate_groups(df, record="id", owner="owner", text="text").collect()}
+    assert got == {x: ("a", 3) for x in "abc"} | {x: ("d", 301) for x in ["d", *[f"m{i:03}" for i in range(300)]]}
+    assert neardup.near_duplicate_groups(df.limit(0), record="id", owner="owner", text="text").collect() == []
+
+
 def test_estimate_is_close_and_registers_ignore_other_rows():
     rng = random.Random(6)
     base = words(rng, 500)
