@@ -130,3 +130,9 @@ def row_sum_fingerprint(df: DataFrame, columns: list[str] | None = None, by: tup
     """A fingerprint that combines map-side: sum of 64-bit row hashes and their number."""
     rows = df.select(*by, F.xxhash64(canonical_row(df, columns)).cast("decimal(38,0)").alias("__h"))
     return rows.groupBy(*by).agg(F.sum("__h").alias("fingerprint"), F.count("*").alias("row_count"))
+
+
+def object_fingerprint(fingerprints: DataFrame, name: str, fingerprint: str) -> DataFrame:
+    """One fingerprint of named parts (a handful of tables), whatever their order: ``fingerprint, parts``."""
+    pairs = F.array_sort(F.collect_list(F.concat_ws("=", name, fingerprint)))
+    return fingerprints.agg(F.sha2(F.array_join(pairs, "\n"), 256).alias("fingerprint"), F.count("*").alias("parts"))

@@ -119,6 +119,24 @@ def build_url(base: str, **parameters: Column) -> Column:
     return F.concat(F.lit(base + "?"), F.concat_ws("&", *pairs))
 
 
+def canonical_code(designation: Column) -> Column:
+    """struct(code, chapter, basis, error) of a designation.
+
+    The n-th general rule is ``0.n`` of chapter 0 and ``assigned``; a dotted
+    code stands for itself under its first number and is ``official``.
+    Anything else has the error ``unsupported``, null is ``missing``.
+    """
+    ordinal = F.regexp_extract(designation, r"^通則\s*(?:第\s*)?([0-9]{1,3})\s*[條點項]?$", 1)
+    chapter = F.regexp_extract(designation, r"^([0-9]{1,2})(?:\.[0-9]{1,3})+$", 1)
+    general, dotted = ordinal != "", chapter != ""
+    return F.struct(
+        F.when(general, F.concat(F.lit("0."), ordinal.cast("int").cast("string"))).when(dotted, designation).alias("code"),
+        F.when(general, 0).when(dotted, chapter.cast("int")).alias("chapter"),
+        F.when(general, "assigned").when(dotted, "official").alias("basis"),
+        F.when(designation.isNull(), "missing").when(~general & ~dotted, "unsupported").alias("error"),
+    )
+
+
 def display_title(column: Column, colon_within: int = 36, at_most: int = 48) -> Column:
     """The first line without closing punctuation, cut at an early colon, with an ellipsis when too long."""
     line = F.trim(F.regexp_replace(F.substring_index(column, "\n", 1), r"[。；;，,、.]+$", ""))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import pyarrow as pa
@@ -179,6 +179,30 @@ def inverted_index(documents: DataFrame, key: str, text: str) -> DataFrame:
     return rows.select(key, "document_length", F.explode("__w").alias("term")).groupBy("term", key, "document_length").agg(F.count("*").alias("term_count"))
 
 
+def field_index(documents: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+    """Postings over several text columns: ``term, field, key, term_count``; a null column has none."""
+    words = lambda c: F.filter(F.transform(F.regexp_extract_all(F.col(c), F.lit(r"([A-Za-z]+|\p{Nd}+|[㐀-鿿])"), F.lit(1)), F.lower), lambda w: w != "")
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), words(c).alias("words")) for c in fields]))
+    rows = documents.select(F.col(key), each.alias("x")).select(key, "x.field", F.explode("x.words").alias("term"))
+    return rows.groupBy("term", "field", key).agg(F.count("*").alias("term_count"))
+
+
+def lexicon_presence(documents: DataFrame, key: str, text: str, lexicon: Sequence[tuple[str, Sequence[str]]], codes: DataFrame, code: str) -> tuple[DataFrame, DataFrame]:
+    """Which terms of a curated lexicon each text holds, and the lexicon's codes that the master list doesn't have.
+
+    ``lexicon`` is a short list of ``(term, codes)`` kept with the caller.
+    The first result is ``(key, terms, codes)`` of every text with any term,
+    the arrays sorted and distinct; the second is ``(term, code)``.
+    """
+    entries = [F.struct(F.lit(term).alias("term"), F.array(*[F.lit(c) for c in of]).cast("array<string>").alias("codes")) for term, of in lexicon]
+    held = F.filter(F.array(*entries), lambda e: F.contains(F.col(text), e["term"]))
+    rows = documents.select(F.col(key), held.alias("held")).where(F.size("held") > 0)
+    terms, found = F.transform("held", lambda e: e["term"]), F.flatten(F.transform("held", lambda e: e["codes"]))
+    listed = documents.sparkSession.createDataFrame([(term, c) for term, of in lexicon for c in of], "term string, code string")
+    unknown = listed.join(codes.select(F.col(code).alias("code")).distinct(), "code", "left_anti").select("term", "code")
+    return rows.select(key, F.array_sort(F.array_distinct(terms)).alias("terms"), F.array_sort(F.array_distinct(found)).alias("codes")), unknown
+
+
 def bm25(index: DataFrame, terms: list[str], key: str, documents: int, mean_length: float, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """BM25 scores of the documents that have any of the terms."""
     hits = index.where(F.col("term").isin([t.lower() for t in terms]))

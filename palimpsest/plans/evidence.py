@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palimpsest.functions import dates, quantities
-from palimpsest.operators import chains, gates, links
+from palimpsest.functions import dates, ids, quantities, text
+from palimpsest.operators import chains, diff, gates, links, tagging
 from palimpsest.operators import resolution as R
 from palimpsest.operators.intervals import merge_intervals
 from palimpsest.runtime import table
@@ -266,3 +266,135 @@ def w24_continuous_periods(spark, sf_dir):
     events = table(spark, sf_dir, "official_event").select("event_id", "supersedes_event_id", day("publication_date").alias("s"), day("effective_to").alias("t")).distinct()
     roots = links.follow_links(events, "event_id", "supersedes_event_id").select(F.col("node").alias("event_id"), "root")
     return merge_intervals(events.join(roots, "event_id"), "root", "s", "t", bucket_width=30).withColumnRenamed("entity", "root")
+
+
+@query("""WITH c AS (SELECT DISTINCT canonical_code AS d FROM clause_document_expression UNION SELECT DISTINCT '通則第' || split_part(canonical_code, '.', 3) || '條' FROM clause_document_expression UNION SELECT DISTINCT edition_label FROM source_edition)
+SELECT d AS designation, CASE WHEN regexp_full_match(d, '通則第[0-9]{1,3}條') THEN '0.' || CAST(regexp_extract(d, '[0-9]+') AS INT) WHEN regexp_full_match(d, '[0-9]{1,2}(\\.[0-9]{1,3})+') THEN d END AS code,
+CASE WHEN regexp_full_match(d, '通則第[0-9]{1,3}條') THEN 0 WHEN regexp_full_match(d, '[0-9]{1,2}(\\.[0-9]{1,3})+') THEN CAST(split_part(d, '.', 1) AS INT) END AS chapter,
+CASE WHEN NOT regexp_full_match(d, '通則第[0-9]{1,3}條|[0-9]{1,2}(\\.[0-9]{1,3})+') THEN 'unsupported' END AS error FROM c""")
+def f30_canonical_codes(spark, sf_dir):
+    """Codes, general rules and labels as canonical codes, or with the error of those that are none."""
+    codes = table(spark, sf_dir, "clause_document_expression").select("canonical_code").distinct()
+    general = codes.select(F.concat(F.lit("通則第"), F.split("canonical_code", r"\.")[2], F.lit("條")))
+    every = codes.union(general).union(table(spark, sf_dir, "source_edition").select("edition_label")).distinct().toDF("designation")
+    made = every.select("designation", text.canonical_code(F.col("designation")).alias("x"))
+    return made.select("designation", "x.code", "x.chapter", "x.error")
+
+
+@query("""WITH e AS (SELECT edition_import_run_id AS r, source_edition_version_id AS v, max(chronology_order) AS o FROM source_edition GROUP BY 1, 2), a AS (SELECT r, v FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY o DESC, v DESC) AS n FROM e) WHERE n = 1),
+x AS (SELECT a.r, d.clause_work_id AS w, d.expression_id AS i, d.recorded_at AS t, d.reader_state AS s FROM clause_document_expression d JOIN a ON a.v = d.source_edition_version_id),
+l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r, w ORDER BY t DESC, i DESC) AS n FROM x) WHERE n = 1)
+SELECT r AS edition_import_run_id, w AS clause_work_id, i AS expression_id FROM l WHERE s = 'current_effective_complete'""")
+def w03_chained_activation(spark, sf_dir):
+    """Of each run's latest edition the latest expression of every clause, if that one is complete: a latest state chained on another."""
+    editions = table(spark, sf_dir, "source_edition").select(F.col("edition_import_run_id").alias("r"), F.col("source_edition_version_id").alias("v"), F.col("chronology_order").alias("o"))
+    active = editions.groupBy("r").agg(F.max(F.struct("o", "v"))["v"].alias("v"))
+    rows = table(spark, sf_dir, "clause_document_expression").withColumnRenamed("source_edition_version_id", "v").join(active, "v")
+    last = rows.groupBy("r", "clause_work_id").agg(F.max(F.struct("recorded_at", "expression_id", "reader_state")).alias("x"))
+    found = last.where("x.reader_state = 'current_effective_complete'")
+    return found.select(F.col("r").alias("edition_import_run_id"), "clause_work_id", F.col("x.expression_id").alias("expression_id"))
+
+
+@query("""WITH i AS (SELECT DISTINCT event_id, 'initial' AS dispatch, issuer FROM official_event WHERE supersedes_event_id IS NULL), r AS (SELECT DISTINCT event_id, 'recovery' AS dispatch, issuer, supersedes_event_id AS p FROM official_event WHERE supersedes_event_id IS NOT NULL),
+k AS (SELECT DISTINCT event_id AS p, event_type AS of FROM official_event)
+SELECT event_id, dispatch, issuer, NULL AS recovers FROM i UNION ALL SELECT r.event_id, dispatch, issuer, coalesce(k.of, 'unknown') FROM r LEFT JOIN k USING (p)""")
+def u02_dispatch_union(spark, sf_dir):
+    """First notices and those that recover an earlier one under one schema, with the kind of what is recovered."""
+    rows = table(spark, sf_dir, "official_event").select("event_id", "issuer", "supersedes_event_id", "event_type").distinct()
+    first = rows.where("supersedes_event_id is null").select("event_id", F.lit("initial").alias("dispatch"), "issuer", F.lit(None).cast("string").alias("recovers")).distinct()
+    kinds = rows.select(F.col("event_id").alias("supersedes_event_id"), F.col("event_type").alias("of")).distinct()
+    again = rows.where("supersedes_event_id is not null").drop("event_type").distinct().join(kinds, "supersedes_event_id", "left")
+    return first.unionByName(again.select("event_id", F.lit("recovery").alias("dispatch"), "issuer", F.coalesce("of", F.lit("unknown")).alias("recovers")))
+
+
+@query("""WITH c AS (SELECT DISTINCT canonical_code AS k FROM clause_document_expression), e AS (SELECT DISTINCT expression_id AS i, exact_text AS t FROM clause_document_expression),
+m AS (SELECT i, unnest(regexp_extract_all(t, '[0-9]{1,2}\\.[0-9]{1,3}\\.[0-9]{1,3}')) AS d FROM e)
+SELECT i AS expression_id, d AS designation, count(*) AS occurrences, d IN (SELECT k FROM c) AS listed FROM m GROUP BY 1, 2""")
+def t13_designations(spark, sf_dir):
+    """Designations that the texts mention, and whether the master list has them."""
+    rows = table(spark, sf_dir, "clause_document_expression")
+    found = rows.select("expression_id", "exact_text").distinct().select("expression_id", F.explode(F.regexp_extract_all("exact_text", F.lit(r"([0-9]{1,2}\.[0-9]{1,3}\.[0-9]{1,3})"), F.lit(1))).alias("designation"))
+    counts = found.groupBy("expression_id", "designation").agg(F.count("*").alias("occurrences"))
+    listed = rows.select(F.col("canonical_code").alias("designation")).distinct().withColumn("hit", F.lit(True))
+    return counts.join(listed, "designation", "left").select("expression_id", "designation", "occurrences", F.col("hit").isNotNull().alias("listed"))
+
+
+# A small curated lexicon, terms and the chapters that they point to.
+LEXICON = [("轉胺酶", ["8"]), ("骨髓", ["1", "4"]), ("白蛋白", ["3"]), ("血鈣", ["5", "99"]), ("biopsy", ["9"]), ("allergy", ["6"])]
+
+
+@query("""WITH l(term, codes) AS (VALUES ('轉胺酶', ['8']), ('骨髓', ['1', '4']), ('白蛋白', ['3']), ('血鈣', ['5', '99']), ('biopsy', ['9']), ('allergy', ['6'])), e AS (SELECT DISTINCT expression_id AS i, exact_text AS t FROM clause_document_expression),
+h AS (SELECT i, term, unnest(codes) AS code FROM e JOIN l ON contains(t, term)), m AS (SELECT DISTINCT split_part(canonical_code, '.', 1) AS code FROM clause_document_expression)
+SELECT i AS expression_id, string_agg(DISTINCT term, ',' ORDER BY term) AS terms, string_agg(DISTINCT code, ',' ORDER BY code) AS codes, CAST(count(DISTINCT code) FILTER (code NOT IN (SELECT code FROM m)) AS INT) AS unknown_codes FROM h GROUP BY 1""")
+def t14_lexicon_presence(spark, sf_dir):
+    """Terms of the lexicon in each text with their chapters, and how many of these the codes don't have."""
+    rows = table(spark, sf_dir, "clause_document_expression")
+    chapters = rows.select(F.split("canonical_code", r"\.")[0].alias("code")).distinct()
+    found, unknown = tagging.lexicon_presence(rows.select("expression_id", "exact_text").distinct(), "expression_id", "exact_text", LEXICON, chapters, "code")
+    # One row: the lexicon's own few codes.
+    missing = unknown.agg(F.collect_set("code").alias("missing"))
+    found = found.crossJoin(F.broadcast(missing)).withColumn("unknown_codes", F.size(F.array_intersect("codes", "missing")))
+    return found.select("expression_id", F.array_join("terms", ",").alias("terms"), F.array_join("codes", ",").alias("codes"), "unknown_codes")
+
+
+_FIELDS = ["subject", "issuer", "reference_number", "event_type", "status", "detail_url"]
+
+
+@query("WITH e AS (SELECT DISTINCT event_id, " + ", ".join(_FIELDS) + " FROM official_event), w AS (" + " UNION ALL ".join(
+    f"SELECT event_id, '{c}' AS field, unnest(regexp_extract_all(lower({c}), '[a-z]+|\\p{{Nd}}+|[㐀-鿿]')) AS term FROM e" for c in _FIELDS
+) + ") SELECT term, field, count(*) AS occurrences, count(DISTINCT event_id) AS events FROM w GROUP BY 1, 2")
+def t10_field_index(spark, sf_dir):
+    """The inverted index over six text columns of the notices."""
+    index = tagging.field_index(table(spark, sf_dir, "official_event").select("event_id", *_FIELDS).distinct(), "event_id", _FIELDS)
+    return index.groupBy("term", "field").agg(F.sum("term_count").alias("occurrences"), F.count_distinct("event_id").alias("events"))
+
+
+@query("""WITH r AS (SELECT DISTINCT clause_work_id AS w, effective_from AS d, source_lane AS l, expression_completeness AS f FROM clause_document_expression WHERE effective_from IS NOT NULL)
+SELECT w AS clause_work_id, d AS effective_from, CASE WHEN bool_or(f = 'source_complete') AND bool_or(f <> 'source_complete') THEN 'both' WHEN bool_or(f = 'source_complete') THEN 'native_only' ELSE 'derived_only' END AS evidence, count(DISTINCT l) AS lanes FROM r GROUP BY 1, 2""")
+def j13_lane_evidence(spark, sf_dir):
+    """For every work and date whether native, derived or both kinds of texts show it."""
+    native = F.col("expression_completeness") == "source_complete"
+    rows = table(spark, sf_dir, "clause_document_expression").where("effective_from is not null").groupBy("clause_work_id", "effective_from")
+    made = rows.agg(F.bool_or(native).alias("n"), F.bool_or(~native).alias("o"), F.count_distinct("source_lane").alias("lanes"))
+    return made.select("clause_work_id", "effective_from", F.when(F.col("n") & F.col("o"), "both").when(F.col("n"), "native_only").otherwise("derived_only").alias("evidence"), "lanes")
+
+
+@query("""WITH b AS (SELECT DISTINCT source_block_id, block_order FROM current_clause_block), c(lo, hi, doc) AS (VALUES (0, 2, 'cover'), (2, 5, 'body'), (5, 9, 'annex'))
+SELECT source_block_id, coalesce(doc, 'unassigned') AS document, CASE WHEN doc IS NOT NULL THEN doc || '#' || (block_order - lo) END AS locator FROM b LEFT JOIN c ON block_order >= lo AND block_order < hi""")
+def j22_render_locators(spark, sf_dir):
+    """Blocks with the document that a table of ranges of their orders names, and their place in it."""
+    ranges = [(0, 2, "cover"), (2, 5, "body"), (5, 9, "annex")]
+    rows = table(spark, sf_dir, "current_clause_block").select("source_block_id", "block_order").distinct()
+    doc, place = F.lit(None).cast("string"), F.lit(None).cast("int")
+    for lo, hi, name in ranges:
+        inside = (F.col("block_order") >= lo) & (F.col("block_order") < hi)
+        doc, place = F.when(inside, name).otherwise(doc), F.when(inside, F.col("block_order") - lo).otherwise(place)
+    return rows.select("source_block_id", F.coalesce(doc, F.lit("unassigned")).alias("document"), F.concat(doc, F.lit("#"), place.cast("string")).alias("locator"))
+
+
+@query("""WITH n AS (SELECT sha256(string_agg(h, chr(10) ORDER BY h)) AS f FROM (SELECT sha256('{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || '}') AS h FROM nation)),
+r AS (SELECT sha256(string_agg(h, chr(10) ORDER BY h)) AS f FROM (SELECT sha256('{"r_name":"' || r_name || '","r_regionkey":' || r_regionkey || '}') AS h FROM region)),
+s AS (SELECT sha256(string_agg(h, chr(10) ORDER BY h)) AS f FROM (SELECT sha256('{"s_name":"' || s_name || '","s_suppkey":' || s_suppkey || '}') AS h FROM supplier))
+SELECT sha256('nation=' || n.f || chr(10) || 'region=' || r.f || chr(10) || 'supplier=' || s.f) AS fingerprint, 3 AS parts FROM n, r, s""")
+def a22_object_fingerprint(spark, sf_dir):
+    """One fingerprint of three tables together."""
+    made = None
+    for name, columns in (("supplier", ["s_suppkey", "s_name"]), ("nation", ["n_nationkey", "n_name"]), ("region", ["r_regionkey", "r_name"])):
+        row = ids.portable_fingerprint(table(spark, sf_dir, name), columns).select(F.lit(name).alias("name"), "fingerprint")
+        made = row if made is None else made.unionByName(row)
+    return ids.object_fingerprint(made, "name", "fingerprint")
+
+
+@query("""WITH b AS (SELECT DISTINCT clause_code AS k, source_block_id AS i, raw_text AS t, regexp_extract(raw_text, '^[^，。]{0,8}') AS m, block_kind = 'paragraph' AS p FROM current_clause_block),
+o AS (SELECT * FROM b WHERE p), n AS (SELECT * FROM b WHERE NOT p),
+m1 AS (SELECT k, x.i AS old_id, y.i AS new_id FROM (SELECT k, t, any_value(i) AS i FROM o GROUP BY 1, 2 HAVING count(*) = 1) x JOIN (SELECT k, t, any_value(i) AS i FROM n GROUP BY 1, 2 HAVING count(*) = 1) y USING (k, t)),
+o2 AS (SELECT * FROM o WHERE i NOT IN (SELECT old_id FROM m1)), n2 AS (SELECT * FROM n WHERE i NOT IN (SELECT new_id FROM m1)),
+m2 AS (SELECT k, x.i AS old_id, y.i AS new_id FROM (SELECT k, m, any_value(i) AS i FROM o2 GROUP BY 1, 2 HAVING count(*) = 1) x JOIN (SELECT k, m, any_value(i) AS i FROM n2 GROUP BY 1, 2 HAVING count(*) = 1) y USING (k, m))
+SELECT k AS clause_code, old_id, new_id, 0 AS stage FROM m1 UNION ALL SELECT k, old_id, new_id, 1 FROM m2
+UNION ALL SELECT k, i, NULL, NULL FROM o2 WHERE i NOT IN (SELECT old_id FROM m2) UNION ALL SELECT k, NULL, i, NULL FROM n2 WHERE i NOT IN (SELECT new_id FROM m2)""")
+def x07_staged_alignment(spark, sf_dir):
+    """Paragraphs and other blocks of a code matched by text, then by kind and opening, each only where unique on both sides."""
+    marker = F.regexp_extract("raw_text", "^[^，。]{0,8}", 0)
+    rows = table(spark, sf_dir, "current_clause_block").select("clause_code", "source_block_id", "raw_text", "block_kind", marker.alias("marker")).distinct()
+    is_paragraph = F.col("block_kind") == "paragraph"
+    return diff.unique_matches(rows.where(is_paragraph), rows.where(~is_paragraph), ["clause_code"], "source_block_id", "source_block_id", ["raw_text", "marker"])

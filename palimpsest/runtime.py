@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 _OWN_DIR: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 _WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+#: Folders that :func:`materialize` made and nothing has deleted yet.
+_FOLDERS: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
@@ -61,6 +63,7 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     made = spark.read.schema(df.schema).parquet(path)
     _WRITTEN[made] = path
+    _FOLDERS.add(path)
     return made
 
 
@@ -73,12 +76,24 @@ def materialize_counted(df: DataFrame, label: str, *metrics: Column) -> tuple[Da
     return made, [values[n] for n in names]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _FOLDERS.discard(path)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files behind a materialized DataFrame that nothing reads any more."""
     if path := _WRITTEN.pop(df, None):
-        spark = df.sparkSession
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(df.sparkSession, path)
+
+
+def discard_all(spark: SparkSession) -> int:
+    """Delete all that :func:`materialize` has written in this process; call it when no result is read any more."""
+    paths = list(_FOLDERS)
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -145,6 +145,41 @@ def listing_rows(source: str, base: str) -> list[dict]:
     return out
 
 
+def listing_page(source: str, base: str) -> dict:
+    """One page of a listing: its ``rows``, its number, the number of pages and rows that it states, and the address of the next page.
+
+    Page numbers are read from a text like ``第 2 / 7 頁`` or ``Page 2 of 7``,
+    the total from ``共 61 筆`` or ``61 results``; without them they are null. The
+    next page is the link whose relation or label says so.
+    """
+    page = parse_page(source)
+    text = " ".join("".join(page.text).split())
+    place = re.search(r"第\s*(\d+)\s*[/／頁]\s*(?:共\s*)?(\d+)\s*頁?|[Pp]age\s+(\d+)\s+of\s+(\d+)", text)
+    total = re.search(r"共\s*(\d+)\s*[筆則]|(\d+)\s+results", text)
+    number, pages = ([int(x) for x in place.groups() if x] if place else [None, None])
+    following = next((urljoin(base, x["href"]) for x in page.links if x["label"].strip() in ("下一頁", "下頁", "Next", "next", "›", "»")), None)
+    return {"rows": listing_rows(source, base), "page": number, "pages": pages, "total": int(total[1] or total[2]) if total else None, "next_url": following}
+
+
+def listing_problems(pages: list[dict]) -> list[str]:
+    """Why the pages of a listing, in order, don't make it whole; empty if they do."""
+    problems = []
+    if [p["page"] for p in pages] != list(range(1, len(pages) + 1)):
+        problems.append("page_numbers")
+    if len({p["pages"] for p in pages}) > 1 or len({p["total"] for p in pages}) > 1:
+        problems.append("statements_differ")
+    if pages and pages[0]["pages"] not in (None, len(pages)):
+        problems.append("pages_missing")
+    if pages and pages[0]["total"] not in (None, sum(len(p["rows"]) for p in pages)):
+        problems.append("rows_missing")
+    if any((p["next_url"] is None) != (p is pages[-1]) for p in pages):
+        problems.append("next_links")
+    addresses = [row["url"] for p in pages for row in p["rows"]]
+    if len(set(addresses)) != len(addresses):
+        problems.append("repeated_rows")
+    return problems
+
+
 def decode_page(content: bytes, content_type: str | None) -> str:
     """Decode by the header's charset, then the page's own, then UTF-8; undecodable bytes are an error."""
     named = re.search(r"charset=[\"']?([\w-]+)", content_type or "") or re.search(rb"<meta[^>]+charset=[\"']?([\w-]+)", content[:2048])

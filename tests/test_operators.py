@@ -413,3 +413,23 @@ def test_components_against_union_find(spark):
     got = [tuple(r) for r in links.components(df, "a", "b").collect()]
     assert len(got) == len(set(got)) and dict(got) == {x: root(x) for x in list(parent)}
     assert links.components(df.limit(0), "a", "b").collect() == []
+
+
+def test_canonical_codes(spark):
+    df = spark.createDataFrame([("通則第07條",), ("通則 3",), ("8.30.23",), ("8.",), ("第3章",), ("",), (None,)], "d string")
+    got = [tuple(r.x) for r in df.select(text.canonical_code(F.col("d")).alias("x")).collect()]
+    assert got == [("0.7", 0, "assigned", None), ("0.3", 0, "assigned", None), ("8.30.23", 8, "official", None), *[(None, None, None, "unsupported")] * 3, (None, None, None, "missing")]
+
+
+def test_field_index_and_lexicon(spark):
+    df = spark.createDataFrame([("d", "Cat cat 3", None), ("e", "", "貓咪 cat"), ("f", None, None)], "k string, a string, b string")
+    assert {tuple(r) for r in tagging.field_index(df, "k", ["a", "b"]).collect()} == {("cat", "a", "d", 2), ("3", "a", "d", 1), ("貓", "b", "e", 1), ("咪", "b", "e", 1), ("cat", "b", "e", 1)}
+    codes = spark.createDataFrame([("C1",)], "c string")
+    found, unknown = tagging.lexicon_presence(df, "k", "b", [("貓", ["C1", "C9"]), ("cat", ["C1"])], codes, "c")
+    assert [tuple(r) for r in found.collect()] == [("e", ["cat", "貓"], ["C1", "C9"])] and [tuple(r) for r in unknown.collect()] == [("貓", "C9")]
+
+
+def test_replay_problems(spark):
+    wholes = spark.createDataFrame([("ok", "ab", "ac"), ("old", "xx", "c"), ("none", "a", None), ("both", "q", "q")], "k string, o string, n string")
+    pieces = spark.createDataFrame([("ok", 0, "a", "a"), ("ok", 1, "b", "c"), ("old", 0, "x", "c"), ("both", 0, None, "z")], "k string, s int, o string, n string")
+    assert {tuple(r) for r in diff.replay_problems(wholes, pieces, "k", "s", ("o", "n"), ("o", "n")).collect()} == {("old", "old_text"), ("none", "no_segments"), ("both", "both_texts")}

@@ -114,6 +114,17 @@ def test_listing_rows_keep_their_own_links():
     assert (inner["title"], inner["url"], outer["title"], outer["url"]) == ("in", "https://ex.org/i", "out", "https://ex.org/o")
 
 
+def test_listing_pages():
+    row = "<tr><td><a href='d{0}.html'>公告{0}</a></td><td>x</td></tr>"
+    made = lambda n, rows, after: f"<p>共 5 筆，第 {n} / 3 頁</p><table>{''.join(row.format(i) for i in rows)}</table>" + (f"<a href='?p={n + 1}'>下一頁</a>" if after else "")
+    pages = [markup.listing_page(made(n, rows, n < 3), "https://ex.org/l") for n, rows in ((1, [1, 2]), (2, [3, 4]), (3, [5]))]
+    assert [(p["page"], p["pages"], p["total"], p["next_url"]) for p in pages] == [(1, 3, 5, "https://ex.org/l?p=2"), (2, 3, 5, "https://ex.org/l?p=3"), (3, 3, 5, None)]
+    assert markup.listing_problems(pages) == [] and markup.listing_problems([]) == []
+    assert markup.listing_problems([pages[0], pages[2]]) == ["page_numbers", "pages_missing", "rows_missing"]
+    assert markup.listing_problems([pages[0], {**pages[1], "rows": pages[0]["rows"]}, pages[2]]) == ["repeated_rows"]
+    assert markup.listing_page("<p>Page 2 of 9, 81 results</p>", "https://ex.org/") == {"rows": [], "page": 2, "pages": 9, "total": 81, "next_url": None}
+
+
 def test_rss(spark):
     item = "<item><guid>{0}</guid><title>t{0}</title><link>l</link><pubDate>d</pubDate></item>"
     feed = "<rss><channel>" + item.format(1) + item.format(2) + "</channel></rss>"
