@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Fixed values of the compound file format: signature, end of chain, largest regular sector.
 SIGNATURE, END, LARGEST = bytes.fromhex("D0CF11E0A1B11AE1"), 0xFFFFFFFE, 0xFFFFFFFA
@@ -111,6 +112,53 @@ def package_members(content: bytes) -> list[dict]:
         return [{"member": i.filename, "size": i.file_size, "complete": _readable(archive, i)} for i in infos]
 
 
+def directory_members(content: bytes) -> list[dict]:
+    """As :func:`package_members`, by another reader: the central directory and the local headers walked as bytes, each member inflated and summed here.
+
+    A member whose local header names another file, or that has another size
+    or checksum than the directory says, isn't complete.
+    """
+    end = content.rfind(b"PK\x05\x06")
+    if end < 0:
+        raise ValueError("no end of a central directory")
+    count, at = struct.unpack_from("<H", content, end + 10)[0], struct.unpack_from("<I", content, end + 16)[0]
+    made: list[dict] = []
+    for number in range(count):
+        signature, flags, method, crc, packed, size, names, extra, comment, start = struct.unpack_from("<I4xHH4xIIIHHH8xI", content, at)
+        if signature != 0x02014B50:
+            raise ValueError("broken central directory")
+        raw = content[at + 46 : at + 46 + names]
+        name = raw.decode("utf-8" if flags & 0x800 else "cp437")
+        at += 46 + names + extra + comment
+        if flags & 1:
+            raise ValueError("encrypted member")
+        local, local_method, local_names, local_extra = struct.unpack_from("<I4xH16xHH", content, start)
+        body = start + 30 + local_names + local_extra
+        data = content[body : body + packed]
+        if number == 0 and (name != "mimetype" or method or not data.decode("ascii", "replace").startswith(MIMETYPE)):
+            raise ValueError("the type isn't the first member, stored")
+        if name.startswith("/") or ".." in name.split("/") or any(m["member"] == name for m in made):
+            raise ValueError("unsafe or repeated member names")
+        fits = local == 0x04034B50 and content[start + 30 : start + 30 + local_names] == raw and local_method == method and len(data) == packed
+        try:
+            plain = data if method == 0 else zlib.decompressobj(-15).decompress(data) if method == 8 else None
+        except zlib.error:
+            plain = None
+        made.append({"member": name, "size": size, "complete": fits and plain is not None and len(plain) == size and zlib.crc32(plain) == crc})
+    if not made:
+        raise ValueError("the type isn't the first member, stored")
+    return made
+
+
+def reviewed_containers(files: DataFrame) -> DataFrame:
+    """Members on which the two readers of packages disagree: ``path, member`` and what each says, nulls where one has none."""
+    one = inspect_containers(files, package_members).select("path", "member", F.struct("size", "complete").alias("first"), F.col("error").isNotNull().alias("first_failed"))
+    two = inspect_containers(files, directory_members).select("path", "member", F.struct("size", "complete").alias("second"), F.col("error").isNotNull().alias("second_failed"))
+    both = one.join(two, one.path.eqNullSafe(two.path) & one.member.eqNullSafe(two.member), "full_outer")
+    both = both.select(F.coalesce(one.path, two.path).alias("path"), F.coalesce(one.member, two.member).alias("member"), "first", "second", "first_failed", "second_failed")
+    return both.where(~F.col("first").eqNullSafe(F.col("second")) | ~F.col("first_failed").eqNullSafe(F.col("second_failed")))
+
+
 def inspect_containers(files: DataFrame, parser) -> DataFrame:
     """Members of ``(path, content)`` containers; one that can't be read gives one row with ``error``."""
 

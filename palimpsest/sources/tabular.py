@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -32,6 +34,34 @@ def read_jsonl_quarantined(spark: SparkSession, path: str, schema: StructType, r
     return parsed.where(good).drop("value", CORRUPT), parsed.where(~good).select(F.col("value").alias("line"), F.col(CORRUPT).isNull().alias("parsed"))
 
 
+def append_jsonl(df: DataFrame, path: str, schema: StructType, rule: Column, key: Sequence[str] = ()) -> int:
+    """Append rows as JSON lines if all of them have the schema, pass ``rule`` and, with ``key``, are new and unique.
+
+    Nothing is written otherwise. Returns the number of rows.
+    """
+    wrong = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    if df.dtypes != wrong:
+        raise ValueError(f"{path}: columns {df.dtypes} instead of {wrong}")
+    require_empty(df.where(~F.coalesce(rule, F.lit(False))), f"rows for {path} that break the rule")
+    if key:
+        require_empty(duplicate_keys(df, key), f"keys for {path} that aren't unique")
+        if _exists(df.sparkSession, path):
+            require_empty(df.join(df.sparkSession.read.schema(schema).json(path).select(*key), list(key), "left_semi"), f"keys that {path} has already")
+    rows = Observation("append")
+    df.observe(rows, F.count("*").alias("n")).write.mode("append").option("ignoreNullFields", False).json(path)
+    return rows.get["n"]
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place, system = _file_system(spark, path)
+    return system.exists(place)
+
+
 def read_csv(spark: SparkSession, path: str, header: Sequence[str], key: str | None = None) -> DataFrame:
     """CSV with exactly this header, all strings; drifted headers, ragged rows, missing keys and no rows are errors."""
     first = spark.read.option("wholetext", False).text(path).limit(1).collect()
@@ -121,6 +151,50 @@ def blobs(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return files.select("path", "length", "content", digest.alias("sha256"), F.concat(F.lit("raw/sha256/"), F.substring(digest, 1, 2), F.lit("/"), digest).alias("blob_path"))
 
 
+def put_blob(spark: SparkSession, root: str, content: bytes) -> tuple[str, bool]:
+    """Store content under its SHA-256: the name, and whether it was new.
+
+    Content that is there already is read again and compared, never written
+    anew; new content is written aside and then renamed, so that no reader
+    sees a part of it.
+    """
+    digest = hashlib.sha256(content).hexdigest()
+    name = f"raw/sha256/{digest[:2]}/{digest}"
+    place, system = _file_system(spark, f"{root}/{name}")
+    if not system.exists(place):
+        aside, _ = _file_system(spark, f"{root}/{name}.{uuid.uuid4().hex}.part")
+        out = system.create(aside, False)
+        out.write(bytearray(content))
+        out.close()
+        if system.rename(aside, place):
+            return name, True
+        # Someone else was first.
+        system.delete(aside, False)
+    if spark.read.format("binaryFile").load(str(place)).select(F.sha2("content", 256)).first()[0] != digest:
+        raise ValueError(f"{name} holds other content")
+    return name, False
+
+
+def export_stage(tables: Mapping[str, DataFrame], root: str, run_id: str, sqlite_limit: int = 5_000_000) -> DataFrame:
+    """Write a read-only snapshot of tables as canonical JSON lines and one SQLite file, and its manifest.
+
+    Files go to ``root/run_id`` (a local folder for SQLite); an existing run is
+    an error. Result and manifest: ``table_name, run_id, row_count,
+    fingerprint``, of what was written, in ``manifest.jsonl``.
+    """
+    place = f"{root}/{run_id}"
+    manifest = None
+    for name, df in tables.items():
+        spark = df.sparkSession
+        write_canonical_jsonl(df, f"{place}/{name}")
+        export_sqlite(df, name, f"{place}/snapshot.sqlite", sqlite_limit)
+        written = spark.read.schema(StructType(sorted(df.schema.fields, key=lambda f: f.name))).json(f"{place}/{name}")
+        row = row_sum_fingerprint(written).select(F.lit(name).alias("table_name"), F.lit(run_id).alias("run_id"), "row_count", F.col("fingerprint").cast("string").alias("fingerprint"))
+        manifest = row if manifest is None else manifest.unionByName(row)
+    write_canonical_jsonl(manifest, f"{place}/manifest.jsonl")
+    return manifest
+
+
 def verify_blobs(manifest: DataFrame, files: DataFrame) -> DataFrame:
     """Blobs that are missing, unknown, or of another length than the manifest says: ``sha256, problem``."""
     m = manifest.select("sha256", F.col("byte_length").alias("expected"))

@@ -9,7 +9,7 @@ import zipfile
 import pytest
 
 from palimpsest.operators.gates import GateError
-from palimpsest.sources import documents, markup, tabular
+from palimpsest.sources import containers, documents, markup, tabular
 from palimpsest.streaming import feeds
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -74,6 +74,41 @@ def test_sealed_runs_and_exports(spark, tmp_path):
         tabular.foreign_key_gate(df, df.where("n = 1").withColumnRenamed("id", "p"), "id", "p")
 
 
+def test_validated_append(spark, tmp_path):
+    path = str(tmp_path / "log")
+    df = lambda *x: spark.createDataFrame(list(x), SCHEMA)
+    assert tabular.append_jsonl(df(("a", 1), ("b", 2)), path, SCHEMA, F.col("n") > 0, ["id"]) == 2
+    assert tabular.append_jsonl(df(("c", 3)), path, SCHEMA, F.col("n") > 0, ["id"]) == 1
+    for bad in (df(("d", -1)), df(("d", None)), df(("d", 1), ("d", 2)), df(("a", 9))):
+        with pytest.raises(GateError):
+            tabular.append_jsonl(bad, path, SCHEMA, F.col("n") > 0, ["id"])
+    with pytest.raises(ValueError):
+        tabular.append_jsonl(df(("d", 1)).select("id"), path, SCHEMA, F.lit(True))
+    assert sorted(r.id for r in tabular.read_jsonl(spark, path, SCHEMA, ["id"]).collect()) == ["a", "b", "c"]
+
+
+def test_blobs_are_put_once(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    name, new = tabular.put_blob(spark, root, b"content")
+    assert new and tabular.put_blob(spark, root, b"content") == (name, False) and (tmp_path / name).read_bytes() == b"content"
+    assert [r.blob_path for r in tabular.blobs(spark, str(tmp_path / "raw")).collect()] == [name]
+    (tmp_path / name).write_bytes(b"other")
+    (tmp_path / name).with_name(f".{name.rsplit('/', 1)[1]}.crc").unlink(missing_ok=True)
+    with pytest.raises(ValueError):
+        tabular.put_blob(spark, root, b"content")
+
+
+def test_stage_export(spark, tmp_path):
+    tables = {"t": spark.createDataFrame([("b", 2), ("a", None)], "id string, n int"), "u": spark.createDataFrame([], "x string")}
+    manifest = tabular.export_stage(tables, str(tmp_path), "r1")
+    assert {(r.table_name, r.row_count) for r in manifest.collect()} == {("t", 2), ("u", 0)}
+    with sqlite3.connect(tmp_path / "r1" / "snapshot.sqlite") as db:
+        assert sorted(db.execute("SELECT id FROM t")) == [("a",), ("b",)]
+    assert len([line for f in (tmp_path / "r1" / "manifest.jsonl").glob("part-*") for line in f.read_text().splitlines()]) == 2
+    with pytest.raises(FAILED):
+        tabular.export_stage(tables, str(tmp_path), "r1")
+
+
 def test_blobs(spark, tmp_path):
     (tmp_path / "x.bin").write_bytes(b"one")
     files = tabular.blobs(spark, str(tmp_path))
@@ -277,6 +312,28 @@ def test_each_member_is_complete_on_its_own():
         assert [(m["member"], m["complete"]) for m in containers.package_members(broken)] == [("mimetype", True), ("content.xml", False), ("styles.xml", True)]
 
 
+def test_two_readers_of_packages(spark):
+    def package(*members):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as archive:
+            archive.writestr("mimetype", "application/vnd.oasis.opendocument.text")
+            for name, data in members:
+                archive.writestr(name, data, zipfile.ZIP_DEFLATED)
+        return out.getvalue()
+
+    good = package(("content.xml", "<a/>" * 50), ("內容.xml", "x"))
+    assert containers.directory_members(good) == containers.package_members(good) and len(containers.package_members(good)) == 3
+    for bad in (b"no zip", package()[:-30]):
+        with pytest.raises((ValueError, zipfile.BadZipFile)):
+            containers.directory_members(bad)
+    torn = bytearray(good)
+    at = good.index(b"content.xml") + len("content.xml") + 4
+    torn[at] ^= 0xFF
+    assert [m["complete"] for m in containers.directory_members(bytes(torn))] == [True, False, True]
+    files = spark.createDataFrame([("good", bytearray(good)), ("torn", bytearray(torn)), ("none", bytearray(b"no zip"))], "path string, content binary")
+    assert containers.reviewed_containers(files).collect() == []
+
+
 def test_json_shapes(spark):
     from palimpsest.functions import jsons
 
