@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.llm.members import meeting, same
 from palimpsest.runtime import materialize
 
 # Letters of other scripts with the shape of a Latin letter.
@@ -227,12 +228,10 @@ def same_look_pairs(records: DataFrame, record: str, text: str) -> DataFrame:
     """
     rows = _formed(records.select(F.col(record).alias("id"), F.col(text).alias("t")).where("id is not null and t is not null"))
     mixed = rows.groupBy("f1", "f2").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).where("lo <> hi").select("f1", "f2")
-    some = rows.join(mixed, ["f1", "f2"], "left_semi")
-    a, b = some.alias("a"), some.alias("b")
-    same = (F.col("a.f1") == F.col("b.f1")) & (F.col("a.f2") == F.col("b.f2"))
+    a, b = meeting(rows.join(mixed, ["f1", "f2"], "left_semi"), ["f1", "f2"], "id")
     other = (F.col("a.t1") != F.col("b.t1")) | (F.col("a.t2") != F.col("b.t2"))
     return (
-        a.join(b, same & (F.col("a.id") < F.col("b.id")) & other)
+        a.join(b, same("f1", "f2") & (F.col("a.id") < F.col("b.id")) & other)
         .select(F.col("a.id").alias("record_a"), F.col("b.id").alias("record_b"))
         .distinct()
     )

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.llm.arrays import mix, rolling_hash, steps
-from palimpsest.llm.members import distinct_texts
+from palimpsest.llm.members import distinct_texts, meeting, same
 from palimpsest.operators.links import components
 from palimpsest.runtime import discard, materialize, materialize_counted
 
@@ -219,12 +219,15 @@ def near_duplicates(records: DataFrame, *, record: str, owner: str, text: str, s
     """
     members, texts = distinct_texts(records, record=record, owner=owner, text=text, scope=scope)
     similar = near_duplicate_texts(texts, threshold=threshold, width=width).select("id_a", "id_b")
-    shared = members.groupBy("id").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).where("lo <> hi")
-    pairs = similar.unionByName(shared.select(F.col("id").alias("id_a"), F.col("id").alias("id_b")))
     a = members.select(F.col("id").alias("id_a"), "scope", F.col("record").alias("ra"), F.col("owner").alias("oa"))
     b = members.select(F.col("id").alias("id_b"), F.col("record").alias("rb"), F.col("owner").alias("ob"))
-    found = pairs.join(a, "id_a").join(b, "id_b").where("oa <> ob and ra <> rb")
-    made = found.select("scope", F.least("ra", "rb").alias("record_a"), F.greatest("ra", "rb").alias("record_b")).distinct()
+    found = similar.join(a, "id_a").join(b, "id_b").where("oa <> ob and ra <> rb")
+    made = found.select("scope", F.least("ra", "rb").alias("record_a"), F.greatest("ra", "rb").alias("record_b"))
+    # Records of one text.
+    shared = members.groupBy("id").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).where("lo <> hi")
+    x, y = meeting(members.join(shared, "id", "left_semi"), ["id"], "record")
+    equal = x.join(y, same("id") & (F.col("a.record") < F.col("b.record")) & (F.col("a.owner") != F.col("b.owner")))
+    made = made.unionByName(equal.select("a.scope", F.col("a.record").alias("record_a"), F.col("b.record").alias("record_b"))).distinct()
     return made.drop("scope") if scope is None else made.withColumnRenamed("scope", scope)
 
 

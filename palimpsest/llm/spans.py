@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.llm.arrays import mix, rolling_hash, steps
-from palimpsest.llm.members import distinct_texts
+from palimpsest.llm.members import distinct_texts, meeting, same
 from palimpsest.runtime import discard, materialize
 
 #: Code points of an anchor token. Shorter ones make fewer paths, longer ones repeat less often by chance.
@@ -230,10 +230,9 @@ def shared_spans(records: DataFrame, *, record: str, owner: str, text: str, scop
     whole = members.groupBy("id").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).where("lo <> hi")
     # A text of several owners is a span by itself.
     alone = whole.select(F.xxhash64("id").alias("span"), F.xxhash64(F.lit(2), "id").alias("node"), "id")
-    of = texts_of.unionByName(alone).join(members, "id").select("span", "node", "scope", "record", "owner").distinct()
-    a, b = of.alias("a"), of.alias("b")
-    same = (F.col("a.span") == F.col("b.span")) & (F.col("a.node") == F.col("b.node"))
-    pairs = a.join(b, same & (F.col("a.record") < F.col("b.record")) & (F.col("a.owner") != F.col("b.owner")))
+    of = materialize(texts_of.unionByName(alone).join(members, "id").select("span", "node", "scope", "record", "owner").distinct(), "spans")
+    a, b = meeting(of, ["span", "node"], "record")
+    pairs = a.join(b, same("span", "node") & (F.col("a.record") < F.col("b.record")) & (F.col("a.owner") != F.col("b.owner")))
     made = pairs.select(F.col("a.scope").alias("scope"), F.col("a.record").alias("record_a"), F.col("b.record").alias("record_b")).distinct()
     return made.drop("scope") if scope is None else made.withColumnRenamed("scope", scope)
 

@@ -15,7 +15,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from palimpsest.llm import arrays, leakage, lookalike, neardup, spans, tokenize, truncation
+from palimpsest.llm import arrays, leakage, lookalike, members, neardup, spans, tokenize, truncation
 from pyspark.sql import functions as F
 
 VOCABULARY = tokenize.VOCABULARY_DIR + "/byte_bpe_50k.tiktoken"
@@ -211,6 +211,20 @@ def test_shared_share(spark):
     assert got == {"a": (1, 130, 80), "b": (1, 90, 80), "c": (1, 90, 0)}
 
 
+def test_hot_keys_are_split(spark, monkeypatch):
+    monkeypatch.setattr(members, "TOGETHER", 7)
+    rng = random.Random(10)
+    p = words(rng, 80)
+    rows = [(f"r{i:02}", f"o{i % 20}", p if i % 3 else words(rng, 5) + p) for i in range(40)]
+    df = spark.createDataFrame(rows, "id string, owner string, text string")
+    want = {(a, b) for a, o, _ in rows for b, q, _ in rows if a < b and o != q}
+    assert {tuple(r) for r in spans.shared_spans(df, record="id", owner="owner", text="text").collect()} == want
+    assert {tuple(r) for r in neardup.near_duplicates(df, record="id", owner="owner", text="text").collect()} == want
+    looks = spark.createDataFrame([(f"r{i:02}", ["ab", "ａb", "aｂ"][i % 3]) for i in range(40)], "id string, t string")
+    got = {tuple(r) for r in lookalike.same_look_pairs(looks, "id", "t").collect()}
+    assert got == {(f"r{i:02}", f"r{j:02}") for i in range(40) for j in range(i + 1, 40) if i % 3 != j % 3}
+
+
 # p8
 
 
