@@ -225,7 +225,7 @@ def near_duplicates(records: DataFrame, *, record: str, owner: str, text: str, s
     made = found.select("scope", F.least("ra", "rb").alias("record_a"), F.greatest("ra", "rb").alias("record_b"))
     # Records of one text.
     shared = members.groupBy("id").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).where("lo <> hi")
-    x, y = meeting(members.join(shared, "id", "left_semi"), ["id"], "record")
+    x, y = meeting(materialize(members.join(shared, "id", "left_semi"), "shared"), ["id"], "record")
     equal = x.join(y, same("id") & (F.col("a.record") < F.col("b.record")) & (F.col("a.owner") != F.col("b.owner")))
     made = made.unionByName(equal.select("a.scope", F.col("a.record").alias("record_a"), F.col("b.record").alias("record_b"))).distinct()
     return made.drop("scope") if scope is None else made.withColumnRenamed("scope", scope)
