@@ -135,7 +135,13 @@ def d01_bracketed_dates(spark, sf_dir):
     return raws.select("expression_id", "raw", dates.republic_date(part(1), part(2), part(3)).cast("string").alias("iso"))
 
 
-@query()
+@query(r"""WITH e AS (SELECT DISTINCT expression_id, exact_text AS t FROM clause_document_expression),
+x AS (SELECT expression_id, t, string_split_regex(t, '[0-9]{2,3}[ \t]*[/／][ \t]*[0-9]{1,2}[ \t]*[/／][ \t]*[0-9]{1,2}') AS p, regexp_extract_all(t, '[0-9]{2,3}[ \t]*[/／][ \t]*[0-9]{1,2}[ \t]*[/／][ \t]*[0-9]{1,2}') AS r FROM e),
+y AS (SELECT expression_id, t, generate_subscripts(r, 1) AS i, unnest(r) AS raw, p, r FROM x),
+z AS (SELECT expression_id, t, i, raw, list_sum(list_transform(p[:i], lambda q: length(q))) + coalesce(list_sum(list_transform(r[:i - 1], lambda q: length(q))), 0) AS a FROM y),
+k AS (SELECT expression_id, raw, CAST(a AS INT) AS a, i, string_split_regex(raw, '[ \t]*[/／][ \t]*') AS d FROM z WHERE NOT regexp_matches(substring(t, CAST(a AS INT), CASE WHEN a = 0 THEN 0 ELSE 1 END), '[0-9]') AND NOT regexp_matches(substring(t, CAST(a AS INT) + length(raw) + 1, 1), '[0-9]')),
+v AS (SELECT *, CAST(d[1] AS INT) AS year, CAST(d[2] AS INT) AS month, CAST(d[3] AS INT) AS day, try_cast(printf('%04d-%02d-%02d', CAST(d[1] AS INT) + 1911, CAST(d[2] AS INT), CAST(d[3] AS INT)) AS DATE) AS iso FROM k)
+SELECT expression_id, CAST(row_number() OVER (PARTITION BY expression_id ORDER BY i) - 1 AS INT) AS ordinal, raw, year, month, day, CAST(iso AS VARCHAR) AS iso, CASE WHEN iso IS NULL THEN 'invalid' ELSE 'valid' END AS status, a AS "start", a + length(raw) AS "end" FROM v""")
 def d03_date_markers(spark, sf_dir):
     """All date markers of the texts with offsets, ordinal, ISO date and status."""
     rows = _expressions(spark, sf_dir, "expression_id", "exact_text")
@@ -336,7 +342,9 @@ def f24_display_title(spark, sf_dir):
     return rows.select("source_block_id", text.display_title(F.col("raw_text")).alias("title"))
 
 
-@query()
+@query(r"""WITH s AS (SELECT DISTINCT subject, regexp_extract_all(subject, '[A-Za-z][A-Za-z-]*|[㐀-鿿]{2,}') AS w FROM official_event), t AS (SELECT subject, unnest(w) AS term, generate_subscripts(w, 1) AS i FROM s),
+k AS (SELECT * FROM t WHERE NOT regexp_matches(term, '^[A-Za-z]') OR length(term) >= 5 OR (length(term) >= 3 AND term = upper(term))),
+f AS (SELECT subject, lower(term) AS key, arg_min(term, i) AS term, min(i) AS i FROM k GROUP BY 1, 2) SELECT subject, CAST(row_number() OVER (PARTITION BY subject ORDER BY i) - 1 AS INT) AS term_order, term FROM f""")
 def f28_heading_terms(spark, sf_dir):
     """Search terms of the notices' subjects."""
     rows = table(spark, sf_dir, "official_event").select("subject").distinct()
